@@ -1 +1,114 @@
-"""Registered queries."""
+"""Registered queries: scans, sinks, upsert, as-of, history, retention."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from zonecast.functions import constants as K
+from zonecast.operators import gold as G
+from zonecast.operators import silver as S
+from zonecast.operators import tables as T
+from zonecast.plans.catalog import register
+from zonecast.plans.oracle import (
+    add_view, cents_sql, count_if_sql, mean2_sql, money_sum_sql, mul_round_cents_sql, parse_sql, with_views,
+)
+from zonecast.session import work_dir
+from zonecast.sources import fixtures as X
+
+AS_OF = "2024-01-03 00:00:00"
+RETENTION_AS_OF = "2024-01-10 00:00:00"
+VERSION_KEYS = ["o_custkey"]
+VERSION_ORDER = ["commit_version", "o_orderkey"]
+UPSERT_KEYS = G.GOLD_KEYS
+
+
+@register("table_scan", """
+SELECT event_id, ts, value FROM events WHERE event_type = 'purchase' AND value > 100""", "S7")
+def table_scan(spark, sf):
+    df = T.read_table(spark, f"{sf}/events.parquet")
+    # the projection and the predicate reach the Parquet scan (ReadSchema / PushedFilters)
+    return df.filter((F.col("event_type") == "purchase") & (F.col("value") > 100)).select("event_id", "ts", "value")
+
+
+@register("ensure_table", None, "S4")
+def ensure_table(spark, sf):
+    from zonecast.sources.schemas import RIDE_SCHEMA
+
+    path = work_dir(spark, "ensure") + "/bronze_rides"
+    T.ensure_table(spark, path, RIDE_SCHEMA, ["city_zone"])
+    T.ensure_table(spark, path, RIDE_SCHEMA, ["city_zone"])  # second call is a no-op
+    return spark.read.schema(RIDE_SCHEMA).parquet(path).unionByName(X.rides_raw(spark, sf).limit(0))
+
+
+@register("table_write", None, "S8")
+def table_write(spark, sf):
+    path = work_dir(spark, "write") + "/silver_rides"
+    silver = X.rides(spark, sf)
+    T.write_table(silver, path, "overwrite", ["event_date"])
+    # rewrite one day: dynamic partition overwrite replaces only that partition
+    one_day = silver.filter(F.col("event_date") == F.lit("2024-01-02").cast("date"))
+    T.write_table(one_day, path, "overwrite", ["event_date"])
+    return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- upsert
+
+add_view("upsert_src_rides", ["rides_bronze"], f"""
+    SELECT *, CAST(event_ts AS DATE) AS event_date, CAST(hour(event_ts) AS INTEGER) AS event_hour,
+           status = 'completed' AS is_completed,
+           {mul_round_cents_sql(cents_sql('fare_base_inr'), cents_sql('surge_multiplier'))} / 100.0 AS gross_fare_inr
+    FROM (SELECT *, {parse_sql('event_timestamp')} AS event_ts FROM rides_bronze)""")
+
+_KPI = f"""count(ride_id) AS ride_count, {count_if_sql('is_completed')} AS completed_rides,
+           {count_if_sql("status = 'cancelled'")} AS cancelled_rides,
+           {money_sum_sql('gross_fare_inr')} AS gross_revenue_inr,
+           {mean2_sql('surge_multiplier')} AS avg_surge_multiplier"""
+
+
+@register("upsert", with_views("gold", "upsert_src_rides") + f"""
+SELECT * FROM gold g WHERE g.event_date < DATE '2024-01-21'
+  AND NOT EXISTS (SELECT 1 FROM upsert_src_rides s
+                  WHERE s.event_date >= DATE '2024-01-16'
+                    AND s.event_date IS NOT DISTINCT FROM g.event_date
+                    AND s.event_hour IS NOT DISTINCT FROM g.event_hour
+                    AND s.city_zone IS NOT DISTINCT FROM g.city_zone)
+UNION ALL
+SELECT event_date, event_hour, city_zone, {_KPI}
+FROM upsert_src_rides WHERE event_date >= DATE '2024-01-16'
+GROUP BY event_date, event_hour, city_zone""", "J1 U3")
+def upsert(spark, sf):
+    """Target: gold of the first 20 days. Source: gold of the last 15 days recomputed from
+    the bronze rides (redelivered copies included, so matching keys change value)."""
+    target = G.hourly_kpis(X.rides(spark, sf)).filter(F.col("event_date") < F.lit("2024-01-21").cast("date"))
+    source = (S.enrich_rides(X.rides_bronze(spark, sf))
+              .filter(F.col("event_date") >= F.lit("2024-01-16").cast("date"))
+              .transform(G.hourly_kpis))  # U3: the user transform applied before the merge
+    return T.merge_upsert(target, source, UPSERT_KEYS)
+
+
+# ---------------------------------------------------------------- version table
+
+@register("as_of_read", with_views("versions") + f"""
+SELECT * FROM versions WHERE committed_at <= TIMESTAMP '{AS_OF}'
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY commit_version DESC, o_orderkey DESC) = 1""", "S10")
+def as_of_read(spark, sf):
+    return T.as_of_read(X.versions(spark, sf), AS_OF, VERSION_KEYS, VERSION_ORDER)
+
+
+@register("version_history", with_views("versions") + """
+SELECT commit_version, max(committed_at) AS committed_at, count(*) AS num_rows,
+       count(DISTINCT o_custkey) AS num_keys,
+       CASE WHEN commit_version = 0 THEN 'CREATE' ELSE 'APPEND' END AS operation
+FROM versions GROUP BY commit_version ORDER BY commit_version DESC LIMIT 10""", "S11 T3")
+def version_history(spark, sf):
+    return T.version_history(X.versions(spark, sf), VERSION_KEYS, 10)
+
+
+@register("retention_filter", with_views("versions") + f"""
+SELECT * FROM versions WHERE committed_at >= TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {K.RETENTION_HOURS} HOUR
+UNION ALL
+SELECT * FROM versions WHERE committed_at < TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {K.RETENTION_HOURS} HOUR
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY commit_version DESC, o_orderkey DESC) = 1""", "S12")
+def retention_filter(spark, sf):
+    return T.retention_filter(X.versions(spark, sf), RETENTION_AS_OF, K.RETENTION_HOURS, VERSION_KEYS,
+                              VERSION_ORDER)
