@@ -1 +1,253 @@
-"""Registered queries."""
+"""Registered queries: features, profiles, model metrics and promotion, training and scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from zonecast.functions import columns as C
+from zonecast.functions import constants as K
+from zonecast.operators import features as FE
+from zonecast.operators import history as H
+from zonecast.operators import model as MO
+from zonecast.operators import ordered as O
+from zonecast.operators import silver as S
+from zonecast.operators import splits as SP
+from zonecast.operators import tables as T
+from zonecast.plans.catalog import register
+from zonecast.plans.oracle import RIDE_COLS, add_view, cents_sql, parse_sql, surge_rule_sql, with_views
+from zonecast.session import work_dir
+from zonecast.sources import events as EV
+from zonecast.sources import fixtures as X
+from zonecast.sources.schemas import RIDE_SCHEMA
+
+LIVE_AS_OF = "2024-02-01 00:00:00"
+
+# ---------------------------------------------------------------- features
+
+_FEATURE_SQL = f"""
+SELECT ride_id, coalesce(city_zone, 'unknown') AS city_zone, coalesce(vehicle_type, 'unknown') AS vehicle_type,
+       coalesce(weather, 'unknown') AS weather, coalesce(status, 'unknown') AS status,
+       distance_km, fare_base_inr,
+       coalesce(CAST(hour({parse_sql('event_timestamp')}) AS INTEGER), 0) AS event_hour,
+       surge_multiplier
+FROM rides_dirty"""
+
+
+@register("feature_frame", with_views("rides_dirty") + _FEATURE_SQL, "P14-P16")
+def feature_frame(spark, sf):
+    return FE.feature_frame(X.rides_dirty(spark, sf))
+
+
+def _dummy_sql() -> str:
+    return ", ".join(f"CAST({c} = '{v}' AS INTEGER) AS {FE.dummy_name(c, v)}"
+                     for c, vals in FE.VOCAB.items() for v in vals)
+
+
+@register("one_hot", with_views("rides_dirty") + f"""
+SELECT ride_id, distance_km, fare_base_inr, event_hour, {_dummy_sql()} FROM ({_FEATURE_SQL})""", "M1 D4")
+def one_hot(spark, sf):
+    return FE.one_hot(FE.feature_frame(X.rides_dirty(spark, sf)))
+
+
+@register("score_input", with_views("silver_dirty") + """
+SELECT ride_id, event_ts, city_zone, vehicle_type, weather, status, distance_km, fare_base_inr,
+       coalesce(event_hour, 0) AS event_hour, surge_multiplier
+FROM silver_dirty""", "P10")
+def score_input(spark, sf):
+    return FE.score_input(S.silver_rides(X.rides_dirty(spark, sf)))
+
+
+# ---------------------------------------------------------------- profiles
+
+@register("feature_correlation", with_views("rides") + """
+SELECT 'distance_km' AS feature, round(corr(distance_km, surge_multiplier), 6) AS correlation FROM rides
+UNION ALL SELECT 'fare_base_inr', round(corr(fare_base_inr, surge_multiplier), 6) FROM rides
+UNION ALL SELECT 'event_hour', round(corr(CAST(event_hour AS DOUBLE), surge_multiplier), 6) FROM rides""", "A22")
+def feature_correlation(spark, sf):
+    return FE.feature_correlation(X.rides(spark, sf))
+
+
+_H = cents_sql("surge_multiplier")
+
+
+@register("surge_histogram", with_views("rides") + f"""
+SELECT b.bin, (s.lo * 30 + b.bin * (s.hi - s.lo)) / 3000.0 AS bin_start, coalesce(c.cnt, 0) AS count
+FROM (SELECT min({_H}) AS lo, max({_H}) AS hi FROM rides) s
+CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(30)) b
+LEFT JOIN (SELECT CASE WHEN s2.hi > s2.lo THEN least(29, ({_H} - s2.lo) * 30 // (s2.hi - s2.lo)) ELSE 0 END AS bin,
+                  count(*) AS cnt
+           FROM rides, (SELECT min({_H}) AS lo, max({_H}) AS hi FROM rides) s2
+           WHERE surge_multiplier IS NOT NULL GROUP BY 1) c ON c.bin = b.bin""", "A23")
+def surge_histogram(spark, sf):
+    return FE.surge_histogram(X.rides(spark, sf))
+
+
+@register("surge_describe", with_views("rides") + f"""
+SELECT n, CAST(sx AS DOUBLE) / n / 100.0 AS mean,
+       CASE WHEN n > 1 THEN sqrt(CAST(CAST(n AS HUGEINT) * sx2 - CAST(sx AS HUGEINT) * sx AS DOUBLE)
+                                 / CAST(n * (n - 1) AS DOUBLE)) / 100.0 END AS std,
+       mn / 100.0 AS min, q[1] / 100.0 AS p25, q[2] / 100.0 AS p50, q[3] / 100.0 AS p75, mx / 100.0 AS max
+FROM (SELECT count({_H}) AS n, CAST(sum({_H}) AS BIGINT) AS sx, CAST(sum({_H} * {_H}) AS BIGINT) AS sx2,
+             min({_H}) AS mn, max({_H}) AS mx,
+             quantile_cont({_H}, [0.25, 0.5, 0.75]) AS q
+      FROM rides)""", "A24")
+def surge_describe(spark, sf):
+    return FE.describe(X.rides(spark, sf))
+
+
+# ---------------------------------------------------------------- metrics, residuals, promotion
+
+def _sums_sql(label: str, pred: str) -> str:
+    y, p = cents_sql(label), cents_sql(pred)
+    return (f"count(*) AS n, CAST(sum(abs({y} - {p})) AS BIGINT) AS sae, "
+            f"CAST(sum(({y} - {p}) * ({y} - {p})) AS BIGINT) AS sse, CAST(sum({y}) AS BIGINT) AS sy, "
+            f"CAST(sum({y} * {y}) AS BIGINT) AS sy2")
+
+
+_METRICS_SQL = ("sae / n / 100.0 AS mae, sqrt(sse / n) / 100.0 AS rmse, "
+                "CASE WHEN CAST(n AS DOUBLE) * sy2 - CAST(sy AS DOUBLE) * sy <> 0 THEN "
+                "1.0 - (CAST(sse AS DOUBLE) * n) / (CAST(n AS DOUBLE) * sy2 - CAST(sy AS DOUBLE) * sy) END AS r2")
+
+
+@register("regression_metrics", with_views("scored") + f"""
+SELECT n, {_METRICS_SQL} FROM (SELECT {_sums_sql('label', 'prediction')} FROM scored)""", "A25")
+def regression_metrics(spark, sf):
+    return MO.regression_metrics(X.scored(spark, sf))
+
+
+@register("residuals", with_views("scored") + f"""
+SELECT ride_id, label, prediction, ({cents_sql('label')} - {cents_sql('prediction')}) / 100.0 AS residual
+FROM scored""", "M7")
+def residuals(spark, sf):
+    return MO.residuals(X.scored(spark, sf))
+
+
+add_view("model_runs", ["scored"], f"""
+    SELECT model || '-' || strftime(event_date, '%Y%m%d') AS run_id, model, event_date, n, {_METRICS_SQL}, start_time
+    FROM (SELECT event_date, model, {_sums_sql('label', 'p')}, max(event_ts) AS start_time
+          FROM (SELECT CAST(event_ts AS DATE) AS event_date, event_ts, label, prediction AS p,
+                       '{MO.LIVE_MODEL}' AS model FROM scored
+                UNION ALL
+                SELECT CAST(event_ts AS DATE), event_ts, label, prediction_alt, '{MO.HIST_MODEL}' FROM scored)
+          GROUP BY event_date, model)""")
+
+
+@register("promotion_gate", with_views("model_runs") + f"""
+SELECT event_date, model, run_id, mae, mae < {K.PROMOTION_MAE_THRESHOLD} AS promoted
+FROM model_runs
+QUALIFY row_number() OVER (PARTITION BY event_date
+                           ORDER BY mae, CASE WHEN model = '{MO.HIST_MODEL}' THEN 0 ELSE 1 END, model, run_id) = 1""",
+          "M4")
+def promotion_gate(spark, sf):
+    return MO.promotion_gate(MO.model_runs_from_scores(X.scored(spark, sf)))
+
+
+@register("run_leaderboard", with_views("model_runs") + """
+SELECT * FROM model_runs ORDER BY start_time DESC, run_id DESC LIMIT 10""", "M8 T3")
+def run_leaderboard(spark, sf):
+    return MO.leaderboard(MO.model_runs_from_scores(X.scored(spark, sf)))
+
+
+# ---------------------------------------------------------------- surge audit, live defaults, JSON decode
+
+@register("surge_audit", with_views("silver_dirty") + f"""
+SELECT city_zone, count(*) AS rows,
+       CAST(sum(CASE WHEN surge_multiplier IS NOT DISTINCT FROM
+                          CAST({surge_rule_sql('city_zone', 'event_hour', 'weather')} AS DOUBLE) / 100.0
+                     THEN 0 ELSE 1 END) AS BIGINT) AS mismatched
+FROM silver_dirty GROUP BY city_zone""", "P26")
+def surge_audit(spark, sf):
+    s = S.silver_rides(X.rides_dirty(spark, sf))
+    rule = C.surge_rule("city_zone", "event_hour", "weather")
+    return s.groupBy("city_zone").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.when(F.col("surge_multiplier").eqNullSafe(rule), 0).otherwise(1)).alias("mismatched"))
+
+
+@register("live_defaults", with_views("rides_dirty") + f"""
+SELECT ride_id, coalesce({parse_sql('event_timestamp')}, TIMESTAMP '{LIVE_AS_OF}') AS event_ts,
+       coalesce(city_zone, 'unknown') AS city_zone, coalesce(surge_multiplier, 1.0::DOUBLE) AS surge_multiplier
+FROM rides_dirty""", "P28")
+def live_defaults(spark, sf):
+    d = X.rides_dirty(spark, sf)
+    return d.select("ride_id",
+                    F.coalesce(C.parse_event_ts("event_timestamp"), F.lit(LIVE_AS_OF).cast("timestamp")).alias("event_ts"),
+                    F.coalesce(F.col("city_zone"), F.lit("unknown")).alias("city_zone"),
+                    F.coalesce(F.col("surge_multiplier"), F.lit(1.0)).alias("surge_multiplier"))
+
+
+def encoded_rides(spark, sf):
+    """Ride events as JSON documents, every 97th one truncated (undecodable)."""
+    r = X._ride_fields(X._base_events(spark, sf))
+    text = F.to_json(F.struct(*X.RIDE_COLUMNS))
+    return r.select(F.when(F.pmod("event_id", F.lit(97)) == 0, F.substring(text, 1, 20)).otherwise(text)
+                    .alias("value"))
+
+
+@register("json_decode", with_views("rides_f") + f"SELECT {RIDE_COLS} FROM rides_f WHERE event_id % 97 <> 0", "S2")
+def json_decode(spark, sf):
+    return EV.decode_events(encoded_rides(spark, sf), RIDE_SCHEMA)
+
+
+# ---------------------------------------------------------------- training and scoring (rows-only)
+
+_MODELS: dict[tuple, object] = {}
+
+
+def _live_model(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "live")
+    if key not in _MODELS:
+        rides = FE.score_input(X.rides(spark, sf))
+        split = SP.hash_split(rides, F.col("ride_id").try_cast("long"), 0.8)
+        train_df = split.filter(F.col("split") == "train")
+        test_df = split.filter(F.col("split") == "test")
+        _MODELS[key] = MO.train(train_df, test_df, MO.LIVE_MODEL)
+    return _MODELS[key]
+
+
+@register("train_surge", None, "M2")
+def train_surge(spark, sf):
+    model, metrics = _live_model(spark, sf)
+    path = work_dir(spark, "models") + "/surge_price_model"
+    model.write().overwrite().save(path)
+    return metrics.withColumn("model_path", F.lit(path))
+
+
+@register("score_batch", None, "U1 U2 P27")
+def score_batch(spark, sf):
+    model, _ = _live_model(spark, sf)
+    preds = MO.score(FE.score_input(S.silver_rides(X.rides_dirty(spark, sf))), model)
+    return preds.select("ride_id", "event_ts", "city_zone", "vehicle_type", "surge_multiplier",
+                        "predicted_surge_multiplier")
+
+
+@register("feature_importance", None, "M6 T3")
+def feature_importance(spark, sf):
+    model, _ = _live_model(spark, sf)
+    return MO.feature_importance(spark, model, 15)
+
+
+@register("train_historical", None, "M3 W4 W5")
+def train_historical(spark, sf):
+    """Time-based 80/20 split (registered model) beside a hash split (comparison only)."""
+    hist = H.historical_silver(X.trips(spark, sf, with_row_id=True), with_id=True)
+    feats = hist.select("ride_id", "event_timestamp", *K.CATEGORICAL_FEATURES, *K.NUMERIC_FEATURES, K.TARGET) \
+        .filter(F.col(K.TARGET).isNotNull()).fillna("unknown", subset=K.CATEGORICAL_FEATURES)
+    timed = O.chronological_split(feats, "event_timestamp", "ride_id", 0.8)
+    _, m_time = MO.train(timed.filter(F.col("split") == "train"), timed.filter(F.col("split") == "test"),
+                         MO.HIST_MODEL)
+    hashed = SP.hash_split(feats, F.col("ride_id"), 0.8, portable=False)
+    _, m_rand = MO.train(hashed.filter(F.col("split") == "train"), hashed.filter(F.col("split") == "test"),
+                         MO.HIST_MODEL + "_random_split")
+    return m_time.withColumn("split", F.lit("time")).unionByName(m_rand.withColumn("split", F.lit("random")))
+
+
+@register("historical_load", None, "M5 S9 S8")
+def historical_load(spark, sf):
+    """Load the historical silver table only when it is absent or empty (second call skips)."""
+    path = work_dir(spark, "history") + "/rides_historical"
+    for _ in range(2):
+        if T.table_exists(spark, path) and spark.read.parquet(path).limit(1).count() > 0:
+            continue
+        T.write_table(H.historical_silver(X.trips(spark, sf, with_row_id=True)), path, "append", ["event_date"])
+    return spark.read.parquet(path)

@@ -187,9 +187,17 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_rides(rides_raw(spark, sf_dir))
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw historical taxi trips (TLC-like column names) derived from ``lineitem``."""
+def trips(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -> DataFrame:
+    """Raw historical taxi trips (TLC-like column names) derived from ``lineitem``.
+
+    ``trip_row_id`` (file name + row index inside the file, from the scan's hidden
+    metadata) is a stable per-row id that survives repartitioning and retries.
+    """
     li = table(spark, sf_dir, "lineitem")
+    extra = []
+    if with_row_id:
+        extra = [F.concat(F.col("_metadata.file_name"), F.lit(":"),
+                          F.col("_metadata.row_index").cast("string")).alias("trip_row_id")]
     return li.select(
         (F.col("l_shipdate") + F.make_dt_interval(hours=F.pmod(F.col("l_partkey"), F.lit(24)).cast("int")))
         .cast("timestamp").alias("tpep_pickup_datetime"),
@@ -199,6 +207,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / F.lit(1000)).alias("fare_amount"),
         ((F.col("l_extendedprice") / F.lit(1000)) * F.col("l_discount")).alias("tip_amount"),
         F.pmod(F.col("l_linenumber"), F.lit(5)).cast("long").alias("payment_type"),
+        *extra,
     )
 
 
