@@ -54,6 +54,10 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType | str,
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> None:
     """Append or overwrite; overwrite of a partitioned table replaces only the partitions written."""
+    if partition_by:
+        # let AQE split large partition values and merge small ones: file sizes follow the
+        # data, not the number of input tasks
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")

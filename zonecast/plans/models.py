@@ -231,8 +231,7 @@ def feature_importance(spark, sf):
 def train_historical(spark, sf):
     """Time-based 80/20 split (registered model) beside a hash split (comparison only)."""
     hist = H.historical_silver(X.trips(spark, sf, with_row_id=True), with_id=True)
-    feats = hist.select("ride_id", "event_timestamp", *K.CATEGORICAL_FEATURES, *K.NUMERIC_FEATURES, K.TARGET) \
-        .filter(F.col(K.TARGET).isNotNull()).fillna("unknown", subset=K.CATEGORICAL_FEATURES)
+    feats = FE.feature_frame(hist, keep=("ride_id", "event_timestamp")).filter(F.col(K.TARGET).isNotNull())
     timed = O.chronological_split(feats, "event_timestamp", "ride_id", 0.8)
     _, m_time = MO.train(timed.filter(F.col("split") == "train"), timed.filter(F.col("split") == "test"),
                          MO.HIST_MODEL)
@@ -249,5 +248,5 @@ def historical_load(spark, sf):
     for _ in range(2):
         if T.table_exists(spark, path) and spark.read.parquet(path).limit(1).count() > 0:
             continue
-        T.write_table(H.historical_silver(X.trips(spark, sf, with_row_id=True)), path, "append", ["event_date"])
+        T.write_table(H.historical_silver(X.trips(spark, sf, with_row_id=True)), path, "append")
     return spark.read.parquet(path)
