@@ -47,6 +47,16 @@ def mul_round_cents(a_cents: Column, b_hundredths: Column) -> Column:
     return F.when(prod >= 0, idiv(prod + 50, 100)).otherwise(-idiv(-prod + 50, 100))
 
 
+def money_times(amount: str | Column, factor: str | Column) -> Column:
+    """round(amount x factor, 2) half-up on decimal values (amount to 4 places, factor to 2).
+
+    decimal(12,4) x decimal(5,2) is decimal(18,6): long-backed, so no BigDecimal per row.
+    Out-of-range inputs give null instead of failing the job.
+    """
+    prod = col(amount).try_cast("decimal(12,4)") * col(factor).try_cast("decimal(5,2)")
+    return F.round(prod, 2).cast("double")
+
+
 def round_half_up_2(x: str | Column) -> Column:
     """round(x, 2) half-up for a real-valued double: floor(x * 100 + 0.5) / 100."""
     return F.floor(col(x) * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
@@ -102,7 +112,8 @@ def surge_rule_hundredths(zone: str | Column, hour: str | Column, weather: str |
     """
     prod = demand_tenths(hour) * weather_tenths(weather) * zone_factor_tenths(zone)
     lo, hi = int(K.SURGE_MIN * 100), int(K.SURGE_MAX * 100)
-    return F.least(F.lit(hi), F.greatest(F.lit(lo), idiv(prod + 10, 20))).cast("long")
+    # greatest / least skip nulls, so an unknown input must stay null explicitly
+    return F.when(prod.isNotNull(), F.least(F.lit(hi), F.greatest(F.lit(lo), idiv(prod + 10, 20)))).cast("long")
 
 
 def surge_rule(zone: str | Column, hour: str | Column, weather: str | Column) -> Column:

@@ -56,6 +56,5 @@ def historical_silver(trips: DataFrame, nan_text: bool = False, with_id: bool =
         F.lit("completed").alias("status"),
     ]
     mapped = t.select(*cols)
-    gross = C.mul_round_cents(C.to_cents("fare_base_inr"), C.to_hundredths("surge_multiplier"))
-    return (mapped.withColumn("gross_fare_inr", C.from_cents(gross))
+    return (mapped.withColumn("gross_fare_inr", C.money_times("fare_base_inr", "surge_multiplier"))
             .filter(F.col("event_timestamp").isNotNull()))

@@ -8,15 +8,14 @@ from zonecast.operators import gold as G
 from zonecast.operators import history as H
 from zonecast.plans.catalog import register
 from zonecast.plans.oracle import (
-    add_view, cents_sql, count_if_sql, mean2_sql, money_sum_sql, mul_round_cents_sql, with_views,
+    add_view, cents_sql, count_if_sql, mean2_sql, money_sum_sql, money_times_sql, with_views,
 )
 from zonecast.sources import fixtures as X
 
 _R2 = "(floor(({x}) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE)"
 
 add_view("hist", ["trips"], f"""
-    SELECT *, {mul_round_cents_sql(cents_sql('fare_base_inr'), cents_sql('surge_multiplier'))} / 100.0
-              AS gross_fare_inr
+    SELECT *, {money_times_sql('fare_base_inr', 'surge_multiplier')} AS gross_fare_inr
     FROM (
       SELECT tpep_pickup_datetime AS event_timestamp,
              CAST(tpep_pickup_datetime AS DATE) AS event_date,

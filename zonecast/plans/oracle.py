@@ -40,7 +40,8 @@ def surge_rule_sql(zone: str, hour: str, weather: str) -> str:
               f"THEN {K.tenths(K.NIGHT_DEMAND)} WHEN {hour} IS NOT NULL THEN {K.tenths(K.NORMAL_DEMAND)} END")
     weather_t = _tenths_case(weather, K.WEATHER_DEMAND)
     zone_t = _tenths_case(zone, {z[0]: z[3] for z in K.ZONES})
-    return f"least(350, greatest(100, (({demand}) * ({weather_t}) * ({zone_t}) + 10) // 20))"
+    prod = f"(({demand}) * ({weather_t}) * ({zone_t}))"
+    return f"(CASE WHEN {prod} IS NOT NULL THEN least(350, greatest(100, ({prod} + 10) // 20)) END)"
 
 
 def iso_sql(ts: str) -> str:
@@ -60,6 +61,10 @@ def mul_round_cents_sql(a_cents: str, b_h: str) -> str:
     return f"(CASE WHEN {p} >= 0 THEN ({p} + 50) // 100 ELSE -((-{p} + 50) // 100) END)"
 
 
+def money_times_sql(a: str, b: str) -> str:
+    return f"CAST(round(TRY_CAST({a} AS DECIMAL(12,4)) * TRY_CAST({b} AS DECIMAL(5,2)), 2) AS DOUBLE)"
+
+
 def half_up_sql(num: str, den: str) -> str:
     return f"(CASE WHEN ({den}) > 0 THEN (2 * ({num}) + ({den})) // (2 * ({den})) END)"
 
@@ -93,7 +98,7 @@ PAYMENT_COLS = ("payment_id, ride_id, event_timestamp, payment_method, amount_in
 _SILVER_RIDE_EXTRA = (
     "CAST(event_ts AS DATE) AS event_date, CAST(hour(event_ts) AS INTEGER) AS event_hour, "
     "status = 'completed' AS is_completed, "
-    f"{mul_round_cents_sql(cents_sql('fare_base_inr'), cents_sql('surge_multiplier'))} / 100.0 AS gross_fare_inr")
+    f"{money_times_sql('fare_base_inr', 'surge_multiplier')} AS gross_fare_inr")
 
 
 def _dedup_sql(src: str, keys: str, cols: str) -> str:

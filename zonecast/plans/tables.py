@@ -10,7 +10,7 @@ from zonecast.operators import silver as S
 from zonecast.operators import tables as T
 from zonecast.plans.catalog import register
 from zonecast.plans.oracle import (
-    add_view, cents_sql, count_if_sql, mean2_sql, money_sum_sql, mul_round_cents_sql, parse_sql, with_views,
+    add_view, cents_sql, count_if_sql, mean2_sql, money_sum_sql, money_times_sql, parse_sql, with_views,
 )
 from zonecast.session import work_dir
 from zonecast.sources import fixtures as X
@@ -56,7 +56,7 @@ def table_write(spark, sf):
 add_view("upsert_src_rides", ["rides_bronze"], f"""
     SELECT *, CAST(event_ts AS DATE) AS event_date, CAST(hour(event_ts) AS INTEGER) AS event_hour,
            status = 'completed' AS is_completed,
-           {mul_round_cents_sql(cents_sql('fare_base_inr'), cents_sql('surge_multiplier'))} / 100.0 AS gross_fare_inr
+           {money_times_sql('fare_base_inr', 'surge_multiplier')} AS gross_fare_inr
     FROM (SELECT *, {parse_sql('event_timestamp')} AS event_ts FROM rides_bronze)""")
 
 _KPI = f"""count(ride_id) AS ride_count, {count_if_sql('is_completed')} AS completed_rides,
