@@ -102,7 +102,7 @@ def build_pipeline(label: str = K.TARGET):
     vec = VectorAssembler(inputCols=K.NUMERIC_FEATURES + [f"{c}_vec" for c in cats], outputCol="features",
                           handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="raw_prediction",
-                       checkpointInterval=10, **FEATURE_PARAMS)
+                       checkpointInterval=10, cacheNodeIds=True, **FEATURE_PARAMS)
     return Pipeline(stages=[idx, ohe, vec, gbt])
 
 

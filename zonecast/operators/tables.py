@@ -3,8 +3,8 @@ version history and retention over an append-only version table.
 
 There is no table format here (no transaction log): a version table is a plain
 Parquet table with ``commit_version`` / ``committed_at`` columns, and an upsert
-is a null-safe anti-join plus union, staged in a sibling folder and then written
-over the target. Writers are assumed single (no reader isolation); with
+is a null-safe full outer join of target and source, staged in a sibling folder
+and then written over the target. Writers are assumed single (no reader isolation); with
 ``partition_by`` only the partitions the source touches are rewritten (dynamic
 partition overwrite), so the cost follows the size of the change, not the table.
 """
@@ -15,7 +15,7 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -64,10 +64,6 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
     w.parquet(path)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def assert_unique_keys(source: DataFrame, keys: list[str]) -> None:
     dup = source.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
@@ -75,11 +71,17 @@ def assert_unique_keys(source: DataFrame, keys: list[str]) -> None:
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Update every column of matching keys from source, insert new keys (null-safe match)."""
-    src = source.select(*target.columns)
-    keys_df = src.select(*keys)
-    kept = target.join(keys_df, _null_safe_on(target, keys_df, keys), "left_anti")
-    return kept.unionByName(src)
+    """Update every column of matching keys from source, insert new keys (null-safe match).
+
+    One full outer join on the keys: each side is read and shuffled once; a row takes the
+    source's values when the source has the key, else the target's."""
+    src = source.select(*target.columns).withColumn("_src", F.lit(True)).alias("s")
+    tgt = target.alias("t")
+    on = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    joined = tgt.join(src, on, "full_outer")
+    take_src = F.col("s._src").isNotNull()
+    return joined.select(*[F.when(take_src, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+                           for c in target.columns])
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[str],

@@ -69,8 +69,7 @@ def _silver_gold(spark, sf):
 
 
 def _metric_table(spark, sf):
-    silver, gold = _silver_gold(spark, sf)
-    return M.metric_table(M.metric_rows(silver, gold))
+    return M.metric_table(M.metric_rows(X.rides(spark, sf)))
 
 
 def _alive(spark, sf):

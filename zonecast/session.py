@@ -76,3 +76,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run of one job (tables, stream checkpoints), never reused."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/zonecast-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in the shared folder.
+
+    Use for small intermediate results read by several branches of one plan (column
+    pruning makes the branches differ, so Spark would otherwise recompute them)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
