@@ -78,3 +78,17 @@ def test_stream_dedup_state_is_bounded(spark):
         state_rows = sum(op["numRowsTotal"] for op in (q.lastProgress or {}).get("stateOperators", []))
         assert state_rows <= 200, state_rows  # at most this hour's keys and the previous one's
     assert spark.read.parquet(f"{root}/silver").count() == 1000
+
+
+def test_json_decode_routes_rejects(spark):
+    from zonecast.sources import events as EV
+    from zonecast.sources.schemas import RIDE_SCHEMA
+
+    df = spark.createDataFrame([('{"ride_id": "r1", "surge_multiplier": 1.5}',), ('{"ride_id": "r2", "surge',),
+                                ("{}",), ("not json",)], "value string")
+    good = EV.decode_events(df, RIDE_SCHEMA)
+    assert [(r["ride_id"], r["surge_multiplier"]) for r in good.collect()] == [("r1", 1.5)]
+    assert good.columns == RIDE_SCHEMA.fieldNames()
+    assert EV.decode_rejects(df, RIDE_SCHEMA).count() == 3
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1  # one parse per row

@@ -34,6 +34,11 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # AQE merges small shuffle partitions up to this size and splits skewed ones; scans
+        # are cut at the same size. On a cluster set spark.sql.shuffle.partitions high
+        # (input bytes / ~200 MB) and let AQE coalesce down.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .config("spark.sql.files.maxPartitionBytes", "128m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")

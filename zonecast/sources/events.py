@@ -9,22 +9,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+CORRUPT = "_corrupt_record"
 
 
 def _decoded(df: DataFrame, schema: StructType, value_col: str) -> DataFrame:
+    """Parse once per row. The parsed struct is expanded by a generator (``inline`` of a
+    one-element array): filters on its fields cannot be pushed below a generator, so the
+    optimizer does not substitute (and re-run, field by field) the JSON parse into them.
+    Malformed documents are flagged through the corrupt-record column."""
     text = F.col(value_col).cast("string")
-    return df.select(text.alias("json_str"), F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("data"))
+    with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
+    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.select(F.inline(F.array(parsed)), text.alias("json_str"))
 
 
 def _valid(schema: StructType):
-    return F.col("data").isNotNull() & F.coalesce(*[F.col(f"data.{f.name}").cast("string")
-                                                    for f in schema.fields]).isNotNull()
+    fields = [F.col(f.name).cast("string") for f in schema.fields]
+    return F.col(CORRUPT).isNull() & F.coalesce(*fields).isNotNull()
 
 
 def decode_events(df: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
     """JSON text (or bytes) -> flat typed columns; undecodable rows are dropped."""
-    return _decoded(df, schema, value_col).filter(_valid(schema)).select("data.*")
+    return _decoded(df, schema, value_col).filter(_valid(schema)).select(*[f.name for f in schema.fields])
 
 
 def decode_rejects(df: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
