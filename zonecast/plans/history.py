@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from zonecast.operators import gold as G
 from zonecast.operators import history as H
 from zonecast.plans.catalog import register
 from zonecast.plans.oracle import (
-    add_view, cents_sql, count_if_sql, mean2_sql, money_sum_sql, money_times_sql, with_views,
+    add_view, count_if_sql, mean2_sql, money_sum_sql, money_times_sql, with_views,
 )
 from zonecast.sources import fixtures as X
 

@@ -10,7 +10,7 @@ from zonecast.operators import silver as S
 from zonecast.operators import tables as T
 from zonecast.plans.catalog import register
 from zonecast.plans.oracle import (
-    add_view, cents_sql, count_if_sql, mean2_sql, money_sum_sql, money_times_sql, parse_sql, with_views,
+    add_view, count_if_sql, mean2_sql, money_sum_sql, money_times_sql, parse_sql, with_views,
 )
 from zonecast.session import work_dir
 from zonecast.sources import fixtures as X
