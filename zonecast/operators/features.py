@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import columns as C
 from zonecast.functions import constants as K
+from zonecast.session import with_scalars
 
 UNKNOWN = "unknown"
 VOCAB = {
@@ -71,16 +72,16 @@ def surge_histogram(frame: DataFrame, bins: int = 30, col: str = K.TARGET) -> Da
     """Equal-width bins between min and max (last bin closed), all bins listed."""
     h = C.to_hundredths(col)
     stats = frame.agg(F.min(h).alias("lo"), F.max(h).alias("hi"))
-    width = F.col("hi") - F.col("lo")
-    binned = frame.select(h.alias("h")).filter(F.col("h").isNotNull()).crossJoin(F.broadcast(stats)).select(
-        F.when(width > 0, F.least(F.lit(bins - 1), C.idiv((F.col("h") - F.col("lo")) * bins, width)))
+    lo, hi = F.col("_s.lo"), F.col("_s.hi")
+    width = hi - lo
+    binned = with_scalars(frame.select(h.alias("h")).filter(F.col("h").isNotNull()), "_s", stats).select(
+        F.when(width > 0, F.least(F.lit(bins - 1), C.idiv((F.col("h") - lo) * bins, width)))
         .otherwise(F.lit(0)).alias("bin"))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    # the bin list is bounded by ``bins``; it comes from the one statistics row
-    all_bins = stats.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    # the bin list is the operator's own 0..bins-1, shown even when a bin is empty
+    all_bins = with_scalars(frame.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")), "_s", stats)
     return (all_bins.join(counts, "bin", "left").select(
-        "bin",
-        ((F.col("lo") * bins + F.col("bin") * (F.col("hi") - F.col("lo"))) / F.lit(bins * 100.0)).alias("bin_start"),
+        "bin", ((lo * bins + F.col("bin") * width) / F.lit(bins * 100.0)).alias("bin_start"),
         F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import columns as C
 from zonecast.functions import constants as K
+from zonecast.session import with_scalars
 
 
 def tip_ratio(trips: DataFrame):
@@ -22,14 +23,14 @@ def tip_ratio(trips: DataFrame):
 
 def minmax_scale(df: DataFrame, col: str, out: str, lo: float = K.SURGE_MIN, hi: float = K.SURGE_MAX) -> DataFrame:
     """Scale ``col`` linearly onto [lo, hi] using its global min and max; a constant
-    column maps to ``lo``. The statistics are one aggregate row, cross-joined back
-    (a single row: the broadcast is bounded by construction)."""
-    stats = df.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-    x, mn, mx = F.col(col), F.col("_mn"), F.col("_mx")
+    column maps to ``lo``. Min and max are one aggregate over the same frame, attached as a
+    scalar subquery (evaluated once; every task gets the two values)."""
+    x = F.col(col)
+    stats = df.agg(F.min(col).alias("mn"), F.max(col).alias("mx"))
+    mn, mx = F.col("_mm.mn"), F.col("_mm.mx")
     scaled = F.when(mx == mn, F.lit(lo)).otherwise(F.lit(lo) + (x - mn) / (mx - mn) * F.lit(hi - lo))
-    return (df.crossJoin(F.broadcast(stats))
-            .withColumn(out, F.when(x.isNotNull(), C.round_half_up_2(scaled)))
-            .drop("_mn", "_mx"))
+    return with_scalars(df, "_mm", stats).withColumn(out, F.when(x.isNotNull(), C.round_half_up_2(scaled))) \
+        .drop("_mm")
 
 
 def historical_silver(trips: DataFrame, nan_text: bool = False, with_id: bool = True) -> DataFrame:

@@ -83,6 +83,16 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/zonecast-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def with_scalars(df, name: str, stats_df):
+    """Attach the single row of ``stats_df`` (an ungrouped aggregate) to every row of ``df`` as
+    struct column ``name``: one scalar subquery, evaluated once; read fields with ``name.field``.
+
+    Referencing a scalar subquery once keeps Spark from running it once per reference."""
+    from pyspark.sql import functions as F
+
+    return df.withColumn(name, stats_df.select(F.struct(*stats_df.columns)).scalar())
+
+
 def materialize(df):
     """Compute ``df`` once and cut its lineage with a reliable checkpoint in the shared folder.
 
