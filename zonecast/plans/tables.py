@@ -35,9 +35,10 @@ def ensure_table(spark, sf):
     from zonecast.sources.schemas import RIDE_SCHEMA
 
     path = work_dir(spark, "ensure") + "/bronze_rides"
-    T.ensure_table(spark, path, RIDE_SCHEMA, ["city_zone"])
-    T.ensure_table(spark, path, RIDE_SCHEMA, ["city_zone"])  # second call is a no-op
-    return spark.read.schema(RIDE_SCHEMA).parquet(path).unionByName(X.rides_raw(spark, sf).limit(0))
+    T.ensure_table(spark, path, RIDE_SCHEMA, ["city_zone"])  # absent: created empty
+    T.write_table(X.rides_raw(spark, sf), path, "append", ["city_zone"])
+    T.ensure_table(spark, path, RIDE_SCHEMA, ["city_zone"])  # present: left as it is, never truncated
+    return spark.read.schema(RIDE_SCHEMA).parquet(path)
 
 
 @register("table_write", None, "S8")
