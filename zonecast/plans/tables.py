@@ -30,7 +30,7 @@ def table_scan(spark, sf):
     return df.filter((F.col("event_type") == "purchase") & (F.col("value") > 100)).select("event_id", "ts", "value")
 
 
-@register("ensure_table", None, "S4")
+@register("ensure_table", with_views("rides_raw") + "SELECT * FROM rides_raw", "S4")
 def ensure_table(spark, sf):
     from zonecast.sources.schemas import RIDE_SCHEMA
 
@@ -41,7 +41,7 @@ def ensure_table(spark, sf):
     return spark.read.schema(RIDE_SCHEMA).parquet(path)
 
 
-@register("table_write", None, "S8")
+@register("table_write", with_views("rides") + "SELECT * FROM rides", "S8")
 def table_write(spark, sf):
     path = work_dir(spark, "write") + "/silver_rides"
     silver = X.rides(spark, sf)
