@@ -120,3 +120,17 @@ def test_hash_split_disjoint_complete_stable(spark, ids):
     a = {r["id"]: r["split"] for r in SP.hash_split(df, F.col("id")).collect()}
     b = {r["id"]: r["split"] for r in SP.hash_split(df.repartition(3), F.col("id")).collect()}
     assert a == b and set(a) == set(ids) and set(a.values()) <= {"train", "test"}
+
+
+def test_rolling_window_hot_instant_is_split(spark):
+    """A third of the rows share one timestamp: still exact, and spread over several partitions."""
+    t0 = datetime(2024, 1, 1, 12, 0)
+    rows = [(i, t0, "a") for i in range(300)] + [(300 + i, t0 + timedelta(seconds=i), "a") for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp, zone string")
+    want = _brute_rolling(rows, 300)
+    got = {r["id"]: r["window_count"] for r in O.rolling_window(df, "id", "ts", 300, partitions=8).collect()}
+    assert got == {k: v[0] for k, v in want.items()}
+    probe = df.select(F.col("ts").alias("_t"), F.lit(1).alias("_tie"), F.xxhash64("id").alias("_h"))
+    sizes = [r[1] for r in probe.repartitionByRange(8, "_t", "_tie", "_h")
+             .groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 300  # the hot instant does not land whole in one partition

@@ -86,16 +86,18 @@ def rolling_window(df: DataFrame, id_col: str, ts_col: str, seconds: int, key_co
     keep = df.filter(F.col(ts_col).isNotNull())
     sums = {f"_s{i}": F.coalesce(F.col(c).cast("long"), F.lit(0)) for i, c in enumerate(sum_cols)}
     zero = [F.lit(0).cast("long").alias(k) for k in sums]
-    data = keep.select(*kc, F.col(ts_col).alias("_t"), F.lit(1).alias("_tie"), F.lit(None).cast(
-        df.schema[id_col].dataType).alias("_id"), F.lit(1).cast("long").alias("_n"),
-        *[v.alias(k) for k, v in sums.items()])
+    data = keep.select(*kc, F.col(ts_col).alias("_t"), F.lit(1).alias("_tie"), F.col(id_col).alias("_id"),
+                       F.lit(1).cast("long").alias("_n"), *[v.alias(k) for k, v in sums.items()])
     upper = keep.select(*kc, F.col(ts_col).alias("_t"), F.lit(2).alias("_tie"), F.col(id_col).alias("_id"),
                         F.lit(0).cast("long").alias("_n"), *zero)
     lower = keep.select(*kc, (F.col(ts_col) - F.make_dt_interval(secs=F.lit(seconds))).alias("_t"),
                         F.lit(0).alias("_tie"), F.col(id_col).alias("_id"), F.lit(0).cast("long").alias("_n"), *zero)
-    order = ([F.col("_k")] if key_col else []) + [F.col("_t"), F.col("_tie")]
+    # rows with equal (key, time, tie) may sit in any order without changing a probe's total;
+    # the id hash as last sort column lets range partitioning split even a single hot instant
+    order = ([F.col("_k")] if key_col else []) + [F.col("_t"), F.col("_tie"), F.col("_h")]
     weights = ["_n", *sums]
-    totals, _ = running_totals(data.unionByName(upper).unionByName(lower), order, weights, partitions)
+    rows = data.unionByName(upper).unionByName(lower).withColumn("_h", F.xxhash64("_id"))
+    totals, _ = running_totals(rows, order, weights, partitions)
     ups = totals.filter(F.col("_tie") == 2).select(
         "_id", "_t", *(["_k"] if key_col else []), *[F.col(f"cum_{w}").alias(f"u{w}") for w in weights])
     lows = totals.filter(F.col("_tie") == 0).select("_id", *[F.col(f"cum_{w}").alias(f"l{w}") for w in weights])
