@@ -178,7 +178,7 @@ def live_defaults(spark, sf):
 
 def encoded_rides(spark, sf):
     """Ride events as JSON documents, every 97th one truncated (undecodable)."""
-    r = X._ride_fields(X._base_events(spark, sf))
+    r = X.ride_events(spark, sf)
     text = F.to_json(F.struct(*X.RIDE_COLUMNS))
     return r.select(F.when(F.pmod("event_id", F.lit(97)) == 0, F.substring(text, 1, 20)).otherwise(text)
                     .alias("value"))

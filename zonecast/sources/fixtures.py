@@ -99,6 +99,11 @@ def _ride_fields(b: DataFrame) -> DataFrame:
     )
 
 
+def ride_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze ride columns plus the source ``event_id`` and ``k`` (for derived test inputs)."""
+    return _ride_fields(_base_events(spark, sf_dir))
+
+
 def rides_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ride events, one per ``events`` row (unique ``ride_id``)."""
     return _ride_fields(_base_events(spark, sf_dir)).select(*RIDE_COLUMNS)
