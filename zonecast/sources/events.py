@@ -43,14 +43,18 @@ def decode_rejects(df: DataFrame, schema: StructType, value_col: str = "value")
 
 def read_event_stream(spark: SparkSession, schema: StructType, *, kafka_servers: str | None = None,
                       topic: str | None = None, path: str | None = None, max_files_per_trigger: int | None = None,
-                      starting_offsets: str = "latest") -> DataFrame:
+                      starting_offsets: str = "latest", min_partitions: int | None = None) -> DataFrame:
     """Streaming source. With ``kafka_servers`` it subscribes to ``topic`` (needs the
     Kafka connector on the classpath; ``failOnDataLoss`` off); otherwise it tails a folder
     of JSON-lines files. Either way the result is decoded with ``decode_events``."""
     if kafka_servers:
-        raw = (spark.readStream.format("kafka")
-               .option("kafka.bootstrap.servers", kafka_servers).option("subscribe", topic)
-               .option("startingOffsets", starting_offsets).option("failOnDataLoss", "false").load())
+        reader = (spark.readStream.format("kafka")
+                  .option("kafka.bootstrap.servers", kafka_servers).option("subscribe", topic)
+                  .option("startingOffsets", starting_offsets).option("failOnDataLoss", "false"))
+        if min_partitions:
+            # split large topic partitions into more Spark tasks than the topic has partitions
+            reader = reader.option("minPartitions", min_partitions)
+        raw = reader.load()
     else:
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
