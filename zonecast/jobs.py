@@ -91,7 +91,10 @@ def promote(spark: SparkSession, runs_path: str, threshold: float = K.PROMOTION_
     newest = T.newest_per_key(runs.select("model", "start_time", "run_id", "mae", "model_path"), ["model"],
                               ["start_time", "run_id"])
     decision = MO.promotion_gate(newest.withColumn("cycle", F.lit(1)), threshold, group="cycle")
-    decision.show(truncate=False)
+    row = decision.first()  # one row: the single promotion cycle
+    if row is None or row["model"] is None:
+        raise ValueError("no model metrics found for the promotion check")
+    print(f"{row['model']} run {row['run_id']} mae={row['mae']:.4f} promoted={row['promoted']}")
     return decision
 
 
