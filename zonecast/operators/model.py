@@ -10,8 +10,13 @@ instead of a tracking server; promotion is a query over that table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from zonecast.functions import columns as C
 from zonecast.functions import constants as K
@@ -136,3 +141,17 @@ def feature_importance(spark: SparkSession, model, top: int = 15) -> DataFrame:
     rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(imp)]
     df = spark.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.desc("importance"), "feature").limit(top)
+
+
+def pandas_scorer(load_model, feature_cols: list[str], lo: float = K.SURGE_MIN, hi: float = K.SURGE_MAX):
+    """U1 hook for a model Spark cannot run (any object with ``predict(pandas.DataFrame)``):
+    an iterator pandas UDF over Arrow batches that calls ``load_model()`` once per task, not
+    once per batch, and clips predictions to the surge band. Returns a function of the frame's
+    columns; the JVM pipeline (``score``) stays the default path."""
+    @F.pandas_udf(DoubleType())
+    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        model = load_model()
+        for pdf in batches:
+            yield pd.Series(np.clip(np.asarray(model.predict(pdf), dtype="float64"), lo, hi))
+
+    return predict(F.struct(*[F.col(c) for c in feature_cols]))
