@@ -120,3 +120,14 @@ def test_pandas_scorer_loads_once_per_task_and_clips(spark):
     got = {r["city_zone"]: r["p"] for r in out}
     assert got == {"cbd": 1.5, "mall": 1.0, "moon": 3.5}  # clipped to the surge band
     assert loads.value <= 2  # once per task (2 partitions), although each task sees 15 batches
+
+
+def test_empty_inputs_do_not_divide_by_zero(spark):
+    from zonecast.operators import features as FE2
+    from zonecast.operators import model as MO
+
+    empty = spark.createDataFrame([], "ride_id string, label double, prediction double, surge_multiplier double")
+    m = MO.regression_metrics(empty).collect()[0]
+    assert m["n"] == 0 and m["mae"] is None and m["r2"] is None
+    assert M.avg_surge(empty).collect()[0]["surge"] is None
+    assert FE2.describe(empty).collect()[0]["mean"] is None

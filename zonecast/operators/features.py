@@ -100,7 +100,7 @@ def describe(frame: DataFrame, col: str = K.TARGET) -> DataFrame:
     var_num = n * F.col("sx2").cast("decimal(38,0)") - F.col("sx").cast("decimal(38,0)") * F.col("sx")
     return s.select(
         "n",
-        (F.col("sx") / F.col("n") / F.lit(100.0)).alias("mean"),
+        (F.try_divide(F.col("sx"), F.col("n")) / F.lit(100.0)).alias("mean"),
         F.when(F.col("n") > 1, F.sqrt(var_num.cast("double") / (F.col("n") * (F.col("n") - 1)).cast("double"))
                / F.lit(100.0)).alias("std"),
         (F.col("mn") / F.lit(100.0)).alias("min"),

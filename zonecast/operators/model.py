@@ -39,8 +39,8 @@ def metrics_from_sums() -> list[Column]:
     n, sae, sse, sy, sy2 = (F.col(c) for c in ("n", "sae", "sse", "sy", "sy2"))
     sst_n = n.cast("double") * sy2 - sy.cast("double") * sy
     return [
-        (sae / n / F.lit(100.0)).alias("mae"),
-        (F.sqrt(sse / n) / F.lit(100.0)).alias("rmse"),
+        (F.try_divide(sae, n) / F.lit(100.0)).alias("mae"),
+        (F.sqrt(F.try_divide(sse, n)) / F.lit(100.0)).alias("rmse"),
         F.when(sst_n != 0, F.lit(1.0) - (sse.cast("double") * n) / sst_n).alias("r2"),
     ]
 
