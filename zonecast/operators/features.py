@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import columns as C
 from zonecast.functions import constants as K
-from zonecast.session import with_scalars
+from zonecast.session import materialize, with_scalars
 
 UNKNOWN = "unknown"
 VOCAB = {
@@ -71,7 +71,8 @@ def feature_correlation(frame: DataFrame, places: int = 6) -> DataFrame:
 def surge_histogram(frame: DataFrame, bins: int = 30, col: str = K.TARGET) -> DataFrame:
     """Equal-width bins between min and max (last bin closed), all bins listed."""
     h = C.to_hundredths(col)
-    stats = frame.agg(F.min(h).alias("lo"), F.max(h).alias("hi"))
+    # one pass for the bounds; the single row is materialised because two branches read it
+    stats = materialize(frame.agg(F.min(h).alias("lo"), F.max(h).alias("hi")))
     lo, hi = F.col("_s.lo"), F.col("_s.hi")
     width = hi - lo
     binned = with_scalars(frame.select(h.alias("h")).filter(F.col("h").isNotNull()), "_s", stats).select(
