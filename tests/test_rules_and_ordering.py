@@ -134,3 +134,20 @@ def test_rolling_window_hot_instant_is_split(spark):
     sizes = [r[1] for r in probe.repartitionByRange(8, "_t", "_tie", "_h")
              .groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 300  # the hot instant does not land whole in one partition
+
+
+def test_historical_bins_payment_and_tip_ratio(spark):
+    from zonecast.operators import history as H
+
+    ids = spark.createDataFrame([(0,), (1,), (50,), (51,), (200,), (201,), (None,)], "loc long")
+    got = [r[0] for r in ids.select(C.hist_zone("loc")).collect()]
+    assert got == [None, "zone_A", "zone_A", "zone_B", "zone_D", "zone_E", None]  # right-closed bins
+    compat = [r[0] for r in ids.select(C.hist_zone("loc", nan_text=True)).collect()]
+    assert compat[0] == "nan" and compat[-1] == "nan"
+    codes = spark.createDataFrame([(1,), (2,), (3,), (None,)], "c long")
+    assert [r[0] for r in codes.select(C.hist_payment("c")).collect()] == ["card", "cash", "other", "other"]
+    trips = spark.createDataFrame([(10.0, 2.0), (-0.01, 1.0), (20.0, 0.0)], "fare_amount double, tip_amount double")
+    ratios = [r[0] for r in trips.select(H.tip_ratio(trips)).collect()]
+    assert ratios[1] is None  # zero denominator: null, not infinity
+    scaled = H.minmax_scale(trips.withColumn("r", H.tip_ratio(trips)), "r", "s").collect()
+    assert sorted(r["s"] for r in scaled if r["s"] is not None) == [1.0, 3.5]
