@@ -63,3 +63,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+ID_BUCKETS = 1 << 18
+
+
+def likely(df: DataFrame, column: str, ids: DataFrame, absent: bool = False) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may occur in ``ids`` (one column of the same name), or with ``absent`` those where
+    it surely does not. Ids are folded to ID_BUCKETS hash buckets, so what is broadcast has a fixed bound; many ids
+    only make the filter weaker, an exact join has to follow."""
+    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(ID_BUCKETS))
+    hit = ids.select(bucket.alias("id_bucket")).distinct()
+    return (df.withColumn("id_bucket", bucket)
+            .join(F.broadcast(hit), "id_bucket", "left_anti" if absent else "left_semi").drop("id_bucket"))

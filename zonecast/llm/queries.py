@@ -12,6 +12,43 @@ from zonecast.llm.frames import read
 TOKENIZER = "piece_bpe_32k.model"
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that are similar to an earlier line."""
+    from zonecast.llm.op2_lines import dedup_lines
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "text", F.col("dedup.n_lines").alias("n_lines"),
+                                    F.size("dedup.removed").cast("bigint").alias("n_removed"))
+
+
+OP2_SQL = r"""
+WITH lines AS MATERIALIZED (
+  SELECT doc_id, i AS line_no, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+    unnest(range(1, len(l) + 1)) u(i)
+), words AS (
+  SELECT doc_id, line_no, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lines
+), grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, line_no, array_to_string(w[i:i + 4], ' ') AS g
+  FROM words, unnest(range(1, greatest(len(w) - 3, 1))) u(i)
+), sizes AS MATERIALIZED (SELECT doc_id, line_no, count(*) AS n FROM grams GROUP BY ALL
+), later AS MATERIALIZED (
+  SELECT DISTINCT p.doc_id, p.line_no FROM (
+    SELECT y.doc_id, y.line_no, x.doc_id AS xd, x.line_no AS xl, count(*) AS both_in
+    FROM grams x JOIN grams y ON x.g = y.g AND (x.doc_id, x.line_no) < (y.doc_id, y.line_no) GROUP BY ALL) p
+  JOIN sizes sy ON sy.doc_id = p.doc_id AND sy.line_no = p.line_no
+  JOIN sizes sx ON sx.doc_id = p.xd AND sx.line_no = p.xl
+  WHERE 100 * both_in >= 80 * (sx.n + sy.n - both_in)
+)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(k.n, 0)::BIGINT AS n_lines,
+  coalesce(k.gone, 0)::BIGINT AS n_removed
+FROM documents d LEFT JOIN (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (r.doc_id IS NULL) AS text, count(*) AS n,
+    count(r.doc_id) AS gone
+  FROM lines l LEFT JOIN later r USING (doc_id, line_no) GROUP BY l.doc_id) k USING (doc_id)
+"""
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by the 32k piece model."""
     import public_tokenizers
@@ -118,7 +155,7 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op5_chat_format, op7_minhash, op9_decontaminate)
+    f.__name__: f for f in (op2_line_dedup, op3_token_counts, op5_chat_format, op7_minhash, op9_decontaminate)
 }
 
-SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op7_minhash": OP7_SQL, "op9_decontaminate": OP9_SQL}
+SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op7_minhash": OP7_SQL, "op9_decontaminate": OP9_SQL}
