@@ -86,6 +86,33 @@ FROM said GROUP BY conv_id
 """
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9 or more."""
+    from zonecast.llm.op6_embeddings import near_vectors
+
+    return near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), ok AS MATERIALIZED (
+  SELECT vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.9
+), reach(vec_id, seen) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.seen
+)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = v.vec_id
+JOIN (SELECT vec_id, min(seen) AS component_id FROM reach GROUP BY vec_id) m ON m.vec_id = v.vec_id
+"""
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: three-word shingles, Jaccard 0.85 or more."""
     from zonecast.llm.op7_minhash import near_duplicates
@@ -155,7 +182,7 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup, op3_token_counts, op5_chat_format, op7_minhash, op9_decontaminate)
+    f.__name__: f for f in (op2_line_dedup, op3_token_counts, op5_chat_format, op6_embeddings, op7_minhash, op9_decontaminate)
 }
 
-SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op7_minhash": OP7_SQL, "op9_decontaminate": OP9_SQL}
+SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_embeddings": OP6_SQL, "op7_minhash": OP7_SQL, "op9_decontaminate": OP9_SQL}
