@@ -12,6 +12,13 @@ from zonecast.llm.frames import read
 TOKENIZER = "piece_bpe_32k.model"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, from weak labels."""
+    from zonecast.llm.op1_quality import classify
+
+    return classify(read(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are similar to an earlier line."""
     from zonecast.llm.op2_lines import dedup_lines
@@ -181,8 +188,16 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into training sequences."""
+    from zonecast.llm.op10_packing import pack_documents
+
+    return pack_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup, op3_token_counts, op5_chat_format, op6_embeddings, op7_minhash, op9_decontaminate)
+    f.__name__: f for f in (op1_quality, op2_line_dedup, op3_token_counts, op5_chat_format, op6_embeddings, op7_minhash, op9_decontaminate,
+                              op10_packing)
 }
 
 SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_embeddings": OP6_SQL, "op7_minhash": OP7_SQL, "op9_decontaminate": OP9_SQL}
