@@ -65,6 +65,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; one fold of five is held out."""
+    from zonecast.llm.op4_toxicity import toxicity
+
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that says control strings, formatted and read back."""
     from zonecast.llm.op5_chat import chat_digest, format_chat
@@ -196,7 +203,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_line_dedup, op3_token_counts, op5_chat_format, op6_embeddings, op7_minhash, op9_decontaminate,
+    f.__name__: f for f in (op1_quality, op2_line_dedup, op3_token_counts, op4_toxicity, op5_chat_format, op6_embeddings, op7_minhash, op9_decontaminate,
                               op10_packing)
 }
 
