@@ -160,6 +160,13 @@ JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id) c USI
 """
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from zonecast.llm.op8_html import extract
+
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words in every document."""
     from zonecast.llm.op9_decontaminate import find_passages, items_digest
@@ -203,7 +210,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_line_dedup, op3_token_counts, op4_toxicity, op5_chat_format, op6_embeddings, op7_minhash, op9_decontaminate,
+    f.__name__: f for f in (op1_quality, op2_line_dedup, op3_token_counts, op4_toxicity, op5_chat_format, op6_embeddings, op7_minhash, op8_html, op9_decontaminate,
                               op10_packing)
 }
 
