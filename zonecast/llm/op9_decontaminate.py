@@ -35,9 +35,8 @@ BLOCK_SYMBOLS = 4_000_000
 _TO_WORDS = bytes(int(W._LOWER[b]) if W.ALNUM[W._LOWER[b]] else 32 for b in range(256))
 _UNKNOWN = "\x00"
 
-FOUND = ("doc_id bigint, n_words bigint, n_hit bigint, items array<string>, "
-         "spans array<struct<start:bigint,end:bigint>>")
-STATE = "doc_id bigint, text binary, hits binary, items array<string>"
+FOUND = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
+STATE = "text binary, hits binary, items array<string>"
 
 
 def split_words(text: bytes | None) -> list[bytes]:
@@ -93,7 +92,7 @@ def _scan(block):
                 items.append(sorted(owners))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))],
-                ["doc_id", "text", "hits", "items"])
+                [batch.schema.names[0], "text", "hits", "items"])
     return run
 
 
@@ -122,7 +121,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spans.append([])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), batch.column(3),
-             pa.array(spans, kind)], ["doc_id", "n_words", "n_hit", "items", "spans"])
+             pa.array(spans, kind)], [batch.schema.names[0], "n_words", "n_hit", "items", "spans"])
 
 
 def benchmark_blocks(items: DataFrame, window: int, block_symbols: int) -> Iterator[list]:
@@ -148,21 +147,33 @@ def benchmark_blocks(items: DataFrame, window: int, block_symbols: int) -> Itera
     yield block
 
 
-def find_passages(docs: DataFrame, items: DataFrame, window: int = WINDOW,
-                  block_symbols: int = BLOCK_SYMBOLS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (ids as sorted strings) and spans, the
-    code point ranges [start, end) of the original text that benchmark windows cover."""
-    state = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                        F.col("text").cast("string").cast("binary").alias("text"),
-                        F.lit(None).cast("binary").alias("hits"), F.expr("array()").cast("array<string>").alias("items"))
-    context = docs.sparkSession.sparkContext
+def _found(rows: DataFrame, items: DataFrame, window: int, block_symbols: int) -> DataFrame:
+    """What ``items`` hit in each row of ``rows`` (a column of any type to carry along, text)."""
+    carried = rows.drop("text").schema.toDDL()
+    state = rows.withColumns({"text": F.col("text").cast("string").cast("binary"), "hits": F.lit(None).cast("binary"),
+                              "items": F.expr("cast(array() as array<string>)")})
+    context = rows.sparkSession.sparkContext
     blocks = benchmark_blocks(items, window, block_symbols)
     block, following = next(blocks), next(blocks, None)
     while following is not None:
-        state = staged(state.mapInArrow(_scan(context.broadcast(block)), STATE), "decontaminate")
+        state = staged(state.mapInArrow(_scan(context.broadcast(block)), f"{carried}, {STATE}"), "decontaminate")
         block, following = following, next(blocks, None)
     last = _scan(context.broadcast(block))
-    return state.mapInArrow(lambda batches: _finish(last(batches)), FOUND)
+    return state.mapInArrow(lambda batches: _finish(last(batches)), f"{carried}, {FOUND}")
+
+
+def find_passages(docs: DataFrame, items: DataFrame, window: int = WINDOW,
+                  block_symbols: int = BLOCK_SYMBOLS) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, items (ids as sorted strings) and spans, the
+    code point ranges [start, end) of the original text that benchmark windows cover."""
+    return _found(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), items, window, block_symbols)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW,
+                      block_symbols: int = BLOCK_SYMBOLS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which no benchmark window occurs."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return _found(rows, items, window, block_symbols).where("n_hit = 0").select("row.*")
 
 
 def items_digest(items: Column) -> Column:
