@@ -29,40 +29,54 @@ def dropped(spark: SparkSession, df: DataFrame) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _jump(parents: DataFrame) -> DataFrame:
+    """Parents of parents (a -> b), where there are any."""
+    above = parents.select(F.col("a").alias("b"), F.col("b").alias("up"))
+    return parents.join(above, "b", "left").select("a", F.coalesce("up", "b").alias("b"))
+
+
+def forest_labels(parents: DataFrame, jumps: int = 2) -> DataFrame:
+    """(node, component) of a forest of parents (a -> b, b < a), after a few pointer jumps."""
+    for _ in range(jumps):
+        parents = _jump(parents)
+    return parents.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _relabel(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    return (edges.join(la, "a", "left").join(lb, "b", "left")
+            .select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y")).where("x <> y")
+            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b: bigint), component = smallest
     reachable node.
 
-    Alternating large-star and small-star contraction: each round is two grouped minima and one join
-    on node, on a staged edge table; edges shrink to stars in O(log n) rounds. No edge list, label or
-    neighbourhood is ever collected; a hub's neighbours are spread by AQE's skew join."""
+    Contraction: each node points to its smallest smaller neighbour (a grouped minimum), pointers jump twice, and the edges
+    are rewritten to the nodes reached; what still joins two different nodes is the next round's input, on a staged table.
+    The number of rounds is logarithmic, mostly one or two. No edge list, label or neighbourhood is ever collected; a hub is
+    one row per map task in the minimum, and AQE's skew join splits it in the joins."""
     spark = edges.sparkSession
-    current = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                     .where("a <> b").distinct(), "cc-edges")
-    previous_sum = None
-    for _ in range(max_rounds):
-        # large star: every neighbour above u is linked to the smallest of u's neighbourhood
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = (both.join(low, both["a"] == low["u"]).where("b > u")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        # small star: neighbours at or below u and u itself are linked to the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low.select(F.col("a").alias("u"), "m"), large["a"] == F.col("u"))
-        small = (joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        following = staged(small, "cc-edges")
-        total = following.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        dropped(spark, current)
+    start = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                   .where("a <> b").distinct(), "cc-edges")
+    rounds, current = [], start
+    while not current.isEmpty():
+        if len(rounds) == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        labels = staged(forest_labels(current.groupBy("a").agg(F.min("b").alias("b"))), "cc-labels")
+        rounds.append(labels)
+        following = staged(_relabel(current, labels), "cc-edges")
+        if current is not start:
+            dropped(spark, current)
         current = following
-        if tuple(total) == previous_sum:
-            break
-        previous_sum = tuple(total)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    result = start.select(F.col("a").alias("node")).unionByName(start.select(F.col("b").alias("node"))).distinct()
+    result = result.withColumn("component", F.col("node"))
+    for labels in rounds:
+        step = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        result = result.join(step, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
+    return result
 
 
 ID_BUCKETS = 1 << 18
@@ -76,3 +90,9 @@ def likely(df: DataFrame, column: str, ids: DataFrame, absent: bool = False) ->
     hit = ids.select(bucket.alias("id_bucket")).distinct()
     return (df.withColumn("id_bucket", bucket)
             .join(F.broadcast(hit), "id_bucket", "left_anti" if absent else "left_semi").drop("id_bucket"))
+
+
+def without(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not among ``ids`` (one column of the same name); null stays. Only rows that may be
+    among them are shuffled."""
+    return likely(df, column, ids, absent=True).unionByName(likely(df, column, ids).join(ids, column, "left_anti").select(*df.columns))

@@ -120,13 +120,23 @@ def _hash(k: int, tables: int):
     return run
 
 
-def _cosine_check(cosine: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [len(x) == len(y) and float(np.frombuffer(x) @ np.frombuffer(y)) >= cosine
-                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(good, pa.bool_())) for i in (0, 1)], ["a", "b"])
-    return run
+def close_pairs(cosine: float):
+    def linked(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+        return np.array([len(x) == len(y) and float(np.frombuffer(x) @ np.frombuffer(y)) >= cosine
+                         for x, y in zip(xs, ys, strict=True)], bool)
+    return linked
+
+
+def close_matrix(cosine: float):
+    def matrix(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+        out = np.zeros((len(xs), len(ys)), bool)
+        nx, ny = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+        for size in np.intersect1d(nx, ny):
+            i, j = np.flatnonzero(nx == size), np.flatnonzero(ny == size)
+            a, b = (np.frombuffer(b"".join(v[k] for k in at)).reshape(len(at), -1) for v, at in ((xs, i), (ys, j)))
+            out[np.ix_(i, j)] = a @ b.T >= cosine
+        return out
+    return matrix
 
 
 def _block_counts(cosine: float):
@@ -167,13 +177,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         off = F.bit_count(a[0].bitwiseXOR(b[0])) + F.bit_count(a[1].bitwiseXOR(b[1]))
         return F.when(off <= most, -off)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        one = classes.select(F.col("node").alias("a"), F.col("unit").alias("unit_a"))
-        two = classes.select(F.col("node").alias("b"), F.col("unit").alias("unit_b"))
-        return (pairs.join(one, "a").join(two, "b").select("a", "b", "unit_a", "unit_b")
-                .mapInArrow(_cosine_check(cosine), "a bigint, b bigint").distinct())
-
-    linked = link_components(rows, sketches, score, verify)
+    payloads = classes.select("node", F.col("unit").alias("payload"))
+    linked = link_components(rows, sketches, payloads, score, close_pairs(cosine), close_matrix(cosine))
 
     # exact link counts inside components: blocks of classes, one group for each pair of blocks
     members = staged(classes.join(linked, "node").withColumn("class_id", F.xxhash64("class_key", "unit"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from zonecast.llm import words as W
 from zonecast.llm.buckets import link_components
-from zonecast.llm.frames import staged
+from zonecast.llm.frames import likely, staged, without
 
 PERMUTATIONS, BANDS, ROWS, LOW_BITS = 128, 25, 5, 4
 SIGMAS = 6
@@ -102,28 +102,52 @@ def similarity_estimate(a: Column, b: Column) -> Column:
     return (1 - unequal / float(PERMUTATIONS) - chance) / (1 - chance)
 
 
-def _verify(texts: DataFrame, shingle_words: int, percent: int):
-    """Exact check of pairs on the full shingle sets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = [W.flat(batch.column(i)) for i in (2, 3)]
-            good = np.zeros(batch.num_rows, bool)
-            at = 0
-            for (a, b) in W.slices(sides[0][1] + sides[1][1]):
-                pair = [W.shingle_sets(W.Words(d[o[a]:o[b]], o[a:b + 1] - o[a], W.BLANKS), shingle_words)
-                        for d, o in sides]
-                for at, (x, y) in enumerate(zip(*pair, strict=True), a):
-                    common = len(x) + len(y) - len(np.union1d(x, y))
-                    good[at] = common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(good)) for i in (0, 1)], ["a", "b"])
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
-        return both.mapInArrow(run, "a bigint, b bigint").distinct()
-
-    return verify
+def text_sets(texts: list[bytes], shingle_words: int) -> list[np.ndarray]:
+    data, offsets = W.flat(pa.array(texts, pa.binary()))
+    found: list[np.ndarray] = []
+    for a, b in W.slices(offsets):
+        base = offsets[a]
+        found += W.shingle_sets(W.Words(data[base:offsets[b]], offsets[a:b + 1] - base, W.BLANKS), shingle_words)
+    return found
+
+
+def similar_pairs(shingle_words: int, percent: int):
+    """Exact check of neighbouring texts on their full shingle sets."""
+    def linked(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+        good = np.zeros(len(xs), bool)
+        for at in range(0, len(xs), 256):
+            pair = text_sets(xs[at:at + 256], shingle_words), text_sets(ys[at:at + 256], shingle_words)
+            for i, (x, y) in enumerate(zip(*pair, strict=True), at):
+                union = len(np.union1d(x, y))
+                common = len(x) + len(y) - union
+                good[i] = common > 0 and 100 * common >= percent * union
+        return good
+    return linked
+
+
+def similar_matrix(shingle_words: int, percent: int, columns: int = 4096):
+    """Exact check of all texts of two blocks: common shingles are counted by products of incidence matrices, a bounded
+    number of columns (shingles that at least two texts have) at a time."""
+    def matrix(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+        sets = text_sets(xs + ys, shingle_words)
+        sizes = np.array([len(s) for s in sets])
+        row = np.repeat(np.arange(len(sets)), sizes)
+        _, column, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = n > 1
+        rank = np.cumsum(shared) - 1
+        keep = shared[column]
+        row, column = row[keep], rank[column[keep]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(xs), len(ys)), np.float32)
+        for at in range(0, int(shared.sum()), columns):
+            a, b = np.searchsorted(column, [at, at + columns])
+            has = np.zeros((len(sets), columns), np.float32)
+            has[row[a:b], column[a:b] - at] = 1
+            common += has[:len(xs)] @ has[len(xs):].T
+        union = sizes[:len(xs)][:, None] + sizes[len(xs):][None, :] - common
+        return (common > 0) & (100 * common >= percent * union)
+    return matrix
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -150,8 +174,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     # texts of all nodes that share a bucket, fetched by one join
     crowded = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     wanted = rows.join(crowded.select("key"), "key").select("node").distinct()
-    texts = staged(docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "text"), "minhash-texts")
-    linked = link_components(rows, sketches, score, _verify(texts, shingle_words, percent))
+    ids = wanted.select(F.col("node").alias("doc_id"))
+    texts = staged(likely(docs, "doc_id", ids).join(ids, "doc_id").select(
+        F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("payload")), "minhash-texts")
+    linked = link_components(rows, sketches, texts, score, similar_pairs(shingle_words, percent),
+                             similar_matrix(shingle_words, percent))
 
     return (prints.select("doc_id", "n_shingles", "set_key")
             .join(classes.select("set_key", "node"), "set_key", "left")
@@ -160,3 +187,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
                     F.coalesce("component", "node", "doc_id").alias("component_id"))
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+
+
+def keep_representatives(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less near-duplicates: of each component the smallest doc_id stays, with
+    its smallest row if that repeats. Rows with a null doc_id stay."""
+    found = staged(near_duplicates(docs, shingle_words, percent).where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count("*").alias("n")), "minhash-found")
+    gone = found.where("doc_id <> component_id or n > 1").select("doc_id")
+    repeated = found.where("doc_id = component_id and n > 1").select("doc_id")
+    once = (likely(docs, "doc_id", repeated).join(repeated, "doc_id").groupBy("doc_id")
+            .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*"))
+    return without(docs, "doc_id", gone).unionByName(once)
