@@ -65,6 +65,7 @@ def _compile(block_id: str, block) -> tuple[dict[bytes, str], object]:
             for i in range(max(len(text) - window, 0) + 1):
                 names.setdefault(text[i:i + window], set()).add(name)
         automaton = ahocorasick.Automaton()
+        automaton.add_word(chr(0x10FFFF), None)  # a symbol of no word: an empty block is an automaton too
         for pattern, owners in names.items():
             automaton.add_word(pattern, (len(pattern), sorted(owners)))
         automaton.make_automaton()
