@@ -61,23 +61,22 @@ def test_without_and_likely(spark, docs):
 # ---- operator 7 -------------------------------------------------------------------------------------------
 
 def brute_minhash(rows, n, percent):
-    sets = {}
-    for i, text in rows:
-        sets.setdefault(i, []).append(shingles(text, n, r"[^\x20\x09-\x0D]+", True))
-    ids = [i for i in sets if i is not None]
-    links = [(a, b) for a in ids for b in ids if a < b and any(
-        x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b])]
-    return reach(ids, links)
+    """Component of each row: smallest doc_id among the rows that its text reaches."""
+    sets = [shingles(t, n, r"[^\x20\x09-\x0D]+", True) for _, t in rows]
+    at = [k for k, (i, _) in enumerate(rows) if i is not None]
+    links = [(a, b) for a in at for b in at if a < b and sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    label = reach(at, links)
+    lowest = {}
+    for k in at:
+        lowest[label[k]] = min(lowest.get(label[k], rows[k][0]), rows[k][0])
+    return sorted([(i, len(s), lowest[label[k]] if i is not None else None, i is not None and lowest[label[k]] == i)
+                   for k, ((i, _), s) in enumerate(zip(rows, sets, strict=True))], key=str)
 
 
 def check_minhash(docs, rows, n=3, percent=85):
     out = op7_minhash.near_duplicates(docs(rows), n, percent).collect()
-    want = brute_minhash(rows, n, percent)
-    assert len(out) == len(rows)
-    for r in out:
-        assert r.component_id == want.get(r.doc_id)
-        assert r.kept is (r.doc_id is not None and r.doc_id == r.component_id)
-    assert sorted(r.n_shingles for r in out) == sorted(len(shingles(t, n, r"[^\x20\x09-\x0D]+", True)) for _, t in rows)
+    assert sorted([tuple(r) for r in out], key=str) == brute_minhash(rows, n, percent)
 
 
 def test_minhash_copies_near_copies_and_edge_cases(docs, words):
@@ -113,7 +112,13 @@ def test_keep_representatives_keeps_one_whole_row_per_group(spark, docs, words):
     out = op7_minhash.keep_representatives(df)
     assert out.columns == df.columns
     ids = [r.doc_id for r in out.collect()]
-    assert sorted(ids, key=str) == sorted([1, 3, None, 5, 6], key=str)
+    assert sorted(ids, key=str) == sorted([1, 3, 3, None, 5, 6], key=str)
+
+
+def test_keep_representatives_of_repeated_rows(docs, words):
+    a, b = words.text(60), words.text(60)
+    df = docs([(1, a), (1, a), (1, b), (2, b), (3, a), (4, edited(words, a, 50))])
+    assert sorted((r.doc_id, r.text) for r in op7_minhash.keep_representatives(df).collect()) == sorted([(1, a), (1, b)])
 
 
 def test_similarity_matrix_is_exact(words):

@@ -11,7 +11,7 @@ is a vectorised Arrow pass; buckets, classes and components are plain DataFrame
 
 Defined results: a null or empty text, or one without words, has the empty set, n_shingles 0, and is its
 own component; rows with a null doc_id are returned with null component and kept false and link with
-nothing; rows that repeat a doc_id are one node (each row is returned). Only doc_id and text are read,
+nothing; each row of a repeated doc_id is returned with the component of its own text. Only doc_id and text are read,
 so extra columns cannot clash; an empty table gives an empty result.
 """
 
@@ -36,7 +36,7 @@ _rng = np.random.default_rng(20240607)
 _FLIPS = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)[:, None]
 _FACTORS = (_rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1))[:, None]
 
-PRINTS = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sketch array<bigint>"
+PRINTS = "doc_id bigint, text_hash bigint, n_shingles bigint, set_key binary, bands array<bigint>, sketch array<bigint>"
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
@@ -67,7 +67,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 def _prints(shingle_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = W.flat(batch.column(1))
+            data, offsets = W.flat(batch.column(2))
             for a, b in W.slices(offsets):
                 base = offsets[a]
                 text = W.Words(data[base:offsets[b]], offsets[a:b + 1] - base, W.BLANKS)
@@ -80,12 +80,12 @@ def _prints(shingle_words: int):
                 signatures = np.array(rows, np.uint32).reshape(-1, PERMUTATIONS)
                 full = np.array(sizes) > 0
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a),
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
                     W.list_array(W.signed(band_keys(signatures).ravel()), full * BANDS, pa.int64()),
                     W.list_array(W.signed(pack(signatures).ravel()), full * 8, pa.int64()),
-                ], ["doc_id", "n_shingles", "set_key", "bands", "sketch"])
+                ], ["doc_id", "text_hash", "n_shingles", "set_key", "bands", "sketch"])
     return run
 
 
@@ -150,17 +150,20 @@ def similar_matrix(shingle_words: int, percent: int, columns: int = 4096):
     return matrix
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prints = staged(docs.mapInArrow(_prints(shingle_words), PRINTS), "minhash-prints")
+def _labelled(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, label (one value per component; null for empty sets and null
+    doc_ids) and component_id."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .withColumn("text_hash", F.xxhash64("text"))
+    prints = staged(docs.select("doc_id", "text_hash", "text").mapInArrow(_prints(shingle_words), PRINTS), "minhash-prints")
     named = prints.where("doc_id is not null and set_key is not null")
+    # a class is one set; its node is a hash of it, and its text that of its first row
     classes = staged(named.groupBy("set_key").agg(
-        F.min("doc_id").alias("node"), F.any_value(F.struct("n_shingles", "bands", "sketch")).alias("p"))
-        .select("set_key", "node", "p.*"), "minhash-classes")
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.any_value(F.struct("n_shingles", "bands", "sketch")).alias("p"))
+        .select("set_key", F.xxhash64("set_key").alias("node"), "first.doc_id", "first.text_hash", "p.*"), "minhash-classes")
     rows = classes.select(F.explode("bands").alias("key"), "node")
     # the set size rides as the sketch's last entry: sizes alone exclude many pairs
-    sketches = classes.groupBy("node").agg(F.any_value(F.concat("sketch", F.array("n_shingles"))).alias("sketch"))
+    sketches = classes.select("node", F.concat("sketch", F.array("n_shingles")).alias("sketch"))
 
     threshold = percent / 100
     spread = (threshold * (1 - threshold) / PERMUTATIONS) ** 0.5 * 16 / 15
@@ -171,31 +174,42 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         small, large = F.least(a[8], b[8]), F.greatest(a[8], b[8])
         return F.when((small * 100 >= large * percent) & (estimate >= least), estimate)
 
-    # texts of all nodes that share a bucket, fetched by one join
+    # texts of all classes that share a bucket, fetched by one join
     crowded = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    wanted = rows.join(crowded.select("key"), "key").select("node").distinct()
-    ids = wanted.select(F.col("node").alias("doc_id"))
-    texts = staged(likely(docs, "doc_id", ids).join(ids, "doc_id").select(
-        F.col("doc_id").alias("node"), F.col("text").cast("binary").alias("payload")), "minhash-texts")
+    wanted = staged(classes.select("node", "doc_id", "text_hash").join(
+        rows.join(crowded.select("key"), "key").select("node").distinct(), "node"), "minhash-wanted")
+    texts = staged(likely(docs, "doc_id", wanted.select("doc_id")).join(wanted, ["doc_id", "text_hash"])
+                   .groupBy("node").agg(F.any_value(F.col("text").cast("binary")).alias("payload")), "minhash-texts")
     linked = link_components(rows, sketches, texts, score, similar_pairs(shingle_words, percent),
                              similar_matrix(shingle_words, percent))
 
-    return (prints.select("doc_id", "n_shingles", "set_key")
-            .join(classes.select("set_key", "node"), "set_key", "left")
-            .join(linked, "node", "left")
-            .select("doc_id", "n_shingles",
-                    F.coalesce("component", "node", "doc_id").alias("component_id"))
-            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+    found = classes.join(linked, "node", "left").select("set_key", "doc_id", F.coalesce("component", "node").alias("label"))
+    lowest = found.groupBy("label").agg(F.min("doc_id").alias("lowest"))
+    known = found.join(lowest, "label").select("set_key", "label", "lowest")
+    return (prints.select("doc_id", "text_hash", "n_shingles", "set_key").join(known, "set_key", "left")
+            .select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("label")).alias("label"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id")).alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    return _labelled(docs, shingle_words, percent).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def keep_representatives(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with all their columns, less near-duplicates: of each component the smallest doc_id stays, with
-    its smallest row if that repeats. Rows with a null doc_id stay."""
-    found = staged(near_duplicates(docs, shingle_words, percent).where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("component_id"), F.count("*").alias("n")), "minhash-found")
-    gone = found.where("doc_id <> component_id or n > 1").select("doc_id")
-    repeated = found.where("doc_id = component_id and n > 1").select("doc_id")
-    once = (likely(docs, "doc_id", repeated).join(repeated, "doc_id").groupBy("doc_id")
+    """The rows of ``docs``, with all their columns, less near-duplicates: of each component the row of the smallest doc_id
+    stays (of several such rows the smallest text hash, then the smallest row). Rows of empty sets or null doc_ids stay."""
+    mark = F.xxhash64("doc_id", F.xxhash64(F.col("text").cast("string")))
+    found = staged(_labelled(docs, shingle_words, percent).where("label is not null").groupBy("label", "doc_id", "text_hash").agg(
+        F.count("*").alias("n")), "minhash-found")
+    first = found.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    judged = staged(found.join(first, "label").select(
+        F.xxhash64("doc_id", "text_hash").alias("row_mark"), "n",
+        (F.struct("doc_id", "text_hash") == F.col("first")).alias("stays")), "minhash-judged")
+    marked = docs.withColumn("row_mark", F.when(F.col("doc_id").isNotNull(), mark))
+    left = without(marked, "row_mark", judged.where("not stays or n > 1").select("row_mark")).drop("row_mark")
+    repeated = judged.where("stays and n > 1").select("row_mark")
+    once = (likely(marked, "row_mark", repeated).join(repeated, "row_mark").groupBy("row_mark")
             .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*"))
-    return without(docs, "doc_id", gone).unionByName(once)
+    return left.unionByName(once)
