@@ -94,32 +94,22 @@ def test_json_decode_routes_rejects(spark):
     assert plan.count("from_json") == 1  # one parse per row
 
 
-def test_pandas_scorer_loads_once_per_task_and_clips(spark):
+def test_json_decode_keeps_a_row_with_one_bad_field(spark):
+    from zonecast.sources import events as EV
+    from zonecast.sources.schemas import RIDE_SCHEMA
+
+    df = spark.createDataFrame([('{"ride_id": "r1", "distance_km": "oops", "surge_multiplier": 1.5}',)], "value string")
+    row = EV.decode_events(df, RIDE_SCHEMA).first()
+    assert (row["ride_id"], row["distance_km"], row["surge_multiplier"]) == ("r1", None, 1.5)
+    assert EV.decode_rejects(df, RIDE_SCHEMA).count() == 0
+
+
+def test_metrics_are_taken_from_raw_predictions(spark):
     from zonecast.operators import model as MO
 
-    class _ZoneMeanModel:  # a foreign (non-Spark) model; defined here so it ships by value
-        def __init__(self, means):
-            self.means = means
-
-        def predict(self, pdf):
-            return pdf["city_zone"].map(self.means).fillna(9.0)
-
-    means = {"cbd": 1.5, "mall": 0.2}
-    loads = spark.sparkContext.accumulator(0)
-
-    def load():
-        loads.add(1)
-        return _ZoneMeanModel(means)
-
-    df = spark.createDataFrame([("cbd",), ("mall",), ("moon",)] * 1000, "city_zone string").repartition(2)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
-    try:
-        out = df.select("city_zone", MO.pandas_scorer(load, ["city_zone"]).alias("p")).collect()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    got = {r["city_zone"]: r["p"] for r in out}
-    assert got == {"cbd": 1.5, "mall": 1.0, "moon": 3.5}  # clipped to the surge band
-    assert loads.value <= 2  # once per task (2 partitions), although each task sees 15 batches
+    df = spark.createDataFrame([(1.5, 1.504), (1.2, 1.2049), (None, 1.0)], "label double, prediction double")
+    m = MO.regression_metrics(df).first()
+    assert m["n"] == 2 and abs(m["mae"] - 0.00445) < 1e-9 and abs(m["rmse"] - ((0.004 ** 2 + 0.0049 ** 2) / 2) ** 0.5) < 1e-9
 
 
 def test_empty_inputs_do_not_divide_by_zero(spark):

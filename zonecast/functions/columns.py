@@ -37,23 +37,22 @@ def from_cents(c: Column) -> Column:
 
 
 def half_up_ratio(num: Column, den: Column) -> Column:
-    """round(num / den) half-up for num >= 0, den > 0, in integer arithmetic; null if den is 0."""
-    return F.when(den > 0, idiv(num * 2 + den, den * 2))
-
-
-def mul_round_cents(a_cents: Column, b_hundredths: Column) -> Column:
-    """round(a * b, 2) half-up, with a in cents and b in hundredths; result in cents."""
-    prod = a_cents * b_hundredths
-    return F.when(prod >= 0, idiv(prod + 50, 100)).otherwise(-idiv(-prod + 50, 100))
+    """round(num / den), halves away from zero, den > 0, in integer arithmetic; null if den is 0."""
+    up = idiv(F.abs(num) * 2 + den, den * 2)
+    return F.when(den > 0, F.when(num < 0, -up).otherwise(up))
 
 
 def money_times(amount: str | Column, factor: str | Column) -> Column:
-    """round(amount x factor, 2) half-up on decimal values (amount to 4 places, factor to 2).
+    """round(amount x factor, 2), halves away from zero, on decimal values: the amount keeps six places and the
+    factor eight, and only the product is rounded.
 
-    decimal(12,4) x decimal(5,2) is decimal(18,6): long-backed, so no BigDecimal per row.
-    Out-of-range inputs give null instead of failing the job.
+    NaN and null give null. An amount of 10**14 or a factor of 10**8 and more is no fare: it fails the job (ANSI
+    cast) instead of leaving the sums unseen.
     """
-    prod = col(amount).try_cast("decimal(12,4)") * col(factor).try_cast("decimal(5,2)")
+    def exact(x: Column, kind: str) -> Column:
+        return F.when(~F.isnan(x.cast("double")), x).cast(kind)
+
+    prod = exact(col(amount), "decimal(20,6)") * exact(col(factor), "decimal(16,8)")
     return F.round(prod, 2).cast("double")
 
 
@@ -67,11 +66,6 @@ def parse_event_ts(x: str | Column) -> Column:
     return F.try_to_timestamp(col(x))
 
 
-def ntz_to_utc(x: str | Column) -> Column:
-    """TIMESTAMP_NTZ wall-clock read as UTC (session zone is UTC)."""
-    return col(x).cast("timestamp")
-
-
 def iso_text(ts: str | Column) -> Column:
     """Event time rendered the way the event producers write it (microseconds, +00:00)."""
     return F.concat(F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))

@@ -1,12 +1,18 @@
 """Batch and streaming jobs over table paths, composed from the operators.
 
-    python -m zonecast.jobs gold-refresh   --silver PATH --gold PATH
+    python -m zonecast.jobs gold-refresh   --silver PATH --gold PATH [--since DATE]
     python -m zonecast.jobs quality        --silver PATH --gold PATH [--as-of TS]
     python -m zonecast.jobs dashboard      --silver PATH --metrics PATH
     python -m zonecast.jobs retrain        --silver PATH --runs PATH --models PATH
-    python -m zonecast.jobs promote        --runs PATH
+    python -m zonecast.jobs load-history   --trips PATH --history PATH
+    python -m zonecast.jobs retrain-history --history PATH --runs PATH --models PATH
+    python -m zonecast.jobs promote        --runs PATH --promoted PATH
+    python -m zonecast.jobs score          --silver PATH --promoted PATH --predictions PATH
+    python -m zonecast.jobs predictions    --silver PATH --promoted PATH --predictions PATH --checkpoint PATH
+    python -m zonecast.jobs live-view      --silver PATH --metrics PATH --checkpoint PATH
+    python -m zonecast.jobs rejects        --source DIR --entity NAME --table PATH --checkpoint PATH
     python -m zonecast.jobs retention      --table PATH --keys k1,k2 [--hours 168] [--as-of TS]
-    python -m zonecast.jobs streams        --rides DIR --drivers DIR --payments DIR --root PATH
+    python -m zonecast.jobs streams        --rides DIR --drivers DIR --payments DIR --root PATH [--kafka-servers HOSTS]
 
 Each job runs in the session spark-submit provides (or a local one). Failures exit
 non-zero and leave target tables as they were.
@@ -16,7 +22,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +29,24 @@ from pyspark.sql import functions as F
 from zonecast.functions import constants as K
 from zonecast.operators import features as FE
 from zonecast.operators import gold as G
+from zonecast.operators import history as H
 from zonecast.operators import metrics as M
 from zonecast.operators import model as MO
+from zonecast.operators import ordered as O
 from zonecast.operators import quality as Q
 from zonecast.operators import splits as SP
 from zonecast.operators import tables as T
-from zonecast.session import ensure_utc
+from zonecast.session import clear_work, ensure_utc, materialize
 
 GOLD_KEYS = G.GOLD_KEYS
 
 
-def gold_refresh(spark: SparkSession, silver_path: str, gold_path: str) -> int:
-    """Silver -> hourly KPIs -> keyed upsert into gold (only the touched dates are rewritten)."""
+def gold_refresh(spark: SparkSession, silver_path: str, gold_path: str, since: str | None = None) -> int:
+    """Silver -> hourly KPIs -> keyed upsert into gold. Only the touched dates are rewritten: all, or those from ``since`` on
+    (rows without a date are then left alone)."""
     silver = spark.read.parquet(silver_path)
+    if since:
+        silver = silver.filter(F.col("event_date") >= F.lit(since).cast("date"))
     if not silver.limit(1).collect():
         print("silver is empty: nothing to aggregate")
         return 1
@@ -69,53 +79,78 @@ def retrain(spark: SparkSession, silver_path: str, runs_path: str, models_path:
     """Fit on a reproducible 80 % hash split, evaluate on the rest, save the pipeline and
     append the run's metrics to the ``model_runs`` table."""
     silver = spark.read.parquet(silver_path)
-    frame = FE.score_input(silver)
+    frame = FE.score_input(silver).filter(F.col(K.TARGET).isNotNull())
     if not frame.limit(1).collect():
         print("no data available for training")
         return 1
-    split = SP.hash_split(frame, F.col("ride_id"), 0.8, portable=False)
+    split = SP.hash_split(frame, F.col("ride_id"), 0.8)
     model, metrics = MO.train(split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test"),
                               model_name)
-    run_id = f"{model_name}-{uuid.uuid4().hex[:12]}"
-    path = f"{models_path.rstrip('/')}/{run_id}"
-    model.write().save(path)
-    metrics.select(F.lit(run_id).alias("run_id"), "model", "n", "mae", "rmse", "r2", "start_time",
-                   F.lit(path).alias("model_path")).write.mode("append").parquet(runs_path)
+    MO.log_run(spark, model, materialize(metrics), runs_path, models_path)
     return 0
 
 
-def promote(spark: SparkSession, runs_path: str, threshold: float = K.PROMOTION_MAE_THRESHOLD) -> DataFrame:
+def load_history(spark: SparkSession, trips_path: str, history_path: str) -> int:
+    """Historical trips -> silver columns, only when the table is absent or empty. Trips get their row number as id."""
+    if T.table_exists(spark, history_path) and spark.read.parquet(history_path).limit(1).count():
+        print("history is loaded already")
+        return 0
+    trips = spark.read.parquet(trips_path).withColumn("trip_row_id", F.monotonically_increasing_id())
+    T.write_table(H.historical_silver(trips), history_path, "append")
+    return 0
+
+
+def retrain_history(spark: SparkSession, history_path: str, runs_path: str, models_path: str) -> int:
+    """Fit the historical model on the earliest 80 % of trips and log it; a hash split is logged for comparison only."""
+    feats = FE.feature_frame(spark.read.parquet(history_path), keep=("ride_id", "event_timestamp")).filter(F.col(K.TARGET).isNotNull())
+    if not feats.limit(1).collect():
+        print("no data available for training")
+        return 1
+    timed = O.chronological_split(feats, "event_timestamp", "ride_id", 0.8)
+    timed = materialize(timed)
+    model, metrics = MO.train(timed.filter(F.col("split") == "train"), timed.filter(F.col("split") == "test"), MO.HIST_MODEL)
+    MO.log_run(spark, model, materialize(metrics), runs_path, models_path)
+    return 0
+
+
+def score(spark: SparkSession, silver_path: str, promoted_path: str, predictions_path: str) -> int:
+    """Batch predictions of the promoted model."""
+    model = MO.load_promoted(spark, promoted_path)
+    preds = MO.score(FE.score_input(spark.read.parquet(silver_path)), model)
+    (preds.select("ride_id", "event_ts", "city_zone", "vehicle_type", "surge_multiplier", "predicted_surge_multiplier")
+     .write.mode("append").partitionBy("city_zone").parquet(predictions_path))
+    return 0
+
+
+def promote(spark: SparkSession, runs_path: str, promoted_path: str, threshold: float = K.PROMOTION_MAE_THRESHOLD) -> DataFrame:
     """Among the newest run of each candidate model, the lower MAE wins (tie -> historical model);
-    promoted only below the threshold."""
-    runs = spark.read.parquet(runs_path)
-    newest = T.newest_per_key(runs.select("model", "start_time", "run_id", "mae", "model_path"), ["model"],
-                              ["start_time", "run_id"])
-    decision = MO.promotion_gate(newest.withColumn("cycle", F.lit(1)), threshold, group="cycle")
-    row = decision.first()  # one row: the single promotion cycle
-    if row is None or row["model"] is None:
-        raise ValueError("no model metrics found for the promotion check")
+    below the threshold it becomes the promoted model that scoring reads."""
+    decision = MO.promote_run(spark, runs_path, promoted_path, threshold)
+    row = decision.first()
     print(f"{row['model']} run {row['run_id']} mae={row['mae']:.4f} promoted={row['promoted']}")
     return decision
 
 
 def retention(spark: SparkSession, table_path: str, keys: list[str], hours: int = K.RETENTION_HOURS,
               as_of: str | None = None) -> int:
-    """Rewrite a version table keeping history inside the horizon and the newest older row per key.
-    The result is staged in a sibling folder first, then written over the table."""
+    """Keep a version table's history inside the horizon and the newest older row per key; only older commits are
+    rewritten, in their own partitions."""
     as_of = as_of or spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
-    kept = T.retention_filter(spark.read.parquet(table_path), as_of, hours, keys, ["commit_version"])
-    staging = f"{table_path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
-    kept.write.mode("errorifexists").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(table_path)
+    T.apply_retention(spark, table_path, as_of, hours, keys)
     return 0
 
 
-def streams(spark: SparkSession, sources: dict[str, str], root: str, trigger_seconds: int = 30) -> int:
-    from zonecast.streaming import launcher as L
+def _running(seconds: int = 30):
     from zonecast.streaming.streams import Trigger
 
-    queries = L.start_all(spark, sources, root, Trigger(available_now=False,
-                                                        processing_time=f"{trigger_seconds} seconds"))
+    return Trigger(available_now=False, processing_time=f"{seconds} seconds")
+
+
+def streams(spark: SparkSession, sources: dict[str, str], root: str, trigger_seconds: int = 30, kafka_servers: str | None = None) -> int:
+    """The six ingest streams; with ``kafka_servers`` the sources are topics instead of folders."""
+    from zonecast.streaming import launcher as L
+
+    queries = L.start_all(spark, sources, root, _running(trigger_seconds), kafka_servers)
     status = L.supervise(queries)
     return 1 if any(s["exception"] for s in status) else 0
 
@@ -125,7 +160,10 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="job", required=True)
     for name, args in {
         "gold-refresh": ["silver", "gold"], "quality": ["silver", "gold"], "dashboard": ["silver", "metrics"],
-        "retrain": ["silver", "runs", "models"], "promote": ["runs"], "retention": ["table", "keys"],
+        "retrain": ["silver", "runs", "models"], "promote": ["runs", "promoted"], "retention": ["table", "keys"],
+        "load-history": ["trips", "history"], "retrain-history": ["history", "runs", "models"],
+        "score": ["silver", "promoted", "predictions"], "predictions": ["silver", "promoted", "predictions", "checkpoint"],
+        "live-view": ["silver", "metrics", "checkpoint"], "rejects": ["source", "entity", "table", "checkpoint"],
         "streams": ["rides", "drivers", "payments", "root"],
     }.items():
         sp = sub.add_parser(name)
@@ -135,10 +173,24 @@ def main(argv: list[str] | None = None) -> int:
             sp.add_argument("--as-of", default=None)
         if name == "retention":
             sp.add_argument("--hours", type=int, default=K.RETENTION_HOURS)
+        if name == "gold-refresh":
+            sp.add_argument("--since", default=None)
+        if name == "streams":
+            sp.add_argument("--kafka-servers", default=None)
     a = p.parse_args(argv)
     spark = ensure_utc(SparkSession.builder.appName(f"zonecast-{a.job}").getOrCreate())
+    try:
+        return _run(spark, a)
+    finally:
+        clear_work(spark)
+
+
+def _run(spark: SparkSession, a: argparse.Namespace) -> int:
+    from zonecast.streaming import launcher as L
+    from zonecast.streaming import streams as ST
+
     if a.job == "gold-refresh":
-        return gold_refresh(spark, a.silver, a.gold)
+        return gold_refresh(spark, a.silver, a.gold, a.since)
     if a.job == "quality":
         return quality(spark, a.silver, a.gold, a.as_of)
     if a.job == "dashboard":
@@ -146,11 +198,26 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "retrain":
         return retrain(spark, a.silver, a.runs, a.models)
     if a.job == "promote":
-        promote(spark, a.runs)
+        promote(spark, a.runs, a.promoted)
         return 0
+    if a.job == "load-history":
+        return load_history(spark, a.trips, a.history)
+    if a.job == "retrain-history":
+        return retrain_history(spark, a.history, a.runs, a.models)
+    if a.job == "score":
+        return score(spark, a.silver, a.promoted, a.predictions)
+    queries = None
+    if a.job == "predictions":
+        queries = [ST.start_scoring(spark, a.silver, a.predictions, a.checkpoint, MO.load_promoted(spark, a.promoted), trigger=_running())]
+    if a.job == "live-view":
+        queries = ST.start_live_view(spark, a.silver, a.metrics, a.checkpoint, trigger=_running())
+    if a.job == "rejects":
+        queries = [ST.start_rejects(spark, a.entity, a.table, a.checkpoint, a.source, trigger=_running())]
+    if queries:
+        return 1 if any(s["exception"] for s in L.supervise(queries)) else 0
     if a.job == "retention":
         return retention(spark, a.table, a.keys.split(","), a.hours, a.as_of)
-    return streams(spark, {"rides": a.rides, "drivers": a.drivers, "payments": a.payments}, a.root)
+    return streams(spark, {"rides": a.rides, "drivers": a.drivers, "payments": a.payments}, a.root, kafka_servers=a.kafka_servers)
 
 
 if __name__ == "__main__":

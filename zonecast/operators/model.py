@@ -1,59 +1,52 @@
 """Surge model: metrics, run table, promotion gate, training and scoring on Spark ML.
 
-Training uses a Spark ML ``Pipeline`` (StringIndexer with a kept "unknown"
-bucket -> OneHotEncoder -> VectorAssembler -> GBTRegressor with 100 trees, depth
+Training uses a Spark ML ``Pipeline`` (fixed-vocabulary StringIndexerModel with a kept bucket
+for other values -> VectorAssembler -> GBTRegressor with 100 trees, depth
 5, step 0.1, row subsample 0.8, column subsample 0.8, seed 42): distributed,
-JVM-side, and the fitted vocabulary travels with the model, so scoring a
+JVM-side, and the vocabulary travels with the model, so scoring a
 stream or a batch needs no Python UDF. Runs are rows of a ``model_runs`` table
-instead of a tracking server; promotion is a query over that table.
+instead of a tracking server; promotion is a query over that table, and scoring loads the
+newest promoted run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from zonecast.functions import columns as C
 from zonecast.functions import constants as K
+from zonecast.operators import tables as T
+from zonecast.operators.features import VOCAB
 
 FEATURE_PARAMS = dict(maxIter=100, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42,
                       featureSubsetStrategy="0.8")
+#: Categories of live and historical rides.
+MODEL_VOCAB = VOCAB | {"city_zone": [*VOCAB["city_zone"], *K.HIST_ZONE_LABELS], "vehicle_type": [*VOCAB["vehicle_type"], "yellow_taxi"]}
 LIVE_MODEL = "surge_price_model"
 HIST_MODEL = "surge_price_model_nyc"
 
 
-def regression_sums(label: Column, prediction: Column) -> list[Column]:
-    """Exact integer sums over hundredths for MAE / RMSE / R^2."""
-    y, p = C.to_hundredths(label), C.to_hundredths(prediction)
-    d = y - p
-    return [F.count(F.lit(1)).alias("n"), F.sum(F.abs(d)).alias("sae"), F.sum(d * d).alias("sse"),
-            F.sum(y).alias("sy"), F.sum(y * y).alias("sy2")]
-
-
-def metrics_from_sums() -> list[Column]:
-    n, sae, sse, sy, sy2 = (F.col(c) for c in ("n", "sae", "sse", "sy", "sy2"))
-    sst_n = n.cast("double") * sy2 - sy.cast("double") * sy
-    return [
-        (F.try_divide(sae, n) / F.lit(100.0)).alias("mae"),
-        (F.sqrt(F.try_divide(sse, n)) / F.lit(100.0)).alias("rmse"),
-        F.when(sst_n != 0, F.lit(1.0) - (sse.cast("double") * n) / sst_n).alias("r2"),
-    ]
+def regression_aggregates(label: Column, prediction: Column) -> list[Column]:
+    """N, MAE, RMSE and R^2 of the raw values, rounded once, to nine places, at the end. Rows without a label or a
+    prediction are not counted."""
+    both = label.isNotNull() & prediction.isNotNull()
+    y, p = F.when(both, label), F.when(both, prediction)
+    sse, sst = F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y)
+    return [F.count(y).alias("n"), F.round(F.avg(F.abs(y - p)), 9).alias("mae"),
+            F.round(F.sqrt(F.avg((y - p) * (y - p))), 9).alias("rmse"),
+            F.round(F.when(sst > 0, F.lit(1.0) - sse / sst), 9).alias("r2")]
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """MAE, RMSE, R^2 in one aggregate."""
-    return df.agg(*regression_sums(F.col(label), F.col(prediction))).select("n", *metrics_from_sums())
+    return df.agg(*regression_aggregates(F.col(label), F.col(prediction)))
 
 
 def residuals(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """M7: actual - predicted (exact in hundredths)."""
-    return df.select("ride_id", label, prediction,
-                     ((C.to_hundredths(label) - C.to_hundredths(prediction)) / F.lit(100.0)).alias("residual"))
+    """M7: actual - predicted."""
+    return df.select("ride_id", label, prediction, (F.col(label) - F.col(prediction)).alias("residual"))
 
 
 def model_runs_from_scores(scored: DataFrame) -> DataFrame:
@@ -63,10 +56,10 @@ def model_runs_from_scores(scored: DataFrame) -> DataFrame:
     b = base.select("event_date", "event_ts", "label", F.col("prediction_alt").alias("p"),
                     F.lit(HIST_MODEL).alias("model"))
     g = a.unionByName(b).groupBy("event_date", "model").agg(
-        *regression_sums(F.col("label"), F.col("p")), F.max("event_ts").alias("start_time"))
+        *regression_aggregates(F.col("label"), F.col("p")), F.max("event_ts").alias("start_time"))
     return g.select(
         F.concat(F.col("model"), F.lit("-"), F.date_format("event_date", "yyyyMMdd")).alias("run_id"),
-        "model", "event_date", "n", *metrics_from_sums(), "start_time")
+        "model", "event_date", "n", "mae", "rmse", "r2", "start_time")
 
 
 def promotion_gate(runs: DataFrame, threshold: float = K.PROMOTION_MAE_THRESHOLD,
@@ -95,63 +88,97 @@ def leaderboard(runs: DataFrame, n: int = 10) -> DataFrame:
 # ---------------------------------------------------------------- training and scoring
 
 def build_pipeline(label: str = K.TARGET):
+    """Fixed vocabularies (no pass over the data), each category one nominal feature, boosted trees."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import StringIndexerModel, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     cats = K.CATEGORICAL_FEATURES
-    idx = StringIndexer(inputCols=cats, outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep",
-                        stringOrderType="alphabetAsc")
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cats], outputCols=[f"{c}_vec" for c in cats],
-                        handleInvalid="keep", dropLast=False)
-    vec = VectorAssembler(inputCols=K.NUMERIC_FEATURES + [f"{c}_vec" for c in cats], outputCol="features",
-                          handleInvalid="keep")
+    # values outside the vocabulary share the extra index that "keep" adds
+    idx = StringIndexerModel.from_arrays_of_labels([MODEL_VOCAB[c] for c in cats], inputCols=cats,
+                                                   outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep")
+    vec = VectorAssembler(inputCols=K.NUMERIC_FEATURES + [f"{c}_idx" for c in cats], outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="raw_prediction",
                        checkpointInterval=10, cacheNodeIds=True, **FEATURE_PARAMS)
-    return Pipeline(stages=[idx, ohe, vec, gbt])
+    return Pipeline(stages=[idx, vec, gbt])
+
+
+def evaluate(test_df: DataFrame, model, model_name: str) -> DataFrame:
+    """One-row metrics frame of the raw (unclipped) predictions."""
+    m = model.transform(test_df).agg(*regression_aggregates(F.col(K.TARGET), F.col("raw_prediction")))
+    return m.select(F.lit(model_name).alias("model"), "n", "mae", "rmse", "r2", F.current_timestamp().alias("start_time"))
 
 
 def train(train_df: DataFrame, test_df: DataFrame, model_name: str):
     """Fit on ``train_df``, evaluate on ``test_df``; returns (PipelineModel, one-row metrics frame)."""
     model = build_pipeline().fit(train_df)
-    scored = score(test_df, model)
-    m = scored.agg(*regression_sums(F.col(K.TARGET), F.col("predicted_surge_multiplier")),
-                   F.current_timestamp().alias("start_time"))
-    return model, m.select(F.lit(model_name).alias("model"), "n", *metrics_from_sums(), "start_time")
+    return model, evaluate(test_df, model, model_name)
 
 
 def score(df: DataFrame, model) -> DataFrame:
     """JVM pipeline prediction clipped to the surge band."""
     out = model.transform(df)
     clipped = F.least(F.lit(K.SURGE_MAX), F.greatest(F.lit(K.SURGE_MIN), F.col("raw_prediction")))
-    drop = [c for c in out.columns if c.endswith("_idx") or c.endswith("_vec") or c in ("features", "raw_prediction")]
+    drop = [c for c in out.columns if c.endswith("_idx") or c in ("features", "raw_prediction")]
     return out.withColumn("predicted_surge_multiplier", clipped).drop(*drop)
 
 
-def feature_importance(spark: SparkSession, model, top: int = 15) -> DataFrame:
-    """M6: importance per input feature (one-hot slots named by their category), top n.
+def feature_names(model, frame: DataFrame) -> list[str]:
+    """Names of the feature vector's entries, as its column's metadata gives them."""
+    attrs = model.transform(frame.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
+    found = {a["idx"]: a["name"] for kind in attrs.values() for a in kind}
+    return [found[i].removesuffix("_idx") for i in range(len(found))]
 
-    The vector is as long as the feature space (tens of entries), not the data."""
-    gbt = model.stages[-1]
-    indexer = model.stages[0]
-    names = list(K.NUMERIC_FEATURES)
-    for c, labels in zip(K.CATEGORICAL_FEATURES, indexer.labelsArray):
-        names += [f"{c}_{v}" for v in labels] + [f"{c}___invalid"]
-    imp = gbt.featureImportances.toArray().tolist()
-    rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(imp)]
+
+def feature_importance(spark: SparkSession, model, frame: DataFrame, top: int = 15) -> DataFrame:
+    """M6: importance per feature of the vector that the model reads from frames like ``frame``, top n.
+
+    The vector is as long as the feature space (a handful of entries), not the data."""
+    values = model.stages[-1].featureImportances.toArray().tolist()
+    rows = [(name, float(v)) for name, v in zip(feature_names(model, frame), values, strict=True)]
     df = spark.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.desc("importance"), "feature").limit(top)
 
 
-def pandas_scorer(load_model, feature_cols: list[str], lo: float = K.SURGE_MIN, hi: float = K.SURGE_MAX):
-    """U1 hook for a model Spark cannot run (any object with ``predict(pandas.DataFrame)``):
-    an iterator pandas UDF over Arrow batches that calls ``load_model()`` once per task, not
-    once per batch, and clips predictions to the surge band. Returns a function of the frame's
-    columns; the JVM pipeline (``score``) stays the default path."""
-    @F.pandas_udf(DoubleType())
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        model = load_model()
-        for pdf in batches:
-            yield pd.Series(np.clip(np.asarray(model.predict(pdf), dtype="float64"), lo, hi))
-
-    return predict(F.struct(*[F.col(c) for c in feature_cols]))
+# ---------------------------------------------------------------- run table and promoted model
+
+RUN_SCHEMA = ("run_id string, model string, n long, mae double, rmse double, r2 double, start_time timestamp, model_path string")
+PROMOTED_SCHEMA = "promoted_at timestamp, run_id string, model string, mae double, model_path string"
+
+
+def log_run(spark: SparkSession, model, metrics: DataFrame, runs_path: str, models_path: str) -> str:
+    """Save a fitted pipeline and append its run row; returns the model's path."""
+    name = metrics.first()["model"]
+    run_id = f"{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{models_path.rstrip('/')}/{run_id}"
+    model.write().save(path)
+    metrics.select(F.lit(run_id).alias("run_id"), "model", "n", "mae", "rmse", "r2", "start_time",
+                   F.lit(path).alias("model_path")).write.mode("append").parquet(runs_path)
+    return path
+
+
+def promote_run(spark: SparkSession, runs_path: str, promoted_path: str, threshold: float = K.PROMOTION_MAE_THRESHOLD) -> DataFrame:
+    """M4: among the newest run of each candidate the lower MAE wins (tie -> historical model); below the threshold it is
+    appended to the promoted runs, which scoring reads. Returns the decision."""
+    runs = spark.read.schema(RUN_SCHEMA).parquet(runs_path)
+    newest = T.newest_per_key(runs.select("model", "start_time", "run_id", "mae", "model_path"), ["model"], ["start_time", "run_id"])
+    decision = promotion_gate(newest.withColumn("cycle", F.lit(1)), threshold, group="cycle")
+    row = decision.first()  # one row: the single promotion cycle
+    if row is None or row["model"] is None:
+        raise ValueError("no model metrics found for the promotion check")
+    if row["promoted"]:
+        (newest.where(F.col("run_id") == row["run_id"])
+         .select(F.current_timestamp().alias("promoted_at"), "run_id", "model", "mae", "model_path")
+         .write.mode("append").parquet(promoted_path))
+    return decision
+
+
+def load_promoted(spark: SparkSession, promoted_path: str):
+    """The newest promoted pipeline."""
+    from pyspark.ml import PipelineModel
+
+    rows = T.read_table(spark, promoted_path, PROMOTED_SCHEMA)
+    newest = rows.agg(F.max_by("model_path", F.struct("promoted_at", "run_id")).alias("path")).first()["path"]
+    if newest is None:
+        raise ValueError(f"no promoted model in {promoted_path}")
+    return PipelineModel.load(newest)

@@ -75,40 +75,42 @@ def rolling_window(df: DataFrame, id_col: str, ts_col: str, seconds: int, key_co
                    sum_cols: tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
     """For every row with a time: number of rows (same key, if given) with time in
     [ts - seconds, ts] (both edges included) and the sums of ``sum_cols`` (integer
-    columns, nulls as 0) over the same rows. ``id_col`` must be unique.
+    columns, nulls as 0) over the same rows. Ids may be null or repeated: one row out per row in.
 
-    Each event contributes a data row (weight 1) and two probes of weight 0: a lower
-    probe at ts - seconds sorted before equal-time data rows and an upper probe at ts
-    sorted after them. The window is (running total at the upper probe) - (running
-    total at the lower probe); the two probes meet again in one equi-join on the id.
+    Each event becomes three rows by one generator, so the input is read once: a data row (weight 1) and two probes of
+    weight 0, a lower one at ts - seconds sorted before equal-time data rows and an upper one at ts sorted after them. The
+    window is (running total at the upper probe) - (running total at the lower probe). The probes meet in one
+    grouping by (id, time, key): rows that agree in these have the same window, and are given out as often as they came.
     """
-    kc = [F.col(key_col).alias("_k")] if key_col else []
-    keep = df.filter(F.col(ts_col).isNotNull())
-    sums = {f"_s{i}": F.coalesce(F.col(c).cast("long"), F.lit(0)) for i, c in enumerate(sum_cols)}
-    zero = [F.lit(0).cast("long").alias(k) for k in sums]
-    data = keep.select(*kc, F.col(ts_col).alias("_t"), F.lit(1).alias("_tie"), F.col(id_col).alias("_id"),
-                       F.lit(1).cast("long").alias("_n"), *[v.alias(k) for k, v in sums.items()])
-    upper = keep.select(*kc, F.col(ts_col).alias("_t"), F.lit(2).alias("_tie"), F.col(id_col).alias("_id"),
-                        F.lit(0).cast("long").alias("_n"), *zero)
-    lower = keep.select(*kc, (F.col(ts_col) - F.make_dt_interval(secs=F.lit(seconds))).alias("_t"),
-                        F.lit(0).alias("_tie"), F.col(id_col).alias("_id"), F.lit(0).cast("long").alias("_n"), *zero)
+    t = F.col(ts_col)
+    sums = [F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in sum_cols]
+    key = F.col(key_col) if key_col else F.lit(0)
+
+    def row(time: Column, tie: int) -> Column:
+        weight = [(F.lit(1 if tie == 1 else 0).cast("long")).alias("_n")]
+        weight += [(s if tie == 1 else F.lit(0).cast("long")).alias(f"_s{i}") for i, s in enumerate(sums)]
+        return F.struct(time.alias("_t"), F.lit(tie).alias("_tie"), *weight)
+
+    lower = t - F.make_dt_interval(secs=F.lit(seconds))
+    rows = (df.filter(t.isNotNull())
+            .select(key.alias("_k"), F.col(id_col).alias("_id"), t.alias("_at"),
+                    F.inline(F.array(row(lower, 0), row(t, 1), row(t, 2))))
+            .withColumn("_h", F.xxhash64("_id")))
     # rows with equal (key, time, tie) may sit in any order without changing a probe's total;
     # the id hash as last sort column lets range partitioning split even a single hot instant
-    order = ([F.col("_k")] if key_col else []) + [F.col("_t"), F.col("_tie"), F.col("_h")]
-    weights = ["_n", *sums]
-    rows = data.unionByName(upper).unionByName(lower).withColumn("_h", F.xxhash64("_id"))
-    totals, _ = running_totals(rows, order, weights, partitions)
-    ups = totals.filter(F.col("_tie") == 2).select(
-        "_id", "_t", *(["_k"] if key_col else []), *[F.col(f"cum_{w}").alias(f"u{w}") for w in weights])
-    lows = totals.filter(F.col("_tie") == 0).select("_id", *[F.col(f"cum_{w}").alias(f"l{w}") for w in weights])
-    j = ups.join(lows, "_id")
-    out = [F.col("_id").alias(id_col), F.col("_t").alias(ts_col)]
+    weights = ["_n", *[f"_s{i}" for i in range(len(sums))]]
+    totals, _ = running_totals(rows, [F.col("_k"), F.col("_t"), F.col("_tie"), F.col("_h")], weights, partitions)
+    upper_at, lower_at = F.col("_tie") == 2, F.col("_tie") == 0
+    windows = totals.where(F.col("_tie") != 1).groupBy("_id", "_at", "_k").agg(
+        F.sum(upper_at.cast("int")).alias("_copies"),
+        *[(F.max(F.when(upper_at, F.col(f"cum_{w}"))) - F.max(F.when(lower_at, F.col(f"cum_{w}")))).alias(f"w{w}") for w in weights])
+    # equal probes have equal totals, so any of a group's rows tells
+    out = [F.col("_id").alias(id_col), F.col("_at").alias(ts_col)]
     if key_col:
         out.append(F.col("_k").alias(key_col))
-    out.append((F.col("u_n") - F.col("l_n")).alias("window_count"))
-    for i, c in enumerate(sum_cols):
-        out.append((F.col(f"u_s{i}") - F.col(f"l_s{i}")).alias(f"window_sum_{c}"))
-    return j.select(*out)
+    out.append(F.col("w_n").alias("window_count"))
+    out += [F.col(f"w_s{i}").alias(f"window_sum_{c}") for i, c in enumerate(sum_cols)]
+    return windows.select(*out, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).drop("_copy")
 
 
 def global_position(df: DataFrame, order: list[Column], partitions: int | None = None

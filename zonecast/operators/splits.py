@@ -9,32 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.functions import columns as C
-
 SEED = 42
-_M = 2147483648  # 2^31
-_A, _C = 1103515245, 12345
-
-
-def portable_bucket(key: Column, seed: int = SEED) -> Column:
-    """0..99 from a non-negative integer key: one LCG step mod 2^31, high bits, mod 100.
-
-    Plain integer arithmetic, so another engine can reproduce it (checked against DuckDB).
-    """
-    h = F.pmod(F.pmod(key, F.lit(_M)) * _A + (_C + seed), F.lit(_M))
-    return F.pmod(C.idiv(h, 65536), F.lit(100))
-
-
-def portable_bucket_sql(key: str, seed: int = SEED) -> str:
-    return f"(((({key}) % {_M}) * {_A} + {_C + seed}) % {_M} // 65536) % 100"
+BUCKETS = 1_000_000
 
 
 def hash_bucket(key: Column, seed: int = SEED) -> Column:
-    """0..99 from any key type via xxhash64 (Spark only)."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(100))
+    """0..999,999 from a key of any type: the first 32 bits of md5 over its text and the seed. A null key is the text
+    "null", so that rows without a key are on one side."""
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f":{seed}"))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(BUCKETS))
 
 
-def hash_split(df: DataFrame, key: Column, train_fraction: float = 0.8, seed: int = SEED,
-               portable: bool = True) -> DataFrame:
-    bucket = portable_bucket(key, seed) if portable else hash_bucket(key, seed)
-    return df.withColumn("split", F.when(bucket < int(round(train_fraction * 100)), "train").otherwise("test"))
+def hash_split(df: DataFrame, key: Column, train_fraction: float = 0.8, seed: int = SEED) -> DataFrame:
+    cut = int(round(train_fraction * BUCKETS))
+    return df.withColumn("split", F.when(hash_bucket(key, seed) < cut, "train").otherwise("test"))

@@ -2,7 +2,7 @@
 version history and retention over an append-only version table.
 
 There is no table format here (no transaction log): a version table is a plain
-Parquet table with ``commit_version`` / ``committed_at`` columns, and an upsert
+Parquet table with ``commit_version`` / ``committed_at`` / ``operation`` columns, and an upsert
 is a null-safe full outer join of target and source, staged in a sibling folder
 and then written over the target. Writers are assumed single (no reader isolation); with
 ``partition_by`` only the partitions the source touches are rewritten (dynamic
@@ -96,24 +96,64 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     return plain.unionByName(nulls)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def _same_partitions(target: DataFrame, source: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Target rows in the partitions that the source touches, the null partition among them."""
+    touched = source.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(partition_by)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(partition_by)])
+    return target.join(touched, same, "left_semi")
+
+
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: list[str],
-                 partition_by: list[str] | None = None, check_unique: bool = True) -> None:
-    """J1 on storage: create if absent, else merge, stage and write back. Errors leave the
-    target as it was and are re-raised; nothing silently falls back to append."""
-    if check_unique:
-        assert_unique_keys(source, keys)
-    if not table_exists(spark, path):
-        write_table(source, path, "overwrite", partition_by)
-        return
-    target = spark.read.parquet(path)
-    if partition_by:
-        touched = source.select(*partition_by).distinct()
-        target = target.join(touched, partition_by, "left_semi")
-    merged = merge_upsert(target, source, keys)
-    staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
-    merged.write.mode("errorifexists").parquet(staging) if not partition_by else \
-        merged.write.mode("errorifexists").partitionBy(*partition_by).parquet(staging)
-    write_table(spark.read.parquet(staging), path, "overwrite", partition_by)
+                 partition_by: list[str] | None = None, check_unique: bool = True, force_append: bool = False) -> None:
+    """J1 on storage: create if absent, else merge and write back; with ``force_append`` the rows are appended unmerged.
+
+    ``partition_by`` must be among ``keys``: otherwise a key that moves to another partition would leave its old row behind.
+    The source is computed once, into a staging folder beside the table, and checked and merged from there; the merged
+    partitions are staged as well before they replace the old ones. Both stagings are read with the source's schema (partition
+    values are never inferred from folder names) and removed at the end. An error before the last step leaves the target as it
+    was; the last step replaces partitions one by one and has a single writer."""
+    if partition_by and not set(partition_by) <= set(keys):
+        raise ValueError(f"partition columns {partition_by} must be among the keys {keys}")
+    base = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
+    staged, merged = f"{base}-source", f"{base}-merged"
+    try:
+        source.write.mode("errorifexists").parquet(staged)
+        incoming = spark.read.schema(source.schema).parquet(staged)
+        if force_append:
+            write_table(incoming, path, "append", partition_by)
+            return
+        if check_unique:
+            assert_unique_keys(incoming, keys)
+        if not table_exists(spark, path):
+            write_table(incoming, path, "overwrite", partition_by)
+            return
+        target = spark.read.schema(source.schema).parquet(path)
+        if partition_by:
+            target = _same_partitions(target, incoming, partition_by)
+        merge_upsert(target, incoming, keys).write.mode("errorifexists").parquet(merged)
+        write_table(spark.read.schema(source.schema).parquet(merged), path, "overwrite", partition_by)
+    finally:
+        for folder in (staged, merged):
+            delete_path(spark, folder)
+
+
+def append_version(spark: SparkSession, df: DataFrame, path: str, operation: str, committed_at: str | None = None) -> int:
+    """Append ``df`` to a version table as the next commit and return its number. Each row carries the commit's
+    number, time and operation; the table is partitioned by commit. Single writer."""
+    newest = None
+    if table_exists(spark, path):
+        newest = spark.read.parquet(path).agg(F.max("commit_version").alias("v")).first()["v"]
+    version = 0 if newest is None else int(newest) + 1
+    at = F.current_timestamp() if committed_at is None else F.lit(committed_at).cast("timestamp")
+    (df.withColumns({"commit_version": F.lit(version), "committed_at": at, "operation": F.lit(operation)})
+     .write.mode("append").partitionBy("commit_version").parquet(path))
+    return version
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -131,12 +171,12 @@ def as_of_read(versions: DataFrame, as_of: str, keys: list[str],
 
 
 def version_history(versions: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
-    """The n newest versions with time, operation and row metrics."""
+    """The n newest versions with time, operation (as its writer named it) and row metrics."""
     return (versions.groupBy("commit_version").agg(
         F.max("committed_at").alias("committed_at"),
         F.count(F.lit(1)).alias("num_rows"),
-        F.countDistinct(*keys).alias("num_keys"))
-        .withColumn("operation", F.when(F.col("commit_version") == 0, "CREATE").otherwise("APPEND"))
+        F.countDistinct(*keys).alias("num_keys"),
+        F.max("operation").alias("operation"))
         .orderBy(F.desc("commit_version")).limit(n))
 
 
@@ -149,3 +189,24 @@ def retention_filter(versions: DataFrame, as_of: str, hours: int, keys: list[str
     old = versions.filter(F.col("committed_at") < horizon)
     survivors = newest_per_key(old, keys, list(order))
     return recent.unionByName(survivors)
+
+
+def apply_retention(spark: SparkSession, path: str, as_of: str, hours: int, keys: list[str],
+                    order: list[str] = ("commit_version",)) -> None:
+    """S12 on storage, for a table partitioned by commit_version: commits inside the horizon are not touched; of the older ones
+    only the surviving rows are staged and put back, in their own partitions, and commits without survivors are removed."""
+    schema = spark.read.parquet(path).schema
+    versions = spark.read.schema(schema).parquet(path)
+    horizon = F.lit(as_of).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
+    old = versions.filter(F.col("committed_at") < horizon)
+    before = {r["commit_version"] for r in old.select("commit_version").distinct().collect()}  # one value per commit
+    staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
+    try:
+        newest_per_key(old, keys, list(order)).write.mode("errorifexists").parquet(staging)
+        kept = spark.read.schema(schema).parquet(staging)
+        left = {r["commit_version"] for r in kept.select("commit_version").distinct().collect()}
+        write_table(kept, path, "overwrite", ["commit_version"])
+        for version in sorted(before - left):
+            delete_path(spark, f"{path.rstrip('/')}/commit_version={version}")
+    finally:
+        delete_path(spark, staging)

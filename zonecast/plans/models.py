@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from zonecast.functions import columns as C
@@ -13,9 +15,10 @@ from zonecast.operators import ordered as O
 from zonecast.operators import silver as S
 from zonecast.operators import splits as SP
 from zonecast.operators import tables as T
+from zonecast.plans import history  # noqa: F401  (adds the view of historical rides)
 from zonecast.plans.catalog import register
 from zonecast.plans.oracle import RIDE_COLS, add_view, cents_sql, parse_sql, surge_rule_sql, with_views
-from zonecast.session import work_dir
+from zonecast.session import checkpoint_root, materialize, work_dir
 from zonecast.sources import events as EV
 from zonecast.sources import fixtures as X
 from zonecast.sources.schemas import RIDE_SCHEMA
@@ -97,34 +100,26 @@ def surge_describe(spark, sf):
 
 # ---------------------------------------------------------------- metrics, residuals, promotion
 
-def _sums_sql(label: str, pred: str) -> str:
-    y, p = cents_sql(label), cents_sql(pred)
-    return (f"count(*) AS n, CAST(sum(abs({y} - {p})) AS BIGINT) AS sae, "
-            f"CAST(sum(({y} - {p}) * ({y} - {p})) AS BIGINT) AS sse, CAST(sum({y}) AS BIGINT) AS sy, "
-            f"CAST(sum({y} * {y}) AS BIGINT) AS sy2")
-
-
-_METRICS_SQL = ("sae / n / 100.0 AS mae, sqrt(sse / n) / 100.0 AS rmse, "
-                "CASE WHEN CAST(n AS DOUBLE) * sy2 - CAST(sy AS DOUBLE) * sy <> 0 THEN "
-                "1.0 - (CAST(sse AS DOUBLE) * n) / (CAST(n AS DOUBLE) * sy2 - CAST(sy AS DOUBLE) * sy) END AS r2")
+def _metrics_sql(y: str, p: str) -> str:
+    return (f"count({y}) AS n, round(avg(abs({y} - {p})), 9) AS mae, round(sqrt(avg(({y} - {p}) ** 2)), 9) AS rmse, "
+            f"round(CASE WHEN var_pop({y}) > 0 THEN 1 - sum(({y} - {p}) ** 2) / (var_pop({y}) * count({y})) END, 9) AS r2")
 
 
 @register("regression_metrics", with_views("scored") + f"""
-SELECT n, {_METRICS_SQL} FROM (SELECT {_sums_sql('label', 'prediction')} FROM scored)""", "A25")
+SELECT {_metrics_sql('label', 'prediction')} FROM scored WHERE label IS NOT NULL AND prediction IS NOT NULL""", "A25")
 def regression_metrics(spark, sf):
     return MO.regression_metrics(X.scored(spark, sf))
 
 
-@register("residuals", with_views("scored") + f"""
-SELECT ride_id, label, prediction, ({cents_sql('label')} - {cents_sql('prediction')}) / 100.0 AS residual
-FROM scored""", "M7")
+@register("residuals", with_views("scored") + """
+SELECT ride_id, label, prediction, label - prediction AS residual FROM scored""", "M7")
 def residuals(spark, sf):
     return MO.residuals(X.scored(spark, sf))
 
 
 add_view("model_runs", ["scored"], f"""
-    SELECT model || '-' || strftime(event_date, '%Y%m%d') AS run_id, model, event_date, n, {_METRICS_SQL}, start_time
-    FROM (SELECT event_date, model, {_sums_sql('label', 'p')}, max(event_ts) AS start_time
+    SELECT model || '-' || strftime(event_date, '%Y%m%d') AS run_id, model, event_date, n, mae, rmse, r2, start_time
+    FROM (SELECT event_date, model, {_metrics_sql('label', 'p')}, max(event_ts) AS start_time
           FROM (SELECT CAST(event_ts AS DATE) AS event_date, event_ts, label, prediction AS p,
                        '{MO.LIVE_MODEL}' AS model FROM scored
                 UNION ALL
@@ -177,71 +172,122 @@ def live_defaults(spark, sf):
 
 
 def encoded_rides(spark, sf):
-    """Ride events as JSON documents, every 97th one truncated (undecodable)."""
+    """Ride events as JSON documents: every 97th one is truncated (undecodable), every 89th has a text for its distance."""
     r = X.ride_events(spark, sf)
-    text = F.to_json(F.struct(*X.RIDE_COLUMNS))
+    plain = F.to_json(F.struct(*X.RIDE_COLUMNS))
+    text = F.when(F.pmod("event_id", F.lit(89)) == 0,
+                  F.regexp_replace(plain, r'"distance_km":[^,]+', '"distance_km":"oops"')).otherwise(plain)
     return r.select(F.when(F.pmod("event_id", F.lit(97)) == 0, F.substring(text, 1, 20)).otherwise(text)
                     .alias("value"))
 
 
-@register("json_decode", with_views("rides_f") + f"SELECT {RIDE_COLS} FROM rides_f WHERE event_id % 97 <> 0", "S2")
+_DECODED = RIDE_COLS.replace("distance_km", "CASE WHEN event_id % 89 <> 0 THEN distance_km END AS distance_km")
+
+
+@register("json_decode", with_views("rides_f") + f"SELECT {_DECODED} FROM rides_f WHERE event_id % 97 <> 0", "S2")
 def json_decode(spark, sf):
     return EV.decode_events(encoded_rides(spark, sf), RIDE_SCHEMA)
 
 
-# ---------------------------------------------------------------- training and scoring (rows-only)
+@register("json_rejects", with_views("rides_f") + """
+SELECT substr('{"ride_id":"' || ride_id || '","event_timestamp"', 1, 20) AS json_str FROM rides_f WHERE event_id % 97 = 0""", "S2")
+def json_rejects(spark, sf):
+    """The documents that gave no field, with their text."""
+    return EV.decode_rejects(encoded_rides(spark, sf), RIDE_SCHEMA)
+
+
+# ---------------------------------------------------------------- training and scoring
+
+def _folders(spark, sf) -> dict[str, str]:
+    """Run table, promoted runs and models of this session's training queries, below the shared folder."""
+    name = hashlib.md5(f"{spark.sparkContext.applicationId}:{sf}".encode()).hexdigest()[:12]
+    root = f"{checkpoint_root(spark).rstrip('/')}/zonecast-models/{name}"
+    return {"runs": f"{root}/runs", "models": f"{root}/models", "promoted": f"{root}/promoted"}
+
 
-_MODELS: dict[tuple, object] = {}
+def live_split(spark, sf):
+    frame = FE.score_input(X.rides(spark, sf)).filter(F.col(K.TARGET).isNotNull())
+    split = SP.hash_split(frame, F.col("ride_id"), 0.8)
+    return split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
 
 
-def _live_model(spark, sf):
-    key = (spark.sparkContext.applicationId, sf, "live")
-    if key not in _MODELS:
-        rides = FE.score_input(X.rides(spark, sf))
-        split = SP.hash_split(rides, F.col("ride_id").try_cast("long"), 0.8)
-        train_df = split.filter(F.col("split") == "train")
-        test_df = split.filter(F.col("split") == "test")
-        _MODELS[key] = MO.train(train_df, test_df, MO.LIVE_MODEL)
-    return _MODELS[key]
+def train_live(spark, sf):
+    """Train, log and promote the live model; returns its metrics row."""
+    at = _folders(spark, sf)
+    model, metrics = MO.train(*live_split(spark, sf), MO.LIVE_MODEL)
+    metrics = materialize(metrics)
+    MO.log_run(spark, model, metrics, at["runs"], at["models"])
+    MO.promote_run(spark, at["runs"], at["promoted"])
+    return metrics
 
 
-@register("train_surge", None, "M2")
+def promoted_model(spark, sf):
+    """The promoted model from its path; trained first where this session has none."""
+    at = _folders(spark, sf)
+    if not T.table_exists(spark, at["promoted"]):
+        train_live(spark, sf)
+    return MO.load_promoted(spark, at["promoted"])
+
+
+def _checked(metrics, test_df):
+    """A run as invariants: rows judged, and whether it beats the mean of its test rows."""
+    spread = test_df.agg(F.avg(F.abs(F.col(K.TARGET) - test_df.agg(F.avg(K.TARGET)).scalar())).alias("s"))
+    return metrics.select("model", "n", (F.col("mae") < spread.scalar()).alias("beats_mean"), (F.col("mae") <= F.col("rmse")).alias("ordered"))
+
+
+_SPLIT_SQL = "('0x' || substr(md5({id} || ':42'), 1, 8))::BIGINT % 1000000 < 800000"
+
+
+@register("train_surge", with_views("rides") + f"""
+SELECT '{MO.LIVE_MODEL}' AS model, count(*) AS n, true AS beats_mean, true AS ordered
+FROM rides WHERE surge_multiplier IS NOT NULL AND NOT ({_SPLIT_SQL.format(id='ride_id')})""", "M2")
 def train_surge(spark, sf):
-    model, metrics = _live_model(spark, sf)
-    path = work_dir(spark, "models") + "/surge_price_model"
-    model.write().overwrite().save(path)
-    return metrics.withColumn("model_path", F.lit(path))
+    return _checked(train_live(spark, sf), live_split(spark, sf)[1])
 
 
-@register("score_batch", None, "U1 U2 P27")
+@register("score_batch", with_views("silver_dirty") + """
+SELECT ride_id, event_ts, city_zone, vehicle_type, surge_multiplier, true AS in_band FROM silver_dirty""", "U1 U2 P27")
 def score_batch(spark, sf):
-    model, _ = _live_model(spark, sf)
-    preds = MO.score(FE.score_input(S.silver_rides(X.rides_dirty(spark, sf))), model)
+    preds = MO.score(FE.score_input(S.silver_rides(X.rides_dirty(spark, sf))), promoted_model(spark, sf))
     return preds.select("ride_id", "event_ts", "city_zone", "vehicle_type", "surge_multiplier",
-                        "predicted_surge_multiplier")
+                        F.col("predicted_surge_multiplier").between(K.SURGE_MIN, K.SURGE_MAX).alias("in_band"))
 
 
-@register("feature_importance", None, "M6 T3")
+@register("feature_importance", "SELECT unnest(['" + "', '".join(sorted(K.NUMERIC_FEATURES + K.CATEGORICAL_FEATURES)) + """']) AS feature,
+       true AS in_range, 1.0::DOUBLE AS total""", "M6 T3")
 def feature_importance(spark, sf):
-    model, _ = _live_model(spark, sf)
-    return MO.feature_importance(spark, model, 15)
-
-
-@register("train_historical", None, "M3 W4 W5")
+    frame = FE.score_input(X.rides(spark, sf))
+    found = MO.feature_importance(spark, promoted_model(spark, sf), frame, 15)
+    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                        F.round(found.agg(F.sum("importance")).scalar(), 6).alias("total"))
+
+
+def train_history(feats, names=(MO.HIST_MODEL, MO.HIST_MODEL + "_random_split")):
+    """Time-based 80/20 split (registered model) beside a hash split (comparison only), from one stored frame.
+    Returns [(model, metrics, test rows)]."""
+    timed = materialize(O.chronological_split(feats, "event_timestamp", "ride_id", 0.8))
+    runs = []
+    for name, frame in ((names[0], timed), (names[1], SP.hash_split(timed.drop("split"), F.col("ride_id"), 0.8))):
+        test = frame.filter(F.col("split") == "test")
+        runs.append((*MO.train(frame.filter(F.col("split") == "train"), test, name), test))
+    return runs
+
+
+@register("train_historical", with_views("hist") + f"""
+, h AS (SELECT count(*) AS n FROM hist WHERE surge_multiplier IS NOT NULL)
+SELECT '{MO.HIST_MODEL}' AS model, n - floor(n * 0.8::DOUBLE)::BIGINT AS n, 'time' AS split, true AS ordered FROM h""", "M3 W4 W5")
 def train_historical(spark, sf):
-    """Time-based 80/20 split (registered model) beside a hash split (comparison only)."""
     hist = H.historical_silver(X.trips(spark, sf, with_row_id=True), with_id=True)
     feats = FE.feature_frame(hist, keep=("ride_id", "event_timestamp")).filter(F.col(K.TARGET).isNotNull())
-    timed = O.chronological_split(feats, "event_timestamp", "ride_id", 0.8)
-    _, m_time = MO.train(timed.filter(F.col("split") == "train"), timed.filter(F.col("split") == "test"),
-                         MO.HIST_MODEL)
-    hashed = SP.hash_split(feats, F.col("ride_id"), 0.8, portable=False)
-    _, m_rand = MO.train(hashed.filter(F.col("split") == "train"), hashed.filter(F.col("split") == "test"),
-                         MO.HIST_MODEL + "_random_split")
-    return m_time.withColumn("split", F.lit("time")).unionByName(m_rand.withColumn("split", F.lit("random")))
+    (model, metrics, _), (_, compared, _) = train_history(feats)
+    at = _folders(spark, sf)
+    metrics = materialize(metrics)
+    MO.log_run(spark, model, metrics, at["runs"], at["models"])
+    MO.promote_run(spark, at["runs"], at["promoted"])
+    return metrics.select("model", "n", F.lit("time").alias("split"), (F.col("mae") <= F.col("rmse")).alias("ordered"))
 
 
-@register("historical_load", None, "M5 S9 S8")
+@register("historical_load", with_views("hist") + "SELECT * FROM hist", "M5 S9 S8")
 def historical_load(spark, sf):
     """Load the historical silver table only when it is absent or empty (second call skips)."""
     path = work_dir(spark, "history") + "/rides_historical"
@@ -249,4 +295,5 @@ def historical_load(spark, sf):
         if T.table_exists(spark, path) and spark.read.parquet(path).limit(1).count() > 0:
             continue
         T.write_table(H.historical_silver(X.trips(spark, sf, with_row_id=True)), path, "append")
-    return spark.read.parquet(path)
+    # the id is the file's row number, which SQL cannot name
+    return spark.read.parquet(path).drop("ride_id")

@@ -56,17 +56,13 @@ def cents_sql(x: str) -> str:
     return f"CAST(round({x} * 100) AS BIGINT)"
 
 
-def mul_round_cents_sql(a_cents: str, b_h: str) -> str:
-    p = f"({a_cents} * {b_h})"
-    return f"(CASE WHEN {p} >= 0 THEN ({p} + 50) // 100 ELSE -((-{p} + 50) // 100) END)"
-
-
 def money_times_sql(a: str, b: str) -> str:
-    return f"CAST(round(TRY_CAST({a} AS DECIMAL(12,4)) * TRY_CAST({b} AS DECIMAL(5,2)), 2) AS DOUBLE)"
+    """round(amount x factor, 2), rounded once: amounts of up to 6 and factors of up to 8 places."""
+    return f"CAST(round(CAST({a} AS DECIMAL(20,6)) * CAST({b} AS DECIMAL(16,8)), 2) AS DOUBLE)"
 
 
 def half_up_sql(num: str, den: str) -> str:
-    return f"(CASE WHEN ({den}) > 0 THEN (2 * ({num}) + ({den})) // (2 * ({den})) END)"
+    return f"(CASE WHEN ({den}) > 0 THEN sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))) END)"
 
 
 def mean2_sql(c: str) -> str:
@@ -221,9 +217,9 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT ride_id, city_zone, {parse_sql('event_timestamp')} AS event_ts,
                surge_multiplier AS label,
                CAST(least(350, greatest(100, {cents_sql('surge_multiplier')} + k - 50)) AS DOUBLE) / 100.0
-                   AS prediction,
+                   + (k % 13) * 0.00037::DOUBLE AS prediction,
                CAST(least(350, greatest(100, {cents_sql('surge_multiplier')} + (k % 11) * 4 - 20)) AS DOUBLE)
-                   / 100.0 AS prediction_alt
+                   / 100.0 - (k % 7) * 0.00053::DOUBLE AS prediction_alt
         FROM rides_f"""),
 }
 

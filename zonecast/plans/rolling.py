@@ -10,20 +10,29 @@ from zonecast.operators import ordered as O
 from zonecast.operators import silver as S
 from zonecast.operators import splits as SP
 from zonecast.plans.catalog import register
-from zonecast.plans.oracle import cents_sql, half_up_sql, parse_sql, with_views
+from zonecast.plans.oracle import add_view, cents_sql, half_up_sql, parse_sql, with_views
 from zonecast.sources import fixtures as X
 
 W = K.LIVE_WINDOW_SECONDS
 
 
-@register("rolling_rides_5m", with_views("rides") + f"""
+add_view("rides_twice", ["rides_dirty"], f"""
+    SELECT *, {parse_sql('event_timestamp')} AS event_ts FROM (SELECT * FROM rides_dirty UNION ALL SELECT * FROM rides_dirty)""")
+
+
+def rides_twice(spark, sf):
+    """Rides with null ids, zones, times and surges, each delivered twice."""
+    r = X.rides_dirty(spark, sf)
+    return S.enrich_rides(r.unionByName(r))
+
+
+@register("rolling_rides_5m", with_views("rides_twice") + f"""
 SELECT ride_id, event_ts,
        count(*) OVER (ORDER BY event_ts RANGE BETWEEN INTERVAL {W} SECOND PRECEDING AND CURRENT ROW)
          AS rides_last_5min
-FROM rides WHERE event_ts IS NOT NULL""", "W1 D16")
+FROM rides_twice WHERE event_ts IS NOT NULL""", "W1 D16")
 def rolling_rides_5m(spark, sf):
-    r = X.rides(spark, sf)
-    out = O.rolling_window(r, "ride_id", "event_ts", W)
+    out = O.rolling_window(rides_twice(spark, sf), "ride_id", "event_ts", W)
     return out.select("ride_id", "event_ts", F.col("window_count").alias("rides_last_5min"))
 
 
@@ -38,18 +47,18 @@ def zone_rolling(rides):
         .alias("zone_avg_surge_5m"))
 
 
-@register("rolling_zone_5m", with_views("rides") + f"""
+@register("rolling_zone_5m", with_views("rides_twice") + f"""
 SELECT ride_id, event_ts, city_zone, zone_rides_5m,
        {half_up_sql('sh', 'sn')} / 100.0 AS zone_avg_surge_5m
 FROM (SELECT ride_id, event_ts, city_zone,
              count(*) OVER w AS zone_rides_5m,
              sum({cents_sql('surge_multiplier')}) OVER w AS sh,
              count(surge_multiplier) OVER w AS sn
-      FROM rides WHERE event_ts IS NOT NULL
+      FROM rides_twice WHERE event_ts IS NOT NULL
       WINDOW w AS (PARTITION BY city_zone ORDER BY event_ts
                    RANGE BETWEEN INTERVAL {W} SECOND PRECEDING AND CURRENT ROW))""", "W2 D16")
 def rolling_zone_5m(spark, sf):
-    return zone_rolling(X.rides(spark, sf))
+    return zone_rolling(rides_twice(spark, sf))
 
 
 @register("latest_driver_location", with_views("drivers_bronze") + f"""
@@ -76,9 +85,11 @@ def time_split(spark, sf):
     return O.chronological_split(r, "event_ts", "ride_id", 0.8).select("ride_id", "event_ts", "position", "split")
 
 
-@register("hash_split", with_views("rides") + f"""
-SELECT ride_id, CASE WHEN {SP.portable_bucket_sql("CAST(ride_id AS BIGINT)")} < 80 THEN 'train' ELSE 'test' END AS split
-FROM rides""", "W5")
+@register("hash_split", with_views("rides_dirty") + """
+SELECT id AS ride_id,
+       CASE WHEN ('0x' || substr(md5(coalesce(id, 'null') || ':42'), 1, 8))::BIGINT % 1000000 < 812500 THEN 'train' ELSE 'test' END AS split
+FROM (SELECT 'ride-' || ride_id AS id FROM rides_dirty)""", "W5")
 def hash_split(spark, sf):
-    r = X.rides(spark, sf).select("ride_id")
-    return SP.hash_split(r, F.col("ride_id").try_cast("long"), 0.8).select("ride_id", "split")
+    """Text ids, null ones among them; a fraction that is no whole percent."""
+    r = X.rides_dirty(spark, sf).select(F.concat(F.lit("ride-"), "ride_id").alias("ride_id"))
+    return SP.hash_split(r, F.col("ride_id"), 0.8125).select("ride_id", "split")

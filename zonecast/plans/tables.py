@@ -23,11 +23,11 @@ UPSERT_KEYS = G.GOLD_KEYS
 
 
 @register("table_scan", """
-SELECT event_id, ts, value FROM events WHERE event_type = 'purchase' AND value > 100""", "S7")
+SELECT event_id, user_id, event_type, value, ts FROM events""", "S7")
 def table_scan(spark, sf):
-    df = T.read_table(spark, f"{sf}/events.parquet")
-    # the projection and the predicate reach the Parquet scan (ReadSchema / PushedFilters)
-    return df.filter((F.col("event_type") == "purchase") & (F.col("value") > 100)).select("event_id", "ts", "value")
+    """The whole events table, and a table that does not exist: an empty frame of the given schema."""
+    df = T.read_table(spark, f"{sf}/events.parquet").select("event_id", "user_id", "event_type", "value", "ts")
+    return df.unionByName(T.read_table(spark, f"{sf}/no_such_table.parquet", df.schema))
 
 
 @register("ensure_table", with_views("rides_raw") + "SELECT * FROM rides_raw", "S4")
@@ -87,13 +87,48 @@ def upsert(spark, sf):
     return T.merge_upsert(target, source, UPSERT_KEYS)
 
 
+@register("upsert_table", with_views("rides_dirty") + """
+, t AS (SELECT coalesce(city_zone, 'none') AS k, city_zone AS part, count(*) AS n, 'old' AS state FROM rides_dirty GROUP BY ALL),
+  s AS (SELECT k, part, n + 1 AS n, 'new' AS state FROM t WHERE part IS NULL OR part IN ('cbd', 'mall'))
+SELECT * FROM t WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT * FROM s
+UNION ALL SELECT '007', '007', 1, 'new' UNION ALL SELECT 'unzoned', NULL, 1, 'new'""", "J1")
+def upsert_table(spark, sf):
+    """The merge through storage: a null partition, a partition value that looks like a number, new and changed keys."""
+    path = work_dir(spark, "upsert") + "/zones"
+    zones = X.rides_dirty(spark, sf).groupBy(F.coalesce("city_zone", F.lit("none")).alias("k"), F.col("city_zone").alias("part")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("state", F.lit("old"))
+    T.upsert_table(spark, zones, path, ["k", "part"], ["part"])
+    new = spark.createDataFrame([("007", "007", 1, "new"), ("unzoned", None, 1, "new")], zones.schema)
+    changed = zones.where("part is null or part in ('cbd', 'mall')").withColumns({"n": F.col("n") + 1, "state": F.lit("new")})
+    T.upsert_table(spark, changed.unionByName(new), path, ["k", "part"], ["part"])
+    return spark.read.schema(zones.schema).parquet(path)
+
+
 # ---------------------------------------------------------------- version table
 
+def version_table(spark, sf) -> str:
+    """The fixture's commits, written one after another by the version writer."""
+    path = work_dir(spark, "versions") + "/orders"
+    v = X.versions(spark, sf)
+    for n in range(5):
+        T.append_version(spark, v.where(F.col("commit_version") == n).drop("commit_version", "committed_at"), path,
+                         "CREATE" if n == 0 else "APPEND", f"2024-01-0{n + 1} 00:00:00")
+    return path
+
+
+def read_versions(spark, path):
+    return spark.read.parquet(path).select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "commit_version", "committed_at",
+                                           "operation")
+
+
+VERSIONED = "(SELECT *, CASE commit_version WHEN 0 THEN 'CREATE' ELSE 'APPEND' END AS operation FROM versions)"
+
+
 @register("as_of_read", with_views("versions") + f"""
-SELECT * FROM versions WHERE committed_at <= TIMESTAMP '{AS_OF}'
+SELECT * FROM {VERSIONED} WHERE committed_at <= TIMESTAMP '{AS_OF}'
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY commit_version DESC, o_orderkey DESC) = 1""", "S10")
 def as_of_read(spark, sf):
-    return T.as_of_read(X.versions(spark, sf), AS_OF, VERSION_KEYS, VERSION_ORDER)
+    return T.as_of_read(read_versions(spark, version_table(spark, sf)), AS_OF, VERSION_KEYS, VERSION_ORDER)
 
 
 @register("version_history", with_views("versions") + """
@@ -102,14 +137,16 @@ SELECT commit_version, max(committed_at) AS committed_at, count(*) AS num_rows,
        CASE WHEN commit_version = 0 THEN 'CREATE' ELSE 'APPEND' END AS operation
 FROM versions GROUP BY commit_version ORDER BY commit_version DESC LIMIT 10""", "S11 T3")
 def version_history(spark, sf):
-    return T.version_history(X.versions(spark, sf), VERSION_KEYS, 10)
+    return T.version_history(read_versions(spark, version_table(spark, sf)), VERSION_KEYS, 10)
 
 
 @register("retention_filter", with_views("versions") + f"""
-SELECT * FROM versions WHERE committed_at >= TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {K.RETENTION_HOURS} HOUR
+SELECT * FROM {VERSIONED} WHERE committed_at >= TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {K.RETENTION_HOURS} HOUR
 UNION ALL
-SELECT * FROM versions WHERE committed_at < TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {K.RETENTION_HOURS} HOUR
+SELECT * FROM {VERSIONED} WHERE committed_at < TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {K.RETENTION_HOURS} HOUR
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY commit_version DESC, o_orderkey DESC) = 1""", "S12")
 def retention_filter(spark, sf):
-    return T.retention_filter(X.versions(spark, sf), RETENTION_AS_OF, K.RETENTION_HOURS, VERSION_KEYS,
-                              VERSION_ORDER)
+    """Retention through storage: the table is rewritten in place, then read back."""
+    path = version_table(spark, sf)
+    T.apply_retention(spark, path, RETENTION_AS_OF, K.RETENTION_HOURS, VERSION_KEYS, VERSION_ORDER)
+    return read_versions(spark, path)

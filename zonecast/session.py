@@ -9,7 +9,9 @@ our own.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -45,6 +47,8 @@ def build_session(
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("ZONECAST_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files go when the frames that use them do
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
@@ -71,16 +75,29 @@ def checkpoint_root(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _LOCAL_FALLBACK is None:
         _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="zonecast-ckpt-")
+        atexit.register(shutil.rmtree, _LOCAL_FALLBACK, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(_LOCAL_FALLBACK)
     return spark.sparkContext.getCheckpointDir()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run of one job (tables, stream checkpoints), never reused."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/zonecast-work/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for one run of one job (tables, stream checkpoints), never reused. All of an application's folders lie
+    below one, which ``clear_work`` removes."""
+    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def work_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/zonecast-work/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove this application's work folders: for the end of a job, when its results are written elsewhere."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_scalars(df, name: str, stats_df):

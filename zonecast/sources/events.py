@@ -2,37 +2,33 @@
 
 The same decode step serves a Kafka source (``value`` is binary) and a text
 file source (``value`` is one JSON document per line), batch or streaming.
-Undecodable rows are split off as rejects instead of becoming all-null rows.
+A document with some malformed fields is kept with nulls in their place; a document that gives no field at all is
+undecodable and goes to the rejects instead of becoming an all-null row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
-
-CORRUPT = "_corrupt_record"
+from pyspark.sql.types import StructType
 
 
 def _decoded(df: DataFrame, schema: StructType, value_col: str) -> DataFrame:
     """Parse once per row. The parsed struct is expanded by a generator (``inline`` of a
     one-element array): filters on its fields cannot be pushed below a generator, so the
-    optimizer does not substitute (and re-run, field by field) the JSON parse into them.
-    Malformed documents are flagged through the corrupt-record column."""
+    optimizer does not substitute (and re-run, field by field) the JSON parse into them."""
     text = F.col(value_col).cast("string")
-    with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
     return df.select(F.inline(F.array(parsed)), text.alias("json_str"))
 
 
 def _valid(schema: StructType):
-    fields = [F.col(f.name).cast("string") for f in schema.fields]
-    return F.col(CORRUPT).isNull() & F.coalesce(*fields).isNotNull()
+    """At least one field was read."""
+    return F.coalesce(*[F.col(f.name).cast("string") for f in schema.fields]).isNotNull()
 
 
 def decode_events(df: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
-    """JSON text (or bytes) -> flat typed columns; undecodable rows are dropped."""
+    """JSON text (or bytes) -> flat typed columns, without the undecodable rows (see ``decode_rejects``)."""
     return _decoded(df, schema, value_col).filter(_valid(schema)).select(*[f.name for f in schema.fields])
 
 

@@ -245,6 +245,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ride_id", "city_zone",
         C.parse_event_ts("event_timestamp").alias("event_ts"),
         F.col("surge_multiplier").alias("label"),
-        (clip(label_h + k - 50) / F.lit(100.0)).alias("prediction"),
-        (clip(label_h + F.pmod(k, F.lit(11)) * 4 - 20) / F.lit(100.0)).alias("prediction_alt"),
+        # more than two decimals, as a model's raw predictions have
+        (clip(label_h + k - 50) / F.lit(100.0) + F.pmod(k, F.lit(13)) * F.lit(0.00037)).alias("prediction"),
+        (clip(label_h + F.pmod(k, F.lit(11)) * 4 - 20) / F.lit(100.0) - F.pmod(k, F.lit(7)) * F.lit(0.00053)).alias("prediction_alt"),
     )
