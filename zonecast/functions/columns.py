@@ -32,6 +32,11 @@ def to_hundredths(x: str | Column) -> Column:
     return F.round(col(x) * 100).cast("long")
 
 
+def to_units(x: str | Column) -> Column:
+    """A value with at most 4 decimals as exact integer ten-thousandths."""
+    return F.round(col(x) * 10000).cast("long")
+
+
 def from_cents(c: Column) -> Column:
     return c / F.lit(100.0)
 

@@ -15,9 +15,8 @@ ZONES = [
     ("residential", 13.0200, 77.5800, 1.0),
 ]
 
-# --- fixed values: vehicles and base fare per km (INR)
+# --- fixed values: vehicles
 VEHICLE_TYPES = ["bike", "auto", "cab_economy", "cab_premium"]
-VEHICLE_BASE_FARE = {"bike": 15, "auto": 25, "cab_economy": 40, "cab_premium": 80}
 
 # --- fixed values: demand by hour band (inclusive hour ranges)
 PEAK_HOURS_MORNING = (8, 10)
@@ -39,7 +38,6 @@ SURGE_MAX = 3.5
 RIDE_STATUSES = ["requested", "completed", "cancelled"]
 DRIVER_STATUSES = ["online", "offline", "on_trip"]
 PAYMENT_METHODS = ["cash", "card", "upi", "wallet"]
-PAYMENT_STATUSES = ["success", "failed", "refunded"]
 
 # --- fixed values: historical trip mapping
 HIST_ZONE_EDGES = [0, 50, 100, 150, 200]  # right-closed bins, last bin open-ended

@@ -1,4 +1,4 @@
-"""Exact aggregate helpers: sums in cents / hundredths, half-up means."""
+"""Exact aggregate helpers: sums of raw values in ten-thousandths, rounded once at the end, halves away from zero."""
 
 from __future__ import annotations
 
@@ -9,18 +9,18 @@ from zonecast.functions import columns as C
 
 
 def sum_money(c: str | Column) -> Column:
-    """Sum of a 2-decimal money column, exact (null if every input is null)."""
-    return C.from_cents(F.sum(C.to_cents(c)))
+    """Sum of a money column, rounded to cents (null if every input is null)."""
+    return C.from_cents(C.half_up_ratio(F.sum(C.to_units(c)), F.lit(100)))
 
 
 def mean_2(c: str | Column) -> Column:
-    """round(avg(c), 2) half-up for a non-negative 2-decimal column."""
-    return C.from_cents(C.half_up_ratio(F.sum(C.to_hundredths(c)), F.count(c)))
+    """round(avg(c), 2) of values with up to 4 decimals."""
+    return C.from_cents(C.half_up_ratio(F.sum(C.to_units(c)), F.count(c) * 100))
 
 
 def mean_3(c: str | Column) -> Column:
-    """round(avg(c), 3) half-up for a non-negative 2-decimal column."""
-    return C.half_up_ratio(F.sum(C.to_hundredths(c)) * 10, F.count(c)) / F.lit(1000.0)
+    """round(avg(c), 3) of values with up to 4 decimals."""
+    return C.half_up_ratio(F.sum(C.to_units(c)), F.count(c) * 10) / F.lit(1000.0)
 
 
 def count_if(cond: Column) -> Column:

@@ -176,7 +176,7 @@ SELECT city_zone, CAST(sum(ride_count) AS BIGINT) AS total_rides,
        {mean3_sql('avg_surge_multiplier')} AS avg_surge
 FROM gold GROUP BY city_zone""", "A18")
 def top_revenue_zones(spark, sf):
-    return G.top_revenue_zones(spark, G.hourly_kpis(X.rides(spark, sf)))
+    return G.top_revenue_zones(G.hourly_kpis(X.rides(spark, sf)))
 
 
 _PERIOD = ("CASE WHEN event_hour BETWEEN 7 AND 10 THEN 'morning_peak' WHEN event_hour BETWEEN 17 AND 21 "
@@ -189,7 +189,7 @@ SELECT {_PERIOD} AS period, CAST(sum(ride_count) AS BIGINT) AS rides,
        {mean3_sql('avg_surge_multiplier')} AS avg_surge
 FROM gold GROUP BY 1""", "A19 P24")
 def peak_offpeak(spark, sf):
-    return G.peak_offpeak(spark, G.hourly_kpis(X.rides(spark, sf)))
+    return G.peak_offpeak(G.hourly_kpis(X.rides(spark, sf)))
 
 
 @register("cancellation_rate", with_views("gold") + f"""
@@ -222,6 +222,7 @@ def top_k_zones(spark, sf):
 
 # ---------------------------------------------------------------- surge rule
 
+
 @register("surge_rule", with_views("rides") + """
 SELECT ride_id, city_zone, event_hour, weather, surge_multiplier AS rule_surge FROM rides""", "P26")
 def surge_rule(spark, sf):

@@ -65,16 +65,20 @@ def half_up_sql(num: str, den: str) -> str:
     return f"(CASE WHEN ({den}) > 0 THEN sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))) END)"
 
 
+def units_sql(x: str) -> str:
+    return f"CAST(round({x} * 10000) AS BIGINT)"
+
+
 def mean2_sql(c: str) -> str:
-    return f"({half_up_sql(f'sum({cents_sql(c)})', f'count({c})')} / 100.0)"
+    return f"({half_up_sql(f'sum({units_sql(c)})', f'100 * count({c})')} / 100.0)"
 
 
 def mean3_sql(c: str) -> str:
-    return f"({half_up_sql(f'sum({cents_sql(c)}) * 10', f'count({c})')} / 1000.0)"
+    return f"({half_up_sql(f'sum({units_sql(c)})', f'10 * count({c})')} / 1000.0)"
 
 
 def money_sum_sql(c: str) -> str:
-    return f"(CAST(sum({cents_sql(c)}) AS BIGINT) / 100.0)"
+    return f"({half_up_sql(f'sum({units_sql(c)})', '100')} / 100.0)"
 
 
 def count_if_sql(cond: str) -> str:
