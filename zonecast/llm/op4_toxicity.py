@@ -161,7 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # labelled rows are bounded by 2 x train_rows in expectation: small enough to send to the documents
     sample = texts.join(F.broadcast(chosen), "doc_id").select("draw", "toxic", "text")
-    model = sample.coalesce(1).mapInArrow(_train(epochs), "ids array<int>, weights array<float>, bias double").first()
+    # documents are read in parallel; only the bounded sample meets in one task
+    model = sample.repartition(1).mapInArrow(_train(epochs), "ids array<int>, weights array<float>, bias double").first()
     return np.array(model["ids"], np.int32), np.array(model["weights"], np.float32), float(model["bias"])
 
 
