@@ -275,11 +275,13 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, epochs: int = 8) -> tuple
     texts = docs.select(F.col("text").cast("string").alias("text"))
     model, n_good, n_bad = fit_votes(texts)
     rates = [min(1.0, train_rows / n) if n else 0.0 for n in (n_good, n_bad)]
-    # one uniform draw per text by its hash; texts above both rates never reach Python
+    # one uniform draw per text by its hash, so that copies are drawn together
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = texts.select(draw.alias("draw"), "text").where(F.col("draw") < max(rates)).dropDuplicates(["draw", "text"])
-    rows = sample.mapInArrow(_training_rows(model, *rates), "draw double, good double, ids array<int>, vals array<float>")
-    trained = rows.coalesce(1).mapInArrow(_train(epochs), "w binary, bias double").first()
+    # features are made where the texts are read; the bounded sample alone meets in one task
+    rows = (texts.select(draw.alias("draw"), "text").where(F.col("draw") < max(rates))
+            .mapInArrow(_training_rows(model, *rates), "draw double, good double, ids array<int>, vals array<float>")
+            .dropDuplicates(["draw"]))
+    trained = rows.repartition(1).mapInArrow(_train(epochs), "w binary, bias double").first()
     return model, np.frombuffer(bytes(trained["w"]), np.float32).astype(np.float64), float(trained["bias"])
 
 
