@@ -117,16 +117,16 @@ class TextBlock:
         """Votes as one number in base 3."""
         return self.votes.astype(np.int64) @ (3 ** np.arange(len(LABELLERS)))
 
-    def features(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(buckets, values) of each text: unit vector over hashed words, word shapes and repetition marks."""
+    def features(self, keep: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(buckets, values) of each text (to keep): unit vector over hashed words, word shapes and repetition marks."""
         w = self.words
         shape = self._shapes()
         salt = np.array([0x51, 0x52, 0x53, 0x54], np.uint64) * W.MIX_A
         marks = self.again.astype(np.uint64) + np.uint64(2) * self.doubled.astype(np.uint64)
         streams = np.stack([w.hashes ^ salt[0], shape ^ salt[1], W.mix64(shape + marks * W.RADIX) ^ salt[2]])
         buckets = (W.mix64(streams) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
-        for a, b in zip(w.first[:-1], w.first[1:], strict=True):
-            ids, n = np.unique(buckets[:, a:b], return_counts=True)
+        for i in range(len(self.n)) if keep is None else np.flatnonzero(keep):
+            ids, n = np.unique(buckets[:, w.first[i]:w.first[i + 1]], return_counts=True)
             value = np.sqrt(n)
             yield ids, value / max(np.sqrt(n.sum()), 1)
 
@@ -219,7 +219,7 @@ def _training_rows(model: VoteModel, good_rate: float, bad_rate: float):
                 rate = np.where(q >= 0.9, good_rate, np.where(q <= 0.1, bad_rate, 0.0))
                 keep = (draw[a:b] < rate) & (block.n > 0)
                 rows = [(d, float(p), i.astype(np.int32), v.astype(np.float32))
-                        for d, p, k, (i, v) in zip(draw[a:b], q, keep, block.features(), strict=True) if k]
+                        for d, p, (i, v) in zip(draw[a:b][keep], q[keep], block.features(keep), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.float64()),
                      pa.array([r[2] for r in rows], pa.list_(pa.int32())), pa.array([r[3] for r in rows], pa.list_(pa.float32()))],
