@@ -108,7 +108,8 @@ def test_minhash_empty_table_and_clashing_columns(docs):
 
 def test_keep_representatives_keeps_one_whole_row_per_group(spark, docs, words):
     text = words.text(60)
-    df = docs([(2, text), (1, text), (3, words.text(60)), (3, None), (None, text), (5, ""), (6, "")]).withColumn("source", F.lit("s"))
+    df = docs([(2, text), (1, text), (3, words.text(60)), (3, None), (None, text), (5, ""), (6, "")]).withColumns(
+        {"source": F.lit("s"), "id_bucket": F.lit(1), "row_mark": F.lit("r"), "a.b": F.lit(0)})
     out = op7_minhash.keep_representatives(df)
     assert out.columns == df.columns
     ids = [r.doc_id for r in out.collect()]

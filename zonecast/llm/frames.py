@@ -82,17 +82,31 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 ID_BUCKETS = 1 << 18
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def quoted(columns: list[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
 def likely(df: DataFrame, column: str, ids: DataFrame, absent: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``column`` may occur in ``ids`` (one column of the same name), or with ``absent`` those where
     it surely does not. Ids are folded to ID_BUCKETS hash buckets, so what is broadcast has a fixed bound; many ids
     only make the filter weaker, an exact join has to follow."""
+    name = fresh(df, "id_bucket")
     bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(ID_BUCKETS))
-    hit = ids.select(bucket.alias("id_bucket")).distinct()
-    return (df.withColumn("id_bucket", bucket)
-            .join(F.broadcast(hit), "id_bucket", "left_anti" if absent else "left_semi").drop("id_bucket"))
+    hit = ids.select(bucket.alias(name)).distinct()
+    return (df.withColumn(name, bucket)
+            .join(F.broadcast(hit), name, "left_anti" if absent else "left_semi").drop(name))
 
 
 def without(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``column`` is not among ``ids`` (one column of the same name); null stays. Only rows that may be
     among them are shuffled."""
-    return likely(df, column, ids, absent=True).unionByName(likely(df, column, ids).join(ids, column, "left_anti").select(*df.columns))
+    rest = likely(df, column, ids).join(ids, column, "left_anti").select(*quoted(df.columns))
+    return likely(df, column, ids, absent=True).unionByName(rest)

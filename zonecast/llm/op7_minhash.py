@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from zonecast.llm import words as W
 from zonecast.llm.buckets import link_components
-from zonecast.llm.frames import likely, staged, without
+from zonecast.llm.frames import fresh, likely, quoted, staged, without
 
 PERMUTATIONS, BANDS, ROWS, LOW_BITS = 128, 25, 5, 4
 SIGMAS = 6
@@ -200,16 +200,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
 def keep_representatives(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, less near-duplicates: of each component the row of the smallest doc_id
     stays (of several such rows the smallest text hash, then the smallest row). Rows of empty sets or null doc_ids stay."""
-    mark = F.xxhash64("doc_id", F.xxhash64(F.col("text").cast("string")))
+    name = fresh(docs, "row_mark")
+    mark = F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string")))
     found = staged(_labelled(docs, shingle_words, percent).where("label is not null").groupBy("label", "doc_id", "text_hash").agg(
         F.count("*").alias("n")), "minhash-found")
     first = found.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     judged = staged(found.join(first, "label").select(
-        F.xxhash64("doc_id", "text_hash").alias("row_mark"), "n",
+        F.xxhash64("doc_id", "text_hash").alias(name), "n",
         (F.struct("doc_id", "text_hash") == F.col("first")).alias("stays")), "minhash-judged")
-    marked = docs.withColumn("row_mark", F.when(F.col("doc_id").isNotNull(), mark))
-    left = without(marked, "row_mark", judged.where("not stays or n > 1").select("row_mark")).drop("row_mark")
-    repeated = judged.where("stays and n > 1").select("row_mark")
-    once = (likely(marked, "row_mark", repeated).join(repeated, "row_mark").groupBy("row_mark")
-            .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*"))
+    marked = docs.withColumn(name, F.when(F.col("doc_id").isNotNull(), mark))
+    left = without(marked, name, judged.where("not stays or n > 1").select(name)).drop(name)
+    repeated = judged.where("stays and n > 1").select(name)
+    once = (likely(marked, name, repeated).join(repeated, name).groupBy(name)
+            .agg(F.min(F.struct(*quoted(docs.columns))).alias("row")).select("row.*"))
     return left.unionByName(once)
