@@ -98,12 +98,16 @@ SELECT event_date, event_hour, city_zone,
 FROM (SELECT event_date, city_zone, ride_id, status,
              coalesce(event_hour, 0) AS event_hour,
              coalesce(is_completed, false) AS is_completed,
-             coalesce(gross_fare_inr, 0.0::DOUBLE) AS gross_fare_inr,
+             CASE WHEN status = 'requested' THEN 0.0::DOUBLE ELSE coalesce(gross_fare_inr, 0.0::DOUBLE) END AS gross_fare_inr,
              coalesce(surge_multiplier, 1.0::DOUBLE) AS surge_multiplier
       FROM silver_dirty WHERE city_zone IS NOT NULL)
 GROUP BY event_date, event_hour, city_zone""", "A2 P12 P13 D6")
 def gold_refresh_defaults(spark, sf):
-    return G.hourly_kpis_with_defaults(S.silver_rides(X.rides_dirty(spark, sf)))
+    """Numbers that arrive as text, some of them none."""
+    silver = S.silver_rides(X.rides_dirty(spark, sf))
+    fare = F.when(F.col("status") == "requested", "n/a").otherwise(F.col("gross_fare_inr").cast("string"))
+    text = {"gross_fare_inr": fare, "event_hour": F.col("event_hour").cast("string"), "surge_multiplier": F.col("surge_multiplier").cast("string")}
+    return G.hourly_kpis_with_defaults(silver.withColumns(text))
 
 
 @register("zone_revenue_gold", with_views("gold") + f"""
