@@ -11,7 +11,8 @@ similarity of at least 80 % with it. Lines of fewer than five words have no toke
    class, represented by its first line. Prefix tokens are dealt out by token and sorted; those of a single class are
    dropped in one streaming look at neighbours, which leaves the few that repeat.
 3. Classes that share a token are compared with the group's earliest class first; only lines still unmatched are joined
-   with all earlier members, under the length and positional filters. Survivors are verified on their full sets.
+   with all earlier members. Both joins hold the length, prefix and positional filters and a 128-bit map of each set in
+   their condition, so that only likely pairs become rows; these are verified on their full sets.
 
 No group is collected: hot lines are classes, hot tokens are last in the order, and groups are joined by key.
 
@@ -96,7 +97,8 @@ def _least_overlap(n: np.ndarray, up: int, down: int) -> np.ndarray:
     return -(-n * up // down)
 
 
-LINES = "doc_id bigint, text_hash bigint, line_no bigint, set_key bigint, n bigint, prefix array<bigint>"
+LINES = ("doc_id bigint, text_hash bigint, line_no bigint, set_key bigint, n bigint, bits_a bigint, bits_b bigint, "
+         "prefix array<bigint>")
 
 
 def _prefixes(levels: np.ndarray, shingle: int, percent: int):
@@ -114,7 +116,11 @@ def _prefixes(levels: np.ndarray, shingle: int, percent: int):
         place = np.arange(len(line)) - np.repeat(first, n)
         keep = place < np.repeat(size, n)
         prefix = (tokens[keep] << np.uint64(24)) | place[keep].astype(np.uint64)
-        return line[first], key, n, prefix, size
+        # a 128-bit map of the tokens: sets differ in at least as many tokens as their maps in bits
+        one = np.uint64(1) << (tokens & np.uint64(63))
+        upper = (tokens & np.uint64(64)) > 0
+        bits = [np.bitwise_or.reduceat(np.where(half, one, np.uint64(0)), first) for half in (~upper, upper)]
+        return line[first], key, n, bits, prefix, size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,13 +130,16 @@ def _prefixes(levels: np.ndarray, shingle: int, percent: int):
                 names, line = np.unique(line, return_inverse=True)
                 for at in range(0, len(names), 1 << LINE_BITS):
                     low, high = np.searchsorted(line, [at, at + (1 << LINE_BITS)])
-                    own, key, n, prefix, size = sets(tokens[low:high], line[low:high] - at)
+                    if low == high:
+                        continue
+                    own, key, n, bits, prefix, size = sets(tokens[low:high], line[low:high] - at)
                     own = names[own + at]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[a + text[own]], pa.int64()), pa.array(text_hash[a + text[own]], pa.int64()),
                          pa.array(number[own], pa.int64()), pa.array(W.signed(key)), pa.array(n, pa.int64()),
+                         pa.array(W.signed(bits[0])), pa.array(W.signed(bits[1])),
                          W.list_array(W.signed(prefix), size, pa.int64())],
-                        ["doc_id", "text_hash", "line_no", "set_key", "n", "prefix"])
+                        ["doc_id", "text_hash", "line_no", "set_key", "n", "bits_a", "bits_b", "prefix"])
     return run
 
 
@@ -192,9 +201,9 @@ def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, lines, gone = [], [], []
         for text, removed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            parts = text.split("\n")
-            bad = set(removed)
-            texts.append("\n".join([p for i, p in enumerate(parts) if i not in bad]))
+            parts = [] if text is None else text.split("\n")
+            bad = set(removed or ())
+            texts.append(text if not bad else "\n".join([p for i, p in enumerate(parts) if i not in bad]))
             lines.append(len(parts))
             gone.append(sorted(bad))
         yield pa.RecordBatch.from_arrays(
@@ -206,6 +215,27 @@ def _position(prefix: str = "") -> Column:
     return F.struct(F.col(prefix + "doc_id"), F.col(prefix + "text_hash"), F.col(prefix + "line_no"))
 
 
+def _candidates(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of sets that share a prefix token, y earlier, under the join's filters. Each holds for every similar
+    pair, the second for at least one of its tokens."""
+    l, e = later.alias("l"), earlier.alias("e")
+    n, m = F.col("l.n"), F.col("e.n")
+    small = F.least(n, m)
+    # length: similar sets are of similar size
+    sized = small * 100 >= F.greatest(n, m) * percent
+    # prefix: the smaller set's token lies in its shorter prefix
+    shorter = F.when(n <= m, F.col("l.pos")).otherwise(F.col("e.pos"))
+    within = shorter <= small - F.ceil(small * 2 * percent / F.lit(100.0 + percent) - 1e-9)
+    # position: what lies before and behind the shared token must suffice for the overlap
+    overlap = F.ceil((n + m) * percent / F.lit(100.0 + percent) - 1e-9)
+    room = F.least("l.pos", "e.pos") + F.least(n - F.col("l.pos"), m - F.col("e.pos"))
+    # token map: bits that differ are tokens that differ
+    differ = sum(F.bit_count(F.col(f"l.{b}").bitwiseXOR(F.col(f"e.{b}"))) for b in ("bits_a", "bits_b"))
+    return (l.join(e, (F.col("l.token") == F.col("e.token")) & (F.col("e.first") < F.col("l.first")) & sized & within
+                   & (room >= overlap) & (differ <= n + m - 2 * overlap))
+            .select(F.col("l.set_key").alias("x"), F.col("e.set_key").alias("y")).distinct())
+
+
 def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, removed): numbers, from 0, of the lines to remove from each document that has any."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
@@ -214,55 +244,38 @@ def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
     levels = rarity_levels(docs, shingle)
     lines = staged(hashed.mapInArrow(_prefixes(levels, shingle, percent), LINES), "lines")
 
-    classes = staged(lines.groupBy("set_key").agg(F.min(_position()).alias("first"), F.any_value("n").alias("n"),
-                                                  F.count("*").alias("copies")), "line-classes")
+    classes = staged(lines.groupBy("set_key").agg(
+        F.min(_position()).alias("first"), F.any_value("n").alias("n"), F.any_value("bits_a").alias("bits_a"),
+        F.any_value("bits_b").alias("bits_b"), F.count("*").alias("copies")), "line-classes")
     places = lines.select(F.explode("prefix").alias("place"), "set_key")
     shared = staged(places.repartition(F.shiftright("place", 24)).sortWithinPartitions(F.shiftright("place", 24), "set_key")
                     .mapInArrow(_repeated, "place bigint, set_key bigint"), "line-shared")
-    members = (shared.select(F.shiftright("place", 24).alias("token"),
-                             F.col("place").bitwiseAND(F.lit(POSITIONS - 1)).alias("pos"), "set_key")
-               .join(classes.select("set_key", "first", "n"), "set_key"))
-    members = staged(members, "line-members")
-
-    # the lines themselves, for verification
-    wanted = (members.select("set_key", "first").distinct()
-              .groupBy("first.doc_id", "first.text_hash")
-              .agg(F.collect_list(F.struct("set_key", F.col("first.line_no").alias("line_no"))).alias("wanted")))
-    wanted = staged(wanted, "line-wanted")
-    texts = staged(likely(hashed, "doc_id", wanted.select("doc_id")).join(wanted, ["doc_id", "text_hash"])
-                   .dropDuplicates(["doc_id", "text_hash"])
-                   .select("text", "wanted").mapInArrow(_cut_lines, "set_key bigint, line string"), "line-texts")
+    members = staged(shared.select(F.shiftright("place", 24).alias("token"),
+                                   F.col("place").bitwiseAND(F.lit(POSITIONS - 1)).alias("pos"), "set_key")
+                     .join(classes.select("set_key", "first", "n", "bits_a", "bits_b"), "set_key"), "line-members")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """Those x of the pairs (x, y) that are similar to their y. Only the pairs' own lines are fetched."""
+        keys = pairs.select(F.col("x").alias("set_key")).union(pairs.select("y")).distinct()
+        wanted = staged(classes.join(keys, "set_key").groupBy("first.doc_id", "first.text_hash")
+                        .agg(F.collect_list(F.struct("set_key", F.col("first.line_no").alias("line_no"))).alias("wanted")), "line-wanted")
+        texts = staged(likely(hashed, "doc_id", wanted.select("doc_id")).join(wanted, ["doc_id", "text_hash"])
+                       .dropDuplicates(["doc_id", "text_hash"])
+                       .select("text", "wanted").mapInArrow(_cut_lines, "set_key bigint, line string"), "line-texts")
         tx = texts.select(F.col("set_key").alias("x"), F.col("line").alias("line_x"))
         ty = texts.select(F.col("set_key").alias("y"), F.col("line").alias("line_y"))
         return (pairs.join(tx, "x").join(ty, "y").select("x", "y", "line_x", "line_y")
                 .mapInArrow(_similar(shingle, percent), "x bigint, y bigint").select("x").distinct())
 
-    def sized(x: Column, y: Column) -> Column:
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
     # each class against the earliest class of its token
-    earliest = members.groupBy("token").agg(F.min(F.struct("first", "set_key", "n")).alias("e"))
-    stars = (members.join(earliest, "token").where((F.col("set_key") != F.col("e.set_key")) & sized(F.col("n"), F.col("e.n")))
-             .select(F.col("set_key").alias("x"), F.col("e.set_key").alias("y")).distinct())
-    stars = staged(stars, "line-stars")
+    packed = F.struct("first", "set_key", "n", "pos", "bits_a", "bits_b")
+    earliest = members.groupBy("token").agg(F.min(packed).alias("e")).select("token", "e.*")
+    stars = staged(_candidates(members, earliest, percent), "line-stars")
     matched = staged(verified(stars), "line-matched")
 
-    # those without a match against all earlier members, under the join's filters
-    left = members.join(matched.withColumnRenamed("x", "set_key"), "set_key", "left_anti").alias("l")
-    other = members.alias("o")
-    small_l = F.col("l.n") <= F.col("o.n")
-    overlap = F.ceil((F.col("l.n") + F.col("o.n")) * percent / F.lit(100.0 + percent) - 1e-9)
-    # the smaller set's token must lie in its shorter prefix
-    shorter = F.when(small_l, F.col("l.pos")).otherwise(F.col("o.pos"))
-    small = F.least("l.n", "o.n")
-    within = shorter <= small - F.ceil(small * 2 * percent / F.lit(100.0 + percent) - 1e-9)
-    room = F.least("l.pos", "o.pos") + 1 + F.least(F.col("l.n") - F.col("l.pos"), F.col("o.n") - F.col("o.pos")) - 1
-    rest = (left.join(other, (F.col("l.token") == F.col("o.token")) & (F.col("o.first") < F.col("l.first"))
-                      & sized(F.col("l.n"), F.col("o.n")) & within & (room >= overlap))
-            .select(F.col("l.set_key").alias("x"), F.col("o.set_key").alias("y")).distinct()
-            .join(stars, ["x", "y"], "left_anti"))
+    # those without a match against all earlier members
+    left = members.join(matched.withColumnRenamed("x", "set_key"), "set_key", "left_anti")
+    rest = staged(_candidates(left, members, percent).join(stars, ["x", "y"], "left_anti"), "line-rest")
     matched = matched.unionByName(verified(rest)).distinct()
 
     judged = classes.join(matched.select(F.col("x").alias("set_key"), F.lit(True).alias("later")), "set_key", "left")
@@ -275,20 +288,16 @@ def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     """All columns of ``docs`` with the remaining ``text``, and a struct column ``dedup`` (n_lines, removed), which takes the
     place of one of that name."""
     removed = staged(removed_lines(docs, shingle, percent), "line-removed")
-    # the whole row rides as one struct, so that its columns cannot clash with ours
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # the other columns ride as one struct, so that they cannot clash with ours
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "dedup")]
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"))
     ids = removed.select("doc_id")
-    untouched = likely(rows, "doc_id", ids, absent=True)
-    touched = (likely(rows, "doc_id", ids).withColumn("text_hash", F.xxhash64(F.col("row.text").cast("string")))
-               .join(removed, ["doc_id", "text_hash"], "left"))
-
-    def whole(df: DataFrame) -> DataFrame:
-        text = F.col("row.text").cast("string")
-        return df.select("row", text.alias("text"), F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("bigint")
-                         .alias("n_lines"), F.expr("cast(array() as array<bigint>)").alias("removed"))
-
-    cut = (touched.where("removed is not null").select("row", F.col("row.text").cast("string").alias("text"), "removed")
-           .mapInArrow(_drop_lines, touched.select("row").schema.toDDL() + ", text string, n_lines bigint, removed array<bigint>"))
-    parts = whole(untouched).unionByName(whole(touched.where("removed is null"))).unionByName(cut)
+    untouched = likely(rows, "doc_id", ids, absent=True).select(
+        "row", "text", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("bigint").alias("n_lines"),
+        F.expr("cast(array() as array<bigint>)").alias("removed"))
+    touched = (likely(rows, "doc_id", ids).withColumn("text_hash", F.xxhash64("text")).join(removed, ["doc_id", "text_hash"], "left")
+               .select("row", "text", "removed"))
+    kind = touched.select("row").schema.toDDL()
+    cut = touched.mapInArrow(_drop_lines, f"{kind}, text string, n_lines bigint, removed array<bigint>")
     columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "dedup"]
-    return parts.select(*columns, F.struct("n_lines", "removed").alias("dedup"))
+    return untouched.unionByName(cut).select(*columns, F.struct("n_lines", "removed").alias("dedup"))
