@@ -79,7 +79,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return result
 
 
-ID_BUCKETS = 1 << 18
+ID_BUCKETS = 1 << 20
 
 
 def fresh(df: DataFrame, name: str) -> str:

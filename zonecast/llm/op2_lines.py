@@ -269,18 +269,21 @@ def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
 
     # each class against the earliest class of its token
     packed = F.struct("first", "set_key", "n", "pos", "bits_a", "bits_b")
-    earliest = members.groupBy("token").agg(F.min(packed).alias("e")).select("token", "e.*")
+    earliest = staged(members.groupBy("token").agg(F.min(packed).alias("e"), F.count("*").alias("sets")).select("token", "sets", "e.*"),
+                      "line-earliest")
     stars = staged(_candidates(members, earliest, percent), "line-stars")
     matched = staged(verified(stars), "line-matched")
 
-    # those without a match against all earlier members
-    left = members.join(matched.withColumnRenamed("x", "set_key"), "set_key", "left_anti")
-    rest = staged(_candidates(left, members, percent).join(stars, ["x", "y"], "left_anti"), "line-rest")
+    # those without a match against all earlier members, where a token has more than the pair just judged
+    crowd = staged(members.join(earliest.where("sets > 2").select("token"), "token", "left_semi"), "line-crowd")
+    left = crowd.join(matched.withColumnRenamed("x", "set_key"), "set_key", "left_anti")
+    rest = staged(_candidates(left, crowd, percent).join(stars, ["x", "y"], "left_anti"), "line-rest")
     matched = matched.unionByName(verified(rest)).distinct()
 
     judged = classes.join(matched.select(F.col("x").alias("set_key"), F.lit(True).alias("later")), "set_key", "left")
     judged = judged.where("copies > 1 or later").select("set_key", "first", F.coalesce("later", F.lit(False)).alias("later"))
-    bad = lines.join(judged, "set_key").where(F.col("later") | (_position() != F.col("first")))
+    judged = staged(judged, "line-judged")
+    bad = likely(lines.drop("prefix"), "set_key", judged.select("set_key")).join(judged, "set_key").where(F.col("later") | (_position() != F.col("first")))
     return bad.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("removed"))
 
 
