@@ -123,3 +123,37 @@ def test_whole_table_against_a_plain_reading(spark):
         article = re.search(r"<article>(.*?)(?:</article>|$)", r.html, re.S)[1]
         blocks = [" ".join(entities.unescape(re.sub("<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split("</?(?:p|h1)>", article)]
         assert out[r.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def texts(spark, rows):
+    return {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, PAGE)).collect()}
+
+
+def on(host, bodies, start=0):
+    return [(start + i, f"https://{host}/{i}", f"<html><body><div class=top>{host} daily</div>{b}<div class=end>All by {host}</div></body></html>")
+            for i, b in enumerate(bodies)]
+
+
+def test_template_is_a_text_on_most_distinct_pages_not_a_slot(spark, words):
+    def article(h2=None):
+        h1, h2, p = words.text(6), h2 or words.text(2), [words.text(20) for _ in range(3)]
+        li = ["red", "green", "blue"][words.pick(3)]
+        return (f"<article><h1>{h1}</h1><h2>{h2}</h2>" + "".join(f"<p>{x}</p>" for x in p) + f"<ul><li>{li}</li></ul></article>",
+                "\n\n".join([h1, h2, *p, li]))
+
+    heads = ["Background", "Results", "In short", "What comes next"]
+    pages = [article(heads[i % 4]) for i in range(60)]
+    copy = article()
+    pages += [copy] * 2000
+    junk = "<article><h1>Junk</h1>" + "<p>Buy now</p>" * 3000 + "</article>"
+    pages.append((junk, "\n\n".join(["Junk"] + ["Buy now"] * 3000)))
+    # one article under changing headlines
+    body = [words.text(30) for _ in range(4)]
+    near = [(f"<article><h1>{h}</h1>" + "".join(f"<p>{x}</p>" for x in body) + "</article>", "\n\n".join([h, *body]))
+            for h in (words.text(5) for _ in range(40))]
+    # a notice in every article is template, beside paragraphs of the same slot that are not
+    own = [words.text(25) for _ in range(30)]
+    rows = on("hot.example", [h for h, _ in pages]) + on("near.example", [h for h, _ in near], 10_000) + on(
+        "notice.example", [f"<article><p>{t}</p><p>Mail to a friend</p></article>" for t in own], 20_000)
+    got = texts(spark, rows)
+    assert got == dict(enumerate(t for _, t in pages)) | dict(enumerate((t for _, t in near), 10_000)) | dict(enumerate(own, 20_000))

@@ -2,15 +2,19 @@
 
 Each page is parsed into its tree of structural elements (inline markup is transparent; siblings of one signature, tag and
 class, are folded into one repeated node), with text blocks at the nodes. Per host the most frequent tree is the reference; the
-host's other trees are aligned to it by simple tree matching, so that every block of every page gets a slot. Over all pages of
-the host, slots whose text comes from few values are template (menus, notices, footers), slots that vary are
-content, and the deepest element that holds most of the varying text is the host's content region. A page's main text is its
-region's blocks, without template slots and without elements that are boilerplate by name (nav, header outside the article,
-footer, aside, form, script, style, ..., or a class, id or role such as ad, cookie, sidebar, comments). Pages of hosts with
-fewer than MIN_PAGES pages have no wrapper: there the region is the article or main element, or else the body.
-
-Two scans: the first gives out counts only, summed per task by (host, slot, text hash), so a host with a third of all pages is a
-few numbers per task; alignment works on distinct trees. The second extracts with one wrapper per host, which is broadcast
+host's other trees are aligned to it by simple tree matching, so that every block of every page gets a slot. All counts are of
+distinct pages: pages of equal main blocks are one page, and a text counts once per page. A text that stands in its slot on
+TEMPLATE_SHARE of the host's pages is template (menus, notices, footers) and only that text, never the rest of its slot; slots
+whose other texts differ from page to page are content, and the deepest element that holds most of their text, each page weighed
+equally, is the host's content region. A page's main text is its region's blocks. Template texts are left out, and so are elements
+that are boilerplate by name (nav, header outside the article, footer, aside, form, script, style, ..., or a class, id or role
+such as ad, cookie, sidebar, comments). An article that would lose more than half its characters as template texts is a near copy
+of others, and stays whole. Pages of hosts with fewer than MIN_PAGES distinct pages have no wrapper: there the main
+text is the article or main element, or else the body.
+
+Two scans: the first gives out hashes and weights of each distinct page's blocks, which are counted by (host, slot, text hash) in
+partial sums, so a host with a third of all pages is a few numbers per task; alignment works on distinct trees. The second
+extracts with one wrapper per host, which is broadcast
 if all wrappers together stay below BROADCAST_CHARS and joined by host otherwise. Pages themselves are only shuffled in that
 second case.
 
@@ -36,10 +40,11 @@ from pyspark.sql import functions as F
 from zonecast.llm.frames import staged
 
 MIN_PAGES = 5
-TEMPLATE_PAGES = 20  # a slot of a region needs so many blocks before it can be template
-FEW_VALUES = 0.3  # distinct texts per block, below which a slot outside any article is template
-FEW_INSIDE = 0.1  # the same inside the region
+TEMPLATE_PAGES = 20  # a text must stand on so many distinct pages before it can be template
+TEMPLATE_SHARE = 0.5  # and on this share of the host's distinct pages
+MOST_SHARED = 0.1  # share of the other pages that have a slot's text, on the mean, above which the slot is no content
 REGION_SHARE = 0.7
+PAGE_WEIGHT = 1_000_000
 BROADCAST_CHARS = 16_000_000
 
 # HTML element names.
@@ -240,28 +245,47 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-COUNTS = "host string, tree bigint, path bigint, text bigint, chars bigint, n bigint, spelled string"
+COUNTS = "host string, page bigint, rest bigint, tree bigint, blocks array<struct<path: bigint, text: bigint, weight: bigint>>, spelled string"
+BLOCK = pa.list_(pa.struct([("path", pa.int64()), ("text", pa.int64()), ("weight", pa.int64())]))
+
+
+def main_blocks(page: Page) -> list[tuple[Path, str, bool, bool]]:
+    """Blocks that are not boilerplate by name, of the article if there is one."""
+    good = [b for b in page.blocks if not b[2]]
+    return [b for b in good if b[3]] if page.has_article else good
+
+
+def _page_row(page: Page, path_hash: dict[Path, int]) -> tuple[int, int, list[tuple[int, int, int]]]:
+    """(key of the main blocks, key of all blocks, distinct blocks with their part of the page's text) of a page."""
+    hashes = {text: _hash(text) for _, text, *_ in page.blocks}
+    keys = [hash_of([(path_hash[b[0]], hashes[b[1]]) for b in blocks]) for blocks in (main_blocks(page) or page.blocks, page.blocks)]
+    chars: Counter = Counter()
+    for path, text, bad, _ in page.blocks:
+        chars[path_hash[path], hashes[text]] += 0 if bad else len(text)
+    total = max(sum(chars.values()), 1)
+    return keys[0], keys[1], [(p, t, n * PAGE_WEIGHT // total) for (p, t), n in chars.items()]
+
+
+def hash_of(pairs: list[tuple[int, int]]) -> int:
+    return xxhash.xxh64_intdigest(np.array(pairs, np.int64).tobytes()) - (1 << 63)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Block counts by (host, tree, path, text), and the distinct trees with their pages."""
+    """The distinct pages with their blocks, and the distinct trees."""
     for batch in batches:
-        blocks: Counter = Counter()
-        trees: Counter = Counter()
+        rows: dict[tuple, tuple] = {}
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = Page(html)
             paths = page.paths()
             name = spell(paths)
             key = _hash(name)
-            trees[host, key, name] += 1
-            path_hash = {p: _hash(spell((p,))) for p in paths}
-            for path, text, *_ in page.blocks:
-                blocks[host, key, path_hash[path], _hash(text), len(text)] += 1
-        rows = [(*k, n, None) for k, n in blocks.items()] + [(h, k, None, None, None, n, s) for (h, k, s), n in trees.items()]
-        kinds = (pa.string(), *[pa.int64()] * 5, pa.string())
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            rows[host, key, name] = (host, None, None, key, None, name)
+            main, rest, blocks = _page_row(page, {p: _hash(spell((p,))) for p in paths})
+            rows[host, main, rest, key] = (host, main, rest, key, blocks, None)
+        kinds = (pa.string(), *[pa.int64()] * 3, BLOCK, pa.string())
+        columns = list(zip(*rows.values(), strict=True)) if rows else [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                         ["host", "tree", "path", "text", "chars", "n", "spelled"])
+                                         ["host", "page", "rest", "tree", "blocks", "spelled"])
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,13 +313,13 @@ def _named_bad(path: Path) -> bool:
     return False
 
 
-def induce(reference: tuple[Path, ...], stats: dict[Path, tuple[int, int, int]]) -> tuple[Path, list[Path]]:
-    """(content region, template slots) of a host from (blocks, distinct texts, characters) of its slots."""
+def induce(reference: tuple[Path, ...], stats: dict[Path, tuple[float, int]]) -> tuple[Path, list[Path]]:
+    """(content region, content slots) of a host from (share of the other pages with the same text, weight) of its slots."""
     varying: Counter = Counter()
-    for path, (blocks, distinct, chars) in stats.items():
-        if distinct >= FEW_VALUES * blocks and not _named_bad(path):
-            for i in range(len(path) + 1):
-                varying[path[:i]] += chars
+    content = [path for path, (shared, _) in stats.items() if shared <= MOST_SHARED and not _named_bad(path)]
+    for path in content:
+        for i in range(len(path) + 1):
+            varying[path[:i]] += stats[path][1]
     total, region = varying[()], ()
     while total:
         below = [p for p in varying if len(p) == len(region) + 1 and p[:len(region)] == region and varying[p] >= REGION_SHARE * total]
@@ -303,35 +327,48 @@ def induce(reference: tuple[Path, ...], stats: dict[Path, tuple[int, int, int]])
         if not below or below[0] in reference:
             break
         region = below[0]
-    template = [p for p, (blocks, distinct, _) in stats.items() if blocks >= TEMPLATE_PAGES and distinct < FEW_INSIDE * blocks]
-    return region, template
+    return region, content
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         wrappers = []
         for reference, rows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            stats = {tuple(json.loads(r["slot"])): (r["blocks"], r["texts"], r["chars"]) for r in rows}
-            region, template = induce(unspell(reference), stats)
-            wrappers.append(json.dumps({"reference": json.loads(reference), "region": region, "template": template}, ensure_ascii=False))
+            region, content = induce(unspell(reference), {tuple(json.loads(r["slot"])): (r["shared"], r["weight"]) for r in rows
+                                                          if r["weight"]})
+            template = [(json.loads(r["slot"]), r["template"]) for r in rows if r["template"]]
+            wrappers.append(json.dumps({"reference": json.loads(reference), "region": region, "content": content, "template": template},
+                                       ensure_ascii=False))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(wrappers, pa.string())], ["host", "wrapper"])
 
 
 def learn_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) of every host with enough pages, from all pages (host, html)."""
+    """(host, wrapper) of every host with enough distinct pages, from all pages (host, html)."""
     counts = staged(pages.where("host is not null").select("host", "html").mapInArrow(_count, COUNTS), "html-counts")
-    trees = counts.where("spelled is not null").groupBy("host", "tree", "spelled").agg(F.sum("n").alias("pages"))
+    # of pages with the same main blocks one is counted, the same in every run
+    distinct = staged(counts.where("spelled is null").groupBy("host", "page").agg(F.min(F.struct("rest", "tree", "blocks")).alias("p"))
+                      .select("host", "p.tree", "p.blocks"), "html-pages")
+    spelled = counts.where("spelled is not null").select("host", "tree", "spelled").distinct()
+    trees = distinct.groupBy("host", "tree").agg(F.count("*").alias("pages")).join(spelled, ["host", "tree"])
     frequent = (trees.groupBy("host").agg(F.max(F.struct("pages", "tree", "spelled")).alias("top"), F.sum("pages").alias("pages"))
-                .where(F.col("pages") >= MIN_PAGES).select("host", F.col("top.spelled").alias("reference")))
+                .where(F.col("pages") >= MIN_PAGES).select("host", "pages", F.col("top.spelled").alias("reference")))
     frequent = staged(frequent, "html-references")
-    aligned = staged(trees.join(frequent, "host").select("host", "tree", "spelled", "reference")
+    aligned = staged(trees.join(frequent.select("host", "reference"), "host").select("host", "tree", "spelled", "reference")
                      .mapInArrow(_align, "host string, tree bigint, path bigint, slot string"), "html-slots")
-    blocks = (counts.where("spelled is null").groupBy("host", "tree", "path", "text", "chars").agg(F.sum("n").alias("n"))
-              .join(aligned, ["host", "tree", "path"]).groupBy("host", "slot", "text").agg(
-                  F.sum("n").alias("n"), F.sum(F.col("n") * F.col("chars")).alias("chars")))
-    stats = blocks.groupBy("host", "slot").agg(F.sum("n").alias("blocks"), F.count("*").alias("texts"), F.sum("chars").alias("chars"))
+    # a page's slot has one path, so that a text counts once per page
+    blocks = (distinct.select("host", "tree", F.explode("blocks").alias("b")).groupBy("host", "tree", "b.path", "b.text")
+              .agg(F.count("*").alias("n"), F.sum("b.weight").alias("weight"))
+              .join(aligned, ["host", "tree", "path"]).groupBy("host", "slot", "text").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"))
+              .join(frequent.select("host", "pages"), "host"))
+    template = (F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("pages"))
+    others = F.when(~template, F.col("n"))
+    # a page has so many of a slot's template texts at least, so they are few
+    stats = blocks.groupBy("host", "slot").agg(
+        (F.sum(others.cast("double") * (F.col("n") - 1)) / (F.sum(others) * (F.max("pages") - 1))).alias("shared"),
+        F.coalesce(F.sum(F.when(~template, F.col("weight"))), F.lit(0)).alias("weight"),
+        F.sort_array(F.collect_list(F.when(template, F.col("text")))).alias("template"))
     # slots of a host are at most the paths of its reference page
-    per_host = stats.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "blocks", "texts", "chars"))).alias("slots"))
+    per_host = stats.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "shared", "weight", "template"))).alias("slots"))
     return frequent.join(per_host, "host").select("host", "reference", "slots").mapInArrow(_induce, "host string, wrapper string")
 
 
@@ -341,31 +378,34 @@ class Wrapper:
     def __init__(self, spelled: str):
         w = json.loads(spelled)
         self.reference = tuple(tuple(p) for p in w["reference"])
-        self.region, self.template = tuple(w["region"]), {tuple(p) for p in w["template"]}
-        self.known: dict[tuple[Path, ...], tuple[Path | None, set[Path]]] = {}
+        self.region, self.content = tuple(w["region"]), {tuple(p) for p in w["content"]}
+        self.template = {tuple(p): frozenset(texts) for p, texts in w["template"]}
+        self.known: dict[tuple[Path, ...], tuple[Path | None, set[Path], dict[Path, frozenset[int]]]] = {}
 
-    def on(self, paths: tuple[Path, ...]) -> tuple[Path | None, set[Path]]:
-        """The region of a page's tree, None if it has none, and its template paths."""
+    def on(self, paths: tuple[Path, ...]) -> tuple[Path | None, set[Path], dict[Path, frozenset[int]]]:
+        """The region of a page's tree, None if it has none, its content paths, and its paths' template texts."""
         if paths not in self.known:
             if len(self.known) > 1000:
                 self.known.clear()
             mapped = slots(paths, self.reference)
             region = next((p for p, q in mapped.items() if q == self.region), None)
-            self.known[paths] = region, {p for p, q in mapped.items() if q in self.template}
+            self.known[paths] = (region, {p for p, q in mapped.items() if q in self.content},
+                                 {p: self.template[q] for p, q in mapped.items() if q in self.template})
         return self.known[paths]
 
 
 def main_text(html: str | None, wrapper: Wrapper | None) -> str:
     page = Page(html or "")
-    good = [b for b in page.blocks if not b[2]]
-    inside = [b for b in good if b[3]] if page.has_article else good
+    inside = main_blocks(page)
     if wrapper is not None:
-        region, template = wrapper.on(page.paths())
+        region, content, template = wrapper.on(page.paths())
+        near = inside
         if region is not None:
-            own = [b for b in good if b[0][:len(region)] == region and b[0] not in template]
-            # an article is never left for a region beside it
-            if own and not (page.has_article and not any(b[3] for b in own)):
-                inside = [b for b in own if b[3]] if page.has_article else own
+            near = [b for b in inside if b[0][:len(region)] == region] or inside
+        own = [b for b in near if b[0] not in template or _hash(b[1]) not in template[b[0]]]
+        least = sum(len(b[1]) for b in near) / 2 if page.has_article else 1
+        if sum(len(b[1]) for b in own) >= least:
+            inside = own
     return "\n\n".join(b[1] for b in inside)
 
 
