@@ -157,3 +157,29 @@ def test_template_is_a_text_on_most_distinct_pages_not_a_slot(spark, words):
         "notice.example", [f"<article><p>{t}</p><p>Mail to a friend</p></article>" for t in own], 20_000)
     got = texts(spark, rows)
     assert got == dict(enumerate(t for _, t in pages)) | dict(enumerate((t for _, t in near), 10_000)) | dict(enumerate(own, 20_000))
+
+
+def test_article_is_never_narrowed_and_a_headline_beside_the_region_stays(spark, words):
+    def page(i, tag):
+        h1, lead, side = words.text(5), words.text(12), words.text(10)
+        p = [words.text(30) for _ in range(400 if i == 7 else 4)]
+        return (f"<{tag}><h1>{h1}</h1><p>{lead}</p><div class=content>" + "".join(f"<p>{x}</p>" for x in p) +
+                f"</div><section><p>{side}</p></section></{tag}>", "\n\n".join([h1, lead, *p, side]))
+
+    few, many, plain = ([page(i, tag) for i in range(n)] for tag, n in (("article", 3), ("article", 30), ("div", 30)))
+    got = texts(spark, on("few.example", [h for h, _ in few]) + on("many.example", [h for h, _ in many], 100)
+                + on("plain.example", [h for h, _ in plain], 200))
+    for start, pages in ((0, few), (100, many), (200, plain)):
+        assert {i: t for i, t in got.items() if start <= i < start + 100} == dict(enumerate((t for _, t in pages), start))
+
+
+def test_one_long_page_does_not_choose_the_region(words):
+    body, side = ("html", "body", "div.body"), ("html", "body", "div.log")
+    rows = [[(body, words.text(200))] for _ in range(30)] + [[(side, words.text(50_000))]]
+    stats = {}
+    for blocks in rows:
+        page = H.Page("".join(f"<{p[-1].replace('.', ' class=')}><p>{t}</p></div>" for p, t in blocks))
+        for _, _, weight in H._page_row(page, {p: 0 for p in page.paths()})[2]:
+            path = (*blocks[0][0], "p")
+            stats[path] = (0.0, stats.get(path, (0.0, 0))[1] + weight)
+    assert H.induce(tuple(stats), stats)[0] == body

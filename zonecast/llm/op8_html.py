@@ -6,7 +6,8 @@ host's other trees are aligned to it by simple tree matching, so that every bloc
 distinct pages: pages of equal main blocks are one page, and a text counts once per page. A text that stands in its slot on
 TEMPLATE_SHARE of the host's pages is template (menus, notices, footers) and only that text, never the rest of its slot; slots
 whose other texts differ from page to page are content, and the deepest element that holds most of their text, each page weighed
-equally, is the host's content region. A page's main text is its region's blocks. Template texts are left out, and so are elements
+equally, is the host's content region. A page's main text is its article or main element; on pages without one it is the
+region's blocks and the content slots beside it (a headline, say). Template texts are left out, and so are elements
 that are boilerplate by name (nav, header outside the article, footer, aside, form, script, style, ..., or a class, id or role
 such as ad, cookie, sidebar, comments). An article that would lose more than half its characters as template texts is a near copy
 of others, and stays whole. Pages of hosts with fewer than MIN_PAGES distinct pages have no wrapper: there the main
@@ -400,8 +401,9 @@ def main_text(html: str | None, wrapper: Wrapper | None) -> str:
     if wrapper is not None:
         region, content, template = wrapper.on(page.paths())
         near = inside
-        if region is not None:
-            near = [b for b in inside if b[0][:len(region)] == region] or inside
+        # an article is never narrowed
+        if region is not None and not page.has_article:
+            near = [b for b in inside if b[0][:len(region)] == region or b[0] in content]
         own = [b for b in near if b[0] not in template or _hash(b[1]) not in template[b[0]]]
         least = sum(len(b[1]) for b in near) / 2 if page.has_article else 1
         if sum(len(b[1]) for b in own) >= least:
