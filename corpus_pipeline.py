@@ -23,8 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier line; those of which nothing but blank lines is left go."""
-    cut = dedup_lines(docs).where((F.size("dedup.removed") == 0) | (F.trim(F.translate("text", "\r\n\t", "   ")) != ""))
+    """Documents without lines that repeat an earlier line, short ones included; those of which nothing but blank lines is left go."""
+    cut = dedup_lines(docs, short=True).where((F.size("dedup.removed") == 0) | (F.trim(F.translate("text", "\r\n\t", "   ")) != ""))
     columns = [F.length("text").cast("bigint").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return cut.select(*columns)
 

@@ -237,3 +237,26 @@ def test_tables_follow_the_miss_bound(n):
     near = op6_embeddings.collision((2 - 1.8) ** 0.5)
     assert (1 - near ** k) ** tables <= op6_embeddings.MISS
     assert n * op6_embeddings.collision(2 ** 0.5) ** k <= max(1, n / 300)
+
+
+def test_line_dedup_with_short_lines_against_brute_force(docs, words):
+    long = [words.text(12) for _ in range(6)]
+    rows = [(1, f"Les.\n{long[0]}\nAnd ornd.\n\none two three four"), (2, f"les\n{long[1]}\nand  ornd\n***\n***\nfour three two one"),
+            (3, f"Les.\n{long[0]}\nAnd ornd.\n\none two three four"), (4, f"{long[2]}\none two three\nOne two three four!"),
+            (5, "la la la la\nla la la la la\nla la la la la la"), (6, "\n".join(["Les."] * 50)), (7, None), (None, "Les.")]
+    rows += [(100 + i, f"{words.word()}\n{long[i % 6]}\n{words.word()} {words.word()}") for i in range(30)]
+    seen, want = set(), {}
+    for i, text in rows:
+        if i is None or text is None:
+            continue
+        kept = []
+        for line in text.split("\n"):
+            s = frozenset(shingles(line, 5, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", True))
+            if not s or not any(100 * len(s & t) >= 80 * len(s | t) for t in seen):
+                kept.append(line)
+            seen |= {s} if s else set()
+        want[i] = "\n".join(kept)
+    out = op2_lines.dedup_lines(docs(rows), short=True).collect()
+    assert {r.doc_id: r.text for r in out if r.doc_id is not None and r.text is not None} == want
+    assert want[2] == f"{long[1]}\n***\n***\nfour three two one" and want[6] == ""
+    assert sorted(r.text for r in out if r.doc_id is None) == ["Les."]

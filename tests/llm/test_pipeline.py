@@ -79,3 +79,10 @@ def test_entry_lists_all_queries_of_the_subpackage():
     names = E.queries()
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == [] and "pipeline" in names
     assert set(E.oracle_sql()) <= set(names)
+
+
+def test_line_dedup_leaves_nothing_of_a_copy_with_short_lines(spark, words):
+    text = "\n".join(["Les.", words.text(30), "And ornd.", words.text(30)])
+    rows = [(1, text, "xx", "s", len(text)), (2, text, "xx", "s", len(text)), (3, "And ornd.\n" + words.text(20), "xx", "s", 0)]
+    out = {r.doc_id: r.text for r in C.line_dedup(spark, spark.createDataFrame(rows, KIND), "").collect()}
+    assert out == {1: text, 3: rows[2][1].split("\n")[1]}

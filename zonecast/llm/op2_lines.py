@@ -2,7 +2,8 @@
 
 A line's tokens are its distinct five-word shingles (ASCII letters lower-cased, words as runs of digits, letters and
 non-ASCII characters). A line is removed if an earlier line, by (doc_id, text hash, line number), has Jaccard
-similarity of at least 80 % with it. Lines of fewer than five words have no token, match nothing and stay.
+similarity of at least 80 % with it. Lines of fewer than five words have no token, match nothing and stay; with ``short``
+their whole word sequence is their one token, so that repeats of them go too. Lines without words always stay.
 
 1. Tokens are counted into 65,536 hash buckets over all documents; (bucket count, token) is the global order, rare
    tokens first. The table is all that is broadcast, 64 KB at any corpus size.
@@ -51,15 +52,23 @@ def line_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return start[order], text[order]
 
 
-def line_tokens(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, line of each token, text of each line, number of each line within its text)."""
+def line_tokens(data: np.ndarray, offsets: np.ndarray, shingle: int,
+                short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit token hashes, line of each token, text of each line, number of each line within its text)."""
     starts, text = line_offsets(data, offsets)
     words = W.Words(data, np.append(starts, offsets[-1]), W.ALNUM)
     line = np.repeat(np.arange(len(starts)), words.counts)
     grams = W.ngram_hashes(words.hashes, shingle)
     whole = line[:len(grams)] == line[shingle - 1:] if len(grams) else np.zeros(0, bool)
     number = np.arange(len(text)) - np.searchsorted(text, text)
-    return grams[whole] >> np.uint64(64 - TOKEN_BITS), line[:len(grams)][whole], text, number
+    tokens, line = grams[whole], line[:len(grams)][whole]
+    if short:
+        small = [np.flatnonzero(words.counts == k) for k in range(1, shingle)]
+        tokens = np.concatenate([tokens, *(W.ngram_hashes(words.hashes, k)[words.first[s]] for k, s in enumerate(small, 1))])
+        line = np.concatenate([line, *small])
+        order = np.argsort(line, kind="stable")
+        tokens, line = tokens[order], line[order]
+    return tokens, line, text, number
 
 
 def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -69,24 +78,28 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.n
         yield a, b, data[base:offsets[b]], offsets[a:b + 1] - base
 
 
+def _cut(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - TOKEN_BITS)
+
+
 def _bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(TOKEN_BITS - RARITY_BITS)).astype(np.int64)
 
 
-def _count(shingle: int):
+def _count(shingle: int, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             for _, _, data, offsets in _blocks(batch, 0):
-                total += np.bincount(_bucket(line_tokens(data, offsets, shingle)[0]), minlength=len(total))
+                total += np.bincount(_bucket(_cut(line_tokens(data, offsets, shingle, short)[0])), minlength=len(total))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["bucket", "n"])
     return run
 
 
-def rarity_levels(docs: DataFrame, shingle: int) -> np.ndarray:
+def rarity_levels(docs: DataFrame, shingle: int, short: bool = False) -> np.ndarray:
     """Rarity level (0 rare .. 127 common) of each token bucket, from counts over all documents."""
-    counts = (docs.select("text").mapInArrow(_count(shingle), "bucket bigint, n bigint")
+    counts = (docs.select("text").mapInArrow(_count(shingle, short), "bucket bigint, n bigint")
               .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())  # at most 65,536 rows
     levels = np.zeros(1 << RARITY_BITS, np.uint8)
     levels[counts["bucket"].to_numpy()] = np.minimum(3 * np.log2(1 + counts["n"].to_numpy()), RARITY_LEVELS - 1)
@@ -101,9 +114,10 @@ LINES = ("doc_id bigint, text_hash bigint, line_no bigint, set_key bigint, n big
          "prefix array<bigint>")
 
 
-def _prefixes(levels: np.ndarray, shingle: int, percent: int):
+def _prefixes(levels: np.ndarray, shingle: int, percent: int, short: bool):
     """Lines with their set's key and size and their prefix: token above 24 bits of position."""
-    def sets(tokens: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, ...]:
+    def sets(hashes: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, ...]:
+        leading, tokens = hashes[np.flatnonzero(np.diff(line, prepend=-1))], _cut(hashes)
         order = (line.astype(np.uint64) << np.uint64(TOKEN_BITS + 7)) | \
             (levels[_bucket(tokens)].astype(np.uint64) << np.uint64(TOKEN_BITS)) | tokens
         order = np.unique(order)
@@ -112,6 +126,8 @@ def _prefixes(levels: np.ndarray, shingle: int, percent: int):
         first = np.flatnonzero(np.diff(line, prepend=-1))
         n = np.diff(np.append(first, len(line)))
         key = W.mix64(np.add.reduceat(W.mix64(tokens + W.MIX_B), first) + n.astype(np.uint64) * W.MIX_A)
+        # a single token is too short for a key, its hash is not
+        key = np.where(n == 1, W.mix64(leading + W.MIX_A), key)
         size = np.minimum(n - _least_overlap(n, percent, 100) + 1, POSITIONS)
         place = np.arange(len(line)) - np.repeat(first, n)
         keep = place < np.repeat(size, n)
@@ -126,7 +142,7 @@ def _prefixes(levels: np.ndarray, shingle: int, percent: int):
         for batch in batches:
             ids, text_hash = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for a, _, data, offsets in _blocks(batch, 2):
-                tokens, line, text, number = line_tokens(data, offsets, shingle)
+                tokens, line, text, number = line_tokens(data, offsets, shingle, short)
                 names, line = np.unique(line, return_inverse=True)
                 for at in range(0, len(names), 1 << LINE_BITS):
                     low, high = np.searchsorted(line, [at, at + (1 << LINE_BITS)])
@@ -236,13 +252,13 @@ def _candidates(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame
             .select(F.col("l.set_key").alias("x"), F.col("e.set_key").alias("y")).distinct())
 
 
-def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, short: bool = False) -> DataFrame:
     """(doc_id, text_hash, removed): numbers, from 0, of the lines to remove from each document that has any."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null and text is not null")
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    levels = rarity_levels(docs, shingle)
-    lines = staged(hashed.mapInArrow(_prefixes(levels, shingle, percent), LINES), "lines")
+    levels = rarity_levels(docs, shingle, short)
+    lines = staged(hashed.mapInArrow(_prefixes(levels, shingle, percent, short), LINES), "lines")
 
     classes = staged(lines.groupBy("set_key").agg(
         F.min(_position()).alias("first"), F.any_value("n").alias("n"), F.any_value("bits_a").alias("bits_a"),
@@ -287,10 +303,10 @@ def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
     return bad.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, short: bool = False) -> DataFrame:
     """All columns of ``docs`` with the remaining ``text``, and a struct column ``dedup`` (n_lines, removed), which takes the
     place of one of that name."""
-    removed = staged(removed_lines(docs, shingle, percent), "line-removed")
+    removed = staged(removed_lines(docs, shingle, percent, short), "line-removed")
     # the other columns ride as one struct, so that they cannot clash with ours
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "dedup")]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"))
