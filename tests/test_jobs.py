@@ -127,3 +127,28 @@ def test_gross_fare_keeps_large_and_fine_values(spark):
     assert [r[0] for r in df.select(C.money_times("a", "b")).collect()] == [1e8, 100.5, 3e12, None, -1.51, None]
     half = spark.createDataFrame([(-151, 100), (151, 100), (-149, 100)], "n long, d long")
     assert [r[0] for r in half.select(C.half_up_ratio(F.col("n"), F.col("d"))).collect()] == [-2, 2, -1]
+
+
+def test_retrain_history_logs_the_random_split_beside_the_candidates(spark, monkeypatch):
+    from zonecast.operators import model as MO
+
+    whole = MO.build_pipeline
+
+    def small():
+        pipeline = whole()
+        pipeline.getStages()[-1].setMaxIter(2)
+        return pipeline
+
+    monkeypatch.setattr(MO, "build_pipeline", small)
+    root = work_dir(spark, "t-jobs-history")
+    at = {k: f"{root}/{k}" for k in ("runs", "models", "history", "trips", "promoted")}
+    X.trips(spark, SF).limit(600).write.parquet(at["trips"])
+    assert J.load_history(spark, at["trips"], at["history"]) == 0
+    assert J.retrain_history(spark, at["history"], at["runs"], at["models"]) == 0
+    runs, compared = (spark.read.parquet(p).collect() for p in (at["runs"], MO.comparison_path(at["runs"])))
+    assert [r["model"] for r in runs] == [MO.HIST_MODEL]
+    assert [r["model"] for r in compared] == [MO.HIST_MODEL + "_random_split"]
+    rows = spark.read.parquet(at["history"])
+    test = rows.where("cast(conv(substr(md5(concat(ride_id, ':42')), 1, 8), 16, 10) as bigint) % 1000000 >= 800000")
+    assert compared[0]["n"] == test.where("surge_multiplier is not null").count()
+    assert 0 <= compared[0]["mae"] <= compared[0]["rmse"]

@@ -101,7 +101,8 @@ def load_history(spark: SparkSession, trips_path: str, history_path: str) -> int
 
 
 def retrain_history(spark: SparkSession, history_path: str, runs_path: str, models_path: str) -> int:
-    """Fit the historical model on the earliest 80 % of trips and log it; a hash split is logged for comparison only."""
+    """Fit the historical model on the earliest 80 % of trips and log it; a model of a hash split is logged for comparison only,
+    in a run table of its own (``MO.comparison_path``), which promotion does not read."""
     feats = FE.feature_frame(spark.read.parquet(history_path), keep=("ride_id", "event_timestamp")).filter(F.col(K.TARGET).isNotNull())
     if not feats.limit(1).collect():
         print("no data available for training")
@@ -110,6 +111,10 @@ def retrain_history(spark: SparkSession, history_path: str, runs_path: str, mode
     timed = materialize(timed)
     model, metrics = MO.train(timed.filter(F.col("split") == "train"), timed.filter(F.col("split") == "test"), MO.HIST_MODEL)
     MO.log_run(spark, model, materialize(metrics), runs_path, models_path)
+    mixed = SP.hash_split(timed.drop("split"), F.col("ride_id"), 0.8)
+    model, metrics = MO.train(mixed.filter(F.col("split") == "train"), mixed.filter(F.col("split") == "test"),
+                              MO.HIST_MODEL + "_random_split")
+    MO.log_run(spark, model, materialize(metrics), MO.comparison_path(runs_path), models_path)
     return 0
 
 

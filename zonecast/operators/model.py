@@ -157,6 +157,11 @@ def log_run(spark: SparkSession, model, metrics: DataFrame, runs_path: str, mode
     return path
 
 
+def comparison_path(runs_path: str) -> str:
+    """Run table of models that are only compared with; promotion does not read it."""
+    return runs_path.rstrip("/") + "_comparison"
+
+
 def promote_run(spark: SparkSession, runs_path: str, promoted_path: str, threshold: float = K.PROMOTION_MAE_THRESHOLD) -> DataFrame:
     """M4: among the newest run of each candidate the lower MAE wins (tie -> historical model); below the threshold it is
     appended to the promoted runs, which scoring reads. Returns the decision."""

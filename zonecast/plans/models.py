@@ -279,10 +279,12 @@ SELECT '{MO.HIST_MODEL}' AS model, n - floor(n * 0.8::DOUBLE)::BIGINT AS n, 'tim
 def train_historical(spark, sf):
     hist = H.historical_silver(X.trips(spark, sf, with_row_id=True), with_id=True)
     feats = FE.feature_frame(hist, keep=("ride_id", "event_timestamp")).filter(F.col(K.TARGET).isNotNull())
-    (model, metrics, _), (_, compared, _) = train_history(feats)
+    (model, metrics, _), (other, compared, _) = train_history(feats)
     at = _folders(spark, sf)
     metrics = materialize(metrics)
     MO.log_run(spark, model, metrics, at["runs"], at["models"])
+    # beside the candidates, so that it is never promoted; the result has the time split alone, as the SQL does
+    MO.log_run(spark, other, materialize(compared), MO.comparison_path(at["runs"]), at["models"])
     MO.promote_run(spark, at["runs"], at["promoted"])
     return metrics.select("model", "n", F.lit("time").alias("split"), (F.col("mae") <= F.col("rmse")).alias("ordered"))
 
