@@ -260,3 +260,12 @@ def test_line_dedup_with_short_lines_against_brute_force(docs, words):
     assert {r.doc_id: r.text for r in out if r.doc_id is not None and r.text is not None} == want
     assert want[2] == f"{long[1]}\n***\n***\nfour three two one" and want[6] == ""
     assert sorted(r.text for r in out if r.doc_id is None) == ["Les."]
+
+
+def test_vectors_of_a_repeated_id_are_linked_on_their_own(spark):
+    rng = np.random.default_rng(5)
+    x, y = rng.standard_normal((2, 64))
+    rows = [(1, x), (1, y), (5, x + 0.01 * rng.standard_normal(64)), (3, y + 0.01 * rng.standard_normal(64)), (9, rng.standard_normal(64))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id bigint, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in op6_embeddings.near_vectors(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (3, 1, 1, False), (5, 1, 1, False), (9, 0, 9, True)]

@@ -162,8 +162,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
                                   F.col("embedding").cast("array<double>").alias("embedding"))
                    .mapInArrow(_units, "vec_id bigint, class_key binary, unit binary"), "units")
     named = units.where("vec_id is not null and class_key is not null")
-    classes = staged(named.groupBy("class_key").agg(F.min("vec_id").alias("node"), F.any_value("unit").alias("unit"),
-                                                    F.count("*").alias("copies")), "unit-classes")
+    classes = staged(named.groupBy("class_key").agg(F.min("vec_id").alias("first"), F.any_value("unit").alias("unit"), F.count("*").alias("copies"))
+                     # a repeated vec_id's different vectors are nodes of their own
+                     .withColumn("node", F.xxhash64("class_key")), "unit-classes")
     k, tables = plan(classes.count(), cosine)
     hashed = staged(classes.select("node", "unit").mapInArrow(_hash(k, tables), "node bigint, keys array<bigint>, sketch array<bigint>"),
                     "unit-hashes")
@@ -192,11 +193,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     counts = (dealt.groupBy("component", "dim", "low", "high").applyInPandas(_block_counts(cosine), "class_id bigint, n bigint")
               .groupBy("class_id").agg(F.sum("n").alias("others")))
     per_class = (classes.withColumn("class_id", F.xxhash64("class_key", "unit")).join(counts, "class_id", "left")
-                 .select("class_key", "node", "copies", F.coalesce("others", F.lit(0)).alias("others")))
+                 .select("class_key", "node", "first", "copies", F.coalesce("others", F.lit(0)).alias("others")))
+    lowest = (members.groupBy("component").agg(F.min("first").alias("lowest")).join(linked, "component").select("node", "lowest"))
     return (units.select("vec_id", "class_key").withColumn("linkable", F.col("vec_id").isNotNull())
-            .join(per_class, "class_key", "left").join(linked, "node", "left")
+            .join(per_class, "class_key", "left").join(lowest, "node", "left")
             .select("vec_id",
                     F.when(F.col("linkable"), F.coalesce(F.col("copies") - 1 + F.col("others"), F.lit(0)))
                     .otherwise(0).cast("bigint").alias("n_links"),
-                    F.when(F.col("linkable"), F.coalesce("component", "node", "vec_id")).alias("component_id"))
+                    F.when(F.col("linkable"), F.coalesce("lowest", "first", "vec_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
