@@ -209,9 +209,37 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over all documents."""
+    import public_tokenizers
+
+    from zonecast.llm.op11_alignment import align
+
+    return align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path(TOKENIZER))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings, whitened on their first eight principal components."""
+    from zonecast.llm.op12_whitening import whiten
+
+    return whiten(read(spark, sf_dir, "embeddings"), components=8)
+
+
+def op13_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to indexed shards and read back from them."""
+    import public_tokenizers
+
+    from zonecast.llm.op13_output import read_back, write_ids
+    from zonecast.session import work_dir
+
+    folder = work_dir(spark, "token-ids")
+    manifest = write_ids(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return read_back(spark, folder, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality, op2_line_dedup, op3_token_counts, op4_toxicity, op5_chat_format, op6_embeddings, op7_minhash, op8_html, op9_decontaminate,
-                              op10_packing)
+                              op10_packing, op11_alignment, op12_whitening, op13_output)
 }
 
 SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_embeddings": OP6_SQL, "op7_minhash": OP7_SQL, "op9_decontaminate": OP9_SQL}
