@@ -13,17 +13,20 @@ from zonecast.session import work_dir
 
 
 def test_feature_frame_and_one_hot(spark):
-    df = spark.createDataFrame(
-        [("2024-01-01T08:00:00Z", "cbd", "cab_economy", "clear", "completed", 8.4, 336.0, 1.8)],
-        "event_timestamp string, city_zone string, vehicle_type string, weather string, status string, "
-        "distance_km double, fare_base_inr double, surge_multiplier double")
-    frame = FE.feature_frame(df, keep=())
-    row = frame.collect()[0]
-    assert row["event_hour"] == 8 and row[K.TARGET] == 1.8
-    oh = FE.one_hot(frame, keep=())
-    assert any(c.startswith("city_zone_") for c in oh.columns)
-    r = oh.collect()[0]
-    assert r["city_zone_cbd"] == 1 and r["city_zone_mall"] == 0 and r["vehicle_type_cab_economy"] == 1
+    rows = [("2024-03-05T23:59:59.5+00:00", "airport", "bike", None, "cancelled", 2.25, 90.0, 3.4999),
+            ("no time", "mall", None, "rain", "requested", None, -5.0, None)]
+    kind = ("event_timestamp string, city_zone string, vehicle_type string, weather string, status string, distance_km double, "
+            "fare_base_inr double, surge_multiplier double")
+    frame = FE.feature_frame(spark.createDataFrame(rows, kind), keep=("event_timestamp",))
+    night, odd = sorted(frame.collect(), key=lambda r: -r["event_hour"])
+    assert (night["event_hour"], night["weather"], night[K.TARGET]) == (23, "unknown", 3.4999)
+    assert (odd["event_hour"], odd["vehicle_type"], odd["distance_km"], odd[K.TARGET]) == (0, "unknown", None, None)
+    encoded = FE.one_hot(frame, keep=("event_timestamp",)).collect()
+    for row, plain in zip(encoded, frame.collect(), strict=True):
+        for column, values in FE.VOCAB.items():
+            flags = {v: row[FE.dummy_name(column, v)] for v in values}
+            assert {v for v, flag in flags.items() if flag} == ({plain[column]} & set(values))
+            assert set(flags.values()) <= {0, 1}
 
 
 def test_feature_frame_missing_columns(spark):

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,11 @@ from zonecast.functions import constants as K
 from zonecast.operators import features as FE
 from zonecast.operators import gold as G
 from zonecast.operators import history as H
+from zonecast.operators import metric_store as MS
 from zonecast.operators import metrics as M
 from zonecast.operators import model as MO
 from zonecast.operators import ordered as O
+from zonecast.operators import published as P
 from zonecast.operators import quality as Q
 from zonecast.operators import splits as SP
 from zonecast.operators import tables as T
@@ -42,22 +45,25 @@ GOLD_KEYS = G.GOLD_KEYS
 
 
 def gold_refresh(spark: SparkSession, silver_path: str, gold_path: str, since: str | None = None) -> int:
-    """Silver -> hourly KPIs -> keyed upsert into gold. Only the touched dates are rewritten: all, or those from ``since`` on
-    (rows without a date are then left alone)."""
+    """Silver -> hourly KPIs -> keyed upsert into gold, published in one step (``operators/published.py``; read it with
+    ``read_published``). Only the touched dates are rewritten: all, or those from ``since`` on (rows without a date are then left alone)."""
     silver = spark.read.parquet(silver_path)
     if since:
         silver = silver.filter(F.col("event_date") >= F.lit(since).cast("date"))
     if not silver.limit(1).collect():
         print("silver is empty: nothing to aggregate")
         return 1
-    T.upsert_table(spark, G.hourly_kpis(silver), gold_path, GOLD_KEYS, partition_by=["event_date"])
+    P.publish_upsert(spark, G.hourly_kpis(silver), gold_path, GOLD_KEYS, partition_by=["event_date"])
     return 0
 
 
 def quality(spark: SparkSession, silver_path: str, gold_path: str, as_of: str | None = None) -> int:
     """All silver rules in one scan plus the gold checks; exit 1 when a 'fail' rule fails."""
     silver = spark.read.parquet(silver_path)
-    gold = T.read_table(spark, gold_path, "event_date date, event_hour int, city_zone string, ride_count long")
+    if P.pointer(spark, gold_path) is not None:
+        gold = P.read_published(spark, gold_path)
+    else:
+        gold = spark.createDataFrame([], "event_date date, event_hour int, city_zone string, ride_count long")
     as_of = as_of or spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
     rows = Q.dq_checks(silver, gold, as_of).collect()  # five rule rows
     for r in rows:
@@ -67,10 +73,14 @@ def quality(spark: SparkSession, silver_path: str, gold_path: str, as_of: str |
 
 
 def dashboard(spark: SparkSession, silver_path: str, metrics_path: str) -> int:
-    """Append this run's metric rows; readers take the newest row per key (``metric_table``)."""
-    rows = M.metric_rows(spark.read.parquet(silver_path))
-    rows.withColumn("written_date", F.to_date("written_at")) \
-        .write.mode("append").partitionBy("written_date").parquet(metrics_path)
+    """Write this run's metric rows to the metric store and drop what has expired (``operators/metric_store.py``); readers
+    take the newest row alive per key (``read_metrics``)."""
+    rows = materialize(M.metric_rows(spark.read.parquet(silver_path)))
+    run = uuid.uuid4().hex
+    MS.write_metrics(rows, metrics_path, f"dashboard-{run}", 0)
+    newest = rows.agg(F.max("written_at").cast("string")).first()[0]
+    if newest is not None:
+        MS.compact(spark, metrics_path, newest, run)
     return 0
 
 
@@ -91,12 +101,13 @@ def retrain(spark: SparkSession, silver_path: str, runs_path: str, models_path:
 
 
 def load_history(spark: SparkSession, trips_path: str, history_path: str) -> int:
-    """Historical trips -> silver columns, only when the table is absent or empty. Trips get their row number as id."""
+    """Historical trips -> silver columns, only when the table is absent or empty. A trip's id is its file's name and its
+    place in it, so that it is the same after another load, whatever the split of the files."""
     if T.table_exists(spark, history_path) and spark.read.parquet(history_path).limit(1).count():
         print("history is loaded already")
         return 0
-    trips = spark.read.parquet(trips_path).withColumn("trip_row_id", F.monotonically_increasing_id())
-    T.write_table(H.historical_silver(trips), history_path, "append")
+    trips = spark.read.parquet(trips_path)
+    T.write_table(H.historical_silver(H.with_row_ids(trips)), history_path, "append")
     return 0
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import columns as C
 from zonecast.functions import constants as K
+from zonecast.operators.quantiles import exact_quantiles
 from zonecast.session import materialize, with_scalars
 
 UNKNOWN = "unknown"
@@ -69,44 +70,28 @@ def feature_correlation(frame: DataFrame, places: int = 6) -> DataFrame:
 
 
 def surge_histogram(frame: DataFrame, bins: int = 30, col: str = K.TARGET) -> DataFrame:
-    """Equal-width bins between min and max (last bin closed), all bins listed."""
-    h = C.to_hundredths(col)
+    """Equal-width bins of the raw values between min and max (last bin closed), all bins listed."""
+    x = F.col(col).cast("double")
     # one pass for the bounds; the single row is materialised because two branches read it
-    stats = materialize(frame.agg(F.min(h).alias("lo"), F.max(h).alias("hi")))
+    stats = materialize(frame.agg(F.min(x).alias("lo"), F.max(x).alias("hi")))
     lo, hi = F.col("_s.lo"), F.col("_s.hi")
     width = hi - lo
-    binned = with_scalars(frame.select(h.alias("h")).filter(F.col("h").isNotNull()), "_s", stats).select(
-        F.when(width > 0, F.least(F.lit(bins - 1), C.idiv((F.col("h") - lo) * bins, width)))
+    binned = with_scalars(frame.select(x.alias("x")).filter(F.col("x").isNotNull()), "_s", stats).select(
+        F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("x") - lo) * F.lit(float(bins)) / F.nullif(width, F.lit(0.0))).cast("int")))
         .otherwise(F.lit(0)).alias("bin"))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     # the bin list is the operator's own 0..bins-1, shown even when a bin is empty
     all_bins = with_scalars(frame.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")), "_s", stats)
     return (all_bins.join(counts, "bin", "left").select(
-        "bin", ((lo * bins + F.col("bin") * width) / F.lit(bins * 100.0)).alias("bin_start"),
-        F.coalesce(F.col("count"), F.lit(0)).alias("count")))
+        "bin", (lo + F.col("bin") * width / F.lit(float(bins))).alias("bin_start"), F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
 def describe(frame: DataFrame, col: str = K.TARGET) -> DataFrame:
-    """Count, mean, sample sd, min, quartiles (linear interpolation), max.
-
-    Sums run over integer hundredths; the exact percentile keeps one counter per
-    distinct value, and a 2-decimal value in a bounded band has few distinct values.
-    """
-    h = C.to_hundredths(col)
-    s = frame.agg(
-        F.count(h).alias("n"), F.sum(h).alias("sx"), F.sum(h * h).alias("sx2"),
-        F.min(h).alias("mn"), F.max(h).alias("mx"),
-        F.percentile(h, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    n = F.col("n").cast("decimal(38,0)")
-    var_num = n * F.col("sx2").cast("decimal(38,0)") - F.col("sx").cast("decimal(38,0)") * F.col("sx")
-    return s.select(
-        "n",
-        (F.try_divide(F.col("sx"), F.col("n")) / F.lit(100.0)).alias("mean"),
-        F.when(F.col("n") > 1, F.sqrt(var_num.cast("double") / (F.col("n") * (F.col("n") - 1)).cast("double"))
-               / F.lit(100.0)).alias("std"),
-        (F.col("mn") / F.lit(100.0)).alias("min"),
-        (F.col("q")[0] / F.lit(100.0)).alias("p25"),
-        (F.col("q")[1] / F.lit(100.0)).alias("p50"),
-        (F.col("q")[2] / F.lit(100.0)).alias("p75"),
-        (F.col("mx") / F.lit(100.0)).alias("max"),
-    )
+    """Count, mean, sample sd (nine places), min, quartiles (linear interpolation), max of the raw values. The quartiles are selected
+    exactly in a few passes (``quantiles``), so memory does not grow with the number of distinct values."""
+    x = F.col(col).cast("double")
+    values = frame.select(x.alias("x")).where("x is not null and not isnan(x)")
+    quartiles = exact_quantiles(values, "x", [0.25, 0.5, 0.75])
+    return values.agg(
+        F.count("x").alias("n"), F.round(F.avg("x"), 9).alias("mean"), F.round(F.stddev_samp("x"), 9).alias("std"), F.min("x").alias("min"),
+        *[F.lit(q).cast("double").alias(name) for name, q in zip(("p25", "p50", "p75"), quartiles, strict=True)], F.max("x").alias("max"))

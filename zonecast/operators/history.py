@@ -33,6 +33,11 @@ def minmax_scale(df: DataFrame, col: str, out: str, lo: float = K.SURGE_MIN, hi:
         .drop("_mm")
 
 
+def with_row_ids(trips: DataFrame) -> DataFrame:
+    """``trips`` as read from files, with ``trip_row_id``: file name and the row's place in the file, the same in every load."""
+    return trips.select("*", F.concat(F.col("_metadata.file_name"), F.lit(":"), F.col("_metadata.row_index").cast("string")).alias("trip_row_id"))
+
+
 def historical_silver(trips: DataFrame, nan_text: bool = False, with_id: bool = True) -> DataFrame:
     """TLC trip columns -> silver ride columns."""
     pickup = F.col("tpep_pickup_datetime")

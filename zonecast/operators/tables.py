@@ -15,7 +15,7 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -170,6 +170,34 @@ def as_of_read(versions: DataFrame, as_of: str, keys: list[str],
     return newest_per_key(visible, keys, list(order))
 
 
+def horizon_path(path: str) -> str:
+    return f"{path.rstrip('/')}.__horizon"
+
+
+def retention_horizon(spark: SparkSession, path: str):
+    """Newest horizon that retention has set for the version table at ``path``; None if it never ran."""
+    mark = horizon_path(path)
+    if not table_exists(spark, mark):
+        return None
+    return spark.read.schema("horizon timestamp").parquet(mark).agg(F.max("horizon")).first()[0]
+
+
+def _mark_horizon(spark: SparkSession, path: str, horizon: Column) -> None:
+    spark.range(1).select(horizon.alias("horizon")).write.mode("append").parquet(horizon_path(path))
+
+
+def read_as_of(spark: SparkSession, path: str, as_of: str, keys: list[str], order: list[str] = ("commit_version",)) -> DataFrame:
+    """S10 on storage: the version table at ``path`` as of ``as_of``. A time before the retention horizon raises ValueError, as the rows that
+    were the newest then may be gone."""
+    at = F.lit(as_of).cast("timestamp")
+    mark = horizon_path(path)
+    if table_exists(spark, mark):
+        seen = spark.read.schema("horizon timestamp").parquet(mark).agg(F.max("horizon").alias("h"), (F.max("horizon") > at).alias("past")).first()
+        if seen["past"]:
+            raise ValueError(f"{path} cannot be read as of {as_of}: history before {seen['h']} was removed")
+    return as_of_read(spark.read.parquet(path), as_of, keys, order)
+
+
 def version_history(versions: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
     """The n newest versions with time, operation (as its writer named it) and row metrics."""
     return (versions.groupBy("commit_version").agg(
@@ -194,11 +222,13 @@ def retention_filter(versions: DataFrame, as_of: str, hours: int, keys: list[str
 def apply_retention(spark: SparkSession, path: str, as_of: str, hours: int, keys: list[str],
                     order: list[str] = ("commit_version",)) -> None:
     """S12 on storage, for a table partitioned by commit_version: commits inside the horizon are not touched; of the older ones
-    only the surviving rows are staged and put back, in their own partitions, and commits without survivors are removed."""
+    only the surviving rows are staged and put back, in their own partitions, and commits without survivors are removed.
+    The horizon is kept beside the table (``horizon_path``), and ``read_as_of`` fails before it."""
     schema = spark.read.parquet(path).schema
     versions = spark.read.schema(schema).parquet(path)
     horizon = F.lit(as_of).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
     old = versions.filter(F.col("committed_at") < horizon)
+    _mark_horizon(spark, path, horizon)  # first: a read before the horizon fails from now on, rather than see a part of its rows
     before = {r["commit_version"] for r in old.select("commit_version").distinct().collect()}  # one value per commit
     staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
     try:

@@ -12,7 +12,7 @@ from zonecast.operators import quality as Q
 from zonecast.operators import silver as S
 from zonecast.operators import tables as T
 from zonecast.plans.catalog import register
-from zonecast.plans.oracle import add_view, cents_sql, count_if_sql, mean2_sql, with_views
+from zonecast.plans.oracle import add_view, cents_sql, count_if_sql, mean2_sql, units_sql, with_views
 from zonecast.session import work_root
 from zonecast.sources import fixtures as X
 
@@ -40,7 +40,7 @@ add_view("metric_tbl", ["rides", "gold"], f"""
       FROM (SELECT max(event_ts) AS last_ts FROM rides) n
       UNION ALL
       SELECT 'dashboard:avg_surge', n.last_ts, n.last_ts + INTERVAL 900 SECOND, NULL, NULL, NULL,
-             (SELECT CAST(sum({cents_sql('coalesce(surge_multiplier, 1.0::DOUBLE)')}) AS DOUBLE) / count(*) / 100.0
+             (SELECT CAST(sum({units_sql('coalesce(surge_multiplier, 1.0::DOUBLE)')}) AS DOUBLE) / count(*) / 10000.0
               FROM rides), NULL, NULL, NULL
       FROM (SELECT max(event_ts) AS last_ts FROM rides) n
       UNION ALL
@@ -98,11 +98,12 @@ def total_revenue(spark, sf):
     return M.total_revenue(_silver_gold(spark, sf)[1])
 
 
-@register("avg_surge", with_views("silver_dirty") + f"""
-SELECT CAST(sum({cents_sql('coalesce(surge_multiplier, 1.0::DOUBLE)')}) AS DOUBLE) / count(*) / 100.0 AS surge
-FROM silver_dirty""", "A5")
+@register("avg_surge", with_views("silver_fine") + f"""
+SELECT CAST(sum(CAST(coalesce(surge_multiplier, 1.0::DOUBLE) AS DECIMAL(20,4))) AS DOUBLE) / count(*) AS surge
+FROM silver_fine""", "A5")
 def avg_surge(spark, sf):
-    return M.avg_surge(S.silver_rides(X.rides_dirty(spark, sf)))
+    """Surges of four places: their mean is that of the values as they are."""
+    return M.avg_surge(S.silver_rides(X.rides_fine(spark, sf)))
 
 
 @register("rides_by_zone", with_views("silver_dirty") + """

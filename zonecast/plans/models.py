@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions import columns as C
@@ -17,7 +20,7 @@ from zonecast.operators import splits as SP
 from zonecast.operators import tables as T
 from zonecast.plans import history  # noqa: F401  (adds the view of historical rides)
 from zonecast.plans.catalog import register
-from zonecast.plans.oracle import RIDE_COLS, add_view, cents_sql, parse_sql, surge_rule_sql, with_views
+from zonecast.plans.oracle import RIDE_COLS, add_view, parse_sql, surge_rule_sql, with_views
 from zonecast.session import checkpoint_root, materialize, work_dir
 from zonecast.sources import events as EV
 from zonecast.sources import fixtures as X
@@ -70,32 +73,32 @@ def feature_correlation(spark, sf):
     return FE.feature_correlation(X.rides(spark, sf))
 
 
-_H = cents_sql("surge_multiplier")
 
 
-@register("surge_histogram", with_views("rides") + f"""
-SELECT b.bin, (s.lo * 30 + b.bin * (s.hi - s.lo)) / 3000.0 AS bin_start, coalesce(c.cnt, 0) AS count
-FROM (SELECT min({_H}) AS lo, max({_H}) AS hi FROM rides) s
-CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(30)) b
-LEFT JOIN (SELECT CASE WHEN s2.hi > s2.lo THEN least(29, ({_H} - s2.lo) * 30 // (s2.hi - s2.lo)) ELSE 0 END AS bin,
-                  count(*) AS cnt
-           FROM rides, (SELECT min({_H}) AS lo, max({_H}) AS hi FROM rides) s2
-           WHERE surge_multiplier IS NOT NULL GROUP BY 1) c ON c.bin = b.bin""", "A23")
+@register("surge_histogram", with_views("rides_fine") + """
+, s AS (SELECT min(surge_multiplier) AS lo, max(surge_multiplier) AS hi FROM rides_fine)
+SELECT b.bin, s.lo + b.bin * (s.hi - s.lo) / 30.0::DOUBLE AS bin_start, coalesce(c.cnt, 0) AS count
+FROM s CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(30)) b
+LEFT JOIN (SELECT least(29, CAST(floor((surge_multiplier - s.lo) * 30.0::DOUBLE / (s.hi - s.lo)) AS INTEGER)) AS bin, count(*) AS cnt
+           FROM rides_fine, s WHERE surge_multiplier IS NOT NULL GROUP BY 1) c ON c.bin = b.bin""", "A23")
 def surge_histogram(spark, sf):
-    return FE.surge_histogram(X.rides(spark, sf))
-
-
-@register("surge_describe", with_views("rides") + f"""
-SELECT n, CAST(sx AS DOUBLE) / n / 100.0 AS mean,
-       CASE WHEN n > 1 THEN sqrt(CAST(CAST(n AS HUGEINT) * sx2 - CAST(sx AS HUGEINT) * sx AS DOUBLE)
-                                 / CAST(n * (n - 1) AS DOUBLE)) / 100.0 END AS std,
-       mn / 100.0 AS min, q[1] / 100.0 AS p25, q[2] / 100.0 AS p50, q[3] / 100.0 AS p75, mx / 100.0 AS max
-FROM (SELECT count({_H}) AS n, CAST(sum({_H}) AS BIGINT) AS sx, CAST(sum({_H} * {_H}) AS BIGINT) AS sx2,
-             min({_H}) AS mn, max({_H}) AS mx,
-             quantile_cont({_H}, [0.25, 0.5, 0.75]) AS q
-      FROM rides)""", "A24")
+    return FE.surge_histogram(X.rides_fine(spark, sf))
+
+
+_SPREAD = "(fare_base_inr * surge_multiplier / 7.0::DOUBLE)"
+
+
+@register("surge_describe", with_views("rides_fine") + f"""
+SELECT measure, count(x) AS n, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std, min(x) AS min,
+       quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.5) AS p50, quantile_cont(x, 0.75) AS p75, max(x) AS max
+FROM (SELECT 'surge_multiplier' AS measure, surge_multiplier AS x FROM rides_fine
+      UNION ALL SELECT 'fare_share', {_SPREAD} FROM rides_fine) GROUP BY measure""", "A24")
 def surge_describe(spark, sf):
-    return FE.describe(X.rides(spark, sf))
+    """The surge, and a measure whose values are nearly all different."""
+    rides = X.rides_fine(spark, sf)
+    share = rides.withColumn("share", F.col("fare_base_inr") * F.col("surge_multiplier") / F.lit(7.0))
+    return (FE.describe(rides).withColumn("measure", F.lit("surge_multiplier"))
+            .unionByName(FE.describe(share, "share").withColumn("measure", F.lit("fare_share"))))
 
 
 # ---------------------------------------------------------------- metrics, residuals, promotion
@@ -262,31 +265,64 @@ def feature_importance(spark, sf):
                         F.round(found.agg(F.sum("importance")).scalar(), 6).alias("total"))
 
 
-def train_history(feats, names=(MO.HIST_MODEL, MO.HIST_MODEL + "_random_split")):
-    """Time-based 80/20 split (registered model) beside a hash split (comparison only), from one stored frame.
-    Returns [(model, metrics, test rows)]."""
-    timed = materialize(O.chronological_split(feats, "event_timestamp", "ride_id", 0.8))
-    runs = []
-    for name, frame in ((names[0], timed), (names[1], SP.hash_split(timed.drop("split"), F.col("ride_id"), 0.8))):
-        test = frame.filter(F.col("split") == "test")
-        runs.append((*MO.train(frame.filter(F.col("split") == "train"), test, name), test))
-    return runs
-
-
-@register("train_historical", with_views("hist") + f"""
-, h AS (SELECT count(*) AS n FROM hist WHERE surge_multiplier IS NOT NULL)
-SELECT '{MO.HIST_MODEL}' AS model, n - floor(n * 0.8::DOUBLE)::BIGINT AS n, 'time' AS split, true AS ordered FROM h""", "M3 W4 W5")
+def train_history(feats):
+    """Two models from one stored frame, fitted side by side: on the earlier 80 % of trips (registered model) and on a hash split of 80 %
+    (comparison). Returns (time model, random model, frame with ``time_split`` and ``split``)."""
+    timed = O.chronological_split(feats, "event_timestamp", "ride_id", 0.8).withColumnRenamed("split", "time_split")
+    frame = materialize(SP.hash_split(timed, F.col("ride_id"), 0.8))
+    with ThreadPoolExecutor(2) as pool:
+        fits = [pool.submit(MO.build_pipeline().fit, frame.where(F.col(side) == "train")) for side in ("time_split", "split")]
+        models = [f.result() for f in fits]
+    return (*models, frame)
+
+
+def leakage_report(time_model, random_model, frame, names):
+    """M3: each model on its own test rows, and the random model on the later rows that the time model is judged by. ``n_seen`` of
+    those it was trained on: what it gains there is the leak that a random split hides."""
+    later, held = frame.where(F.col("time_split") == "test"), frame.where(F.col("split") == "test")
+    seen = later.agg(F.count_if(F.col("split") == "train")).scalar()
+    rows = []
+    for model, name, rows_of, test, n_seen in ((time_model, names[0], "later", later, F.lit(0)), (random_model, names[1], "random", held, F.lit(0)),
+                                                (random_model, names[1], "later", later, seen)):
+        spread = test.agg(F.avg(F.abs(F.col(K.TARGET) - test.agg(F.avg(K.TARGET)).scalar())))
+        rows.append(MO.evaluate(test, model, name).withColumns({"test_rows": F.lit(rows_of), "n_seen": n_seen.cast("bigint"),
+                                                               "mean_predictor_mae": spread.scalar()}))
+    return reduce(DataFrame.unionByName, rows)
+
+
+_HIST_SPLIT = """
+, hist_rows AS (SELECT 'nyc-' || l_orderkey || '-' || l_linenumber AS ride_id, l_shipdate + (l_partkey % 24) * INTERVAL 1 HOUR AS event_timestamp
+                FROM lineitem WHERE l_shipdate IS NOT NULL AND l_extendedprice / 1000 + 0.01::DOUBLE <> 0 AND l_discount IS NOT NULL),
+  sides AS (SELECT ride_id, row_number() OVER (ORDER BY event_timestamp, ride_id) > floor(count(*) OVER () * 0.8::DOUBLE) AS later,
+                   NOT (""" + _SPLIT_SQL.format(id="ride_id") + """) AS held FROM hist_rows)"""
+
+
+@register("train_historical", "WITH one AS (SELECT 1)" + _HIST_SPLIT + f"""
+SELECT '{MO.HIST_MODEL}' AS model, 'later' AS test_rows, (SELECT count(*) FROM sides WHERE later) AS n, 0::BIGINT AS n_seen,
+       true AS near_mean, false AS gains
+UNION ALL
+SELECT '{MO.HIST_MODEL}_random_split', 'random', (SELECT count(*) FROM sides WHERE held), 0, true, false
+UNION ALL
+SELECT '{MO.HIST_MODEL}_random_split', 'later', (SELECT count(*) FROM sides WHERE later), (SELECT count(*) FROM sides WHERE later AND NOT held), true, true
+""", "M3 W4 W5")
 def train_historical(spark, sf):
-    hist = H.historical_silver(X.trips(spark, sf, with_row_id=True), with_id=True)
-    feats = FE.feature_frame(hist, keep=("ride_id", "event_timestamp")).filter(F.col(K.TARGET).isNotNull())
-    (model, metrics, _), (other, compared, _) = train_history(feats)
+    """The fixture's tips follow no feature, so no honest model can do better than their mean (``near_mean``: not 5 % worse either). On the
+    later rows the random model does better than the time model (``gains``), as it has seen most of them."""
+    trips = X.trips(spark, sf, id_columns=("l_orderkey", "l_linenumber"))
+    feats = FE.feature_frame(H.historical_silver(trips, with_id=True), keep=("ride_id", "event_timestamp")).filter(F.col(K.TARGET).isNotNull())
+    names = (MO.HIST_MODEL, MO.HIST_MODEL + "_random_split")
+    model, other, frame = train_history(feats)
+    report = materialize(leakage_report(model, other, frame, names))
     at = _folders(spark, sf)
-    metrics = materialize(metrics)
-    MO.log_run(spark, model, metrics, at["runs"], at["models"])
-    # beside the candidates, so that it is never promoted; the result has the time split alone, as the SQL does
-    MO.log_run(spark, other, materialize(compared), MO.comparison_path(at["runs"]), at["models"])
+    logged = {rows_of: report.where(F.col("test_rows") == rows_of).select("model", "n", "mae", "rmse", "r2", "start_time") for rows_of in ("later", "random")}
+    MO.log_run(spark, model, logged["later"].where(F.col("model") == names[0]), at["runs"], at["models"])
+    # beside the candidates, so that it is never promoted
+    MO.log_run(spark, other, logged["random"], MO.comparison_path(at["runs"]), at["models"])
     MO.promote_run(spark, at["runs"], at["promoted"])
-    return metrics.select("model", "n", F.lit("time").alias("split"), (F.col("mae") <= F.col("rmse")).alias("ordered"))
+    honest = report.where((F.col("test_rows") == "later") & (F.col("model") == names[0])).select("mae").scalar()
+    gains = (F.col("test_rows") == "later") & (F.col("model") == names[1]) & (F.col("mae") < honest)
+    return report.select("model", "test_rows", "n", "n_seen", (F.col("mae") < 1.05 * F.col("mean_predictor_mae")).alias("near_mean"),
+                         gains.alias("gains"))
 
 
 @register("historical_load", with_views("hist") + "SELECT * FROM hist", "M5 S9 S8")

@@ -152,6 +152,14 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                     WHEN event_id % 59 = 0 THEN 4.0::DOUBLE ELSE surge_multiplier END AS surge_multiplier,
                weather, event_delay_ms, schema_version
         FROM rides_f"""),
+    # surges of four places
+    "rides_fine": (["rides_dirty"], f"""
+        SELECT * REPLACE (CAST({units_sql('surge_multiplier')} + CAST(user_id AS BIGINT) % 97 AS DOUBLE) / 10000.0 AS surge_multiplier)
+        FROM rides_dirty"""),
+    "silver_fine": (["rides_fine"], f"""
+        SELECT *, {_SILVER_RIDE_EXTRA}
+        FROM (SELECT *, {parse_sql('event_timestamp')} AS event_ts
+              FROM ({_dedup_sql('rides_fine', 'ride_id', RIDE_COLS)}))"""),
     "rides": (["rides_raw"], f"""
         SELECT *, {_SILVER_RIDE_EXTRA}
         FROM (SELECT *, {parse_sql('event_timestamp')} AS event_ts FROM rides_raw)"""),

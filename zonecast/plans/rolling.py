@@ -10,19 +10,19 @@ from zonecast.operators import ordered as O
 from zonecast.operators import silver as S
 from zonecast.operators import splits as SP
 from zonecast.plans.catalog import register
-from zonecast.plans.oracle import add_view, cents_sql, half_up_sql, parse_sql, with_views
+from zonecast.plans.oracle import add_view, half_up_sql, parse_sql, units_sql, with_views
 from zonecast.sources import fixtures as X
 
 W = K.LIVE_WINDOW_SECONDS
 
 
-add_view("rides_twice", ["rides_dirty"], f"""
-    SELECT *, {parse_sql('event_timestamp')} AS event_ts FROM (SELECT * FROM rides_dirty UNION ALL SELECT * FROM rides_dirty)""")
+add_view("rides_twice", ["rides_fine"], f"""
+    SELECT *, {parse_sql('event_timestamp')} AS event_ts FROM (SELECT * FROM rides_fine UNION ALL SELECT * FROM rides_fine)""")
 
 
 def rides_twice(spark, sf):
     """Rides with null ids, zones, times and surges, each delivered twice."""
-    r = X.rides_dirty(spark, sf)
+    r = X.rides_fine(spark, sf)
     return S.enrich_rides(r.unionByName(r))
 
 
@@ -38,21 +38,21 @@ def rolling_rides_5m(spark, sf):
 
 def zone_rolling(rides):
     src = rides.select("ride_id", "event_ts", "city_zone",
-                       C.to_hundredths("surge_multiplier").alias("surge_h"),
+                       C.to_units("surge_multiplier").alias("surge_u"),
                        F.col("surge_multiplier").isNotNull().cast("long").alias("surge_n"))
-    out = O.rolling_window(src, "ride_id", "event_ts", W, key_col="city_zone", sum_cols=("surge_h", "surge_n"))
+    out = O.rolling_window(src, "ride_id", "event_ts", W, key_col="city_zone", sum_cols=("surge_u", "surge_n"))
     return out.select(
         "ride_id", "event_ts", "city_zone", F.col("window_count").alias("zone_rides_5m"),
-        C.from_cents(C.half_up_ratio(F.col("window_sum_surge_h"), F.col("window_sum_surge_n")))
+        C.from_cents(C.half_up_ratio(F.col("window_sum_surge_u"), F.col("window_sum_surge_n") * 100))
         .alias("zone_avg_surge_5m"))
 
 
 @register("rolling_zone_5m", with_views("rides_twice") + f"""
 SELECT ride_id, event_ts, city_zone, zone_rides_5m,
-       {half_up_sql('sh', 'sn')} / 100.0 AS zone_avg_surge_5m
+       {half_up_sql('sh', '100 * sn')} / 100.0 AS zone_avg_surge_5m
 FROM (SELECT ride_id, event_ts, city_zone,
              count(*) OVER w AS zone_rides_5m,
-             sum({cents_sql('surge_multiplier')}) OVER w AS sh,
+             sum({units_sql('surge_multiplier')}) OVER w AS sh,
              count(surge_multiplier) OVER w AS sn
       FROM rides_twice WHERE event_ts IS NOT NULL
       WINDOW w AS (PARTITION BY city_zone ORDER BY event_ts

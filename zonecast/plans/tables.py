@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import constants as K
 from zonecast.operators import gold as G
+from zonecast.operators import published as P
 from zonecast.operators import silver as S
 from zonecast.operators import tables as T
 from zonecast.plans.catalog import register
 from zonecast.plans.oracle import (
     add_view, count_if_sql, mean2_sql, money_sum_sql, money_times_sql, parse_sql, with_views,
 )
-from zonecast.session import work_dir
+from zonecast.session import materialize, work_dir
 from zonecast.sources import fixtures as X
 
 AS_OF = "2024-01-03 00:00:00"
@@ -60,6 +61,12 @@ add_view("upsert_src_rides", ["rides_bronze"], f"""
            {money_times_sql('fare_base_inr', 'surge_multiplier')} AS gross_fare_inr
     FROM (SELECT *, {parse_sql('event_timestamp')} AS event_ts FROM rides_bronze)""")
 
+add_view("gold_dirty", ["silver_dirty"], f"""
+    SELECT event_date, event_hour, city_zone, count(ride_id) AS ride_count, {count_if_sql('is_completed')} AS completed_rides,
+           {count_if_sql("status = 'cancelled'")} AS cancelled_rides, {money_sum_sql('gross_fare_inr')} AS gross_revenue_inr,
+           {mean2_sql('surge_multiplier')} AS avg_surge_multiplier
+    FROM silver_dirty GROUP BY event_date, event_hour, city_zone""")
+
 _KPI = f"""count(ride_id) AS ride_count, {count_if_sql('is_completed')} AS completed_rides,
            {count_if_sql("status = 'cancelled'")} AS cancelled_rides,
            {money_sum_sql('gross_fare_inr')} AS gross_revenue_inr,
@@ -87,21 +94,28 @@ def upsert(spark, sf):
     return T.merge_upsert(target, source, UPSERT_KEYS)
 
 
-@register("upsert_table", with_views("rides_dirty") + """
-, t AS (SELECT coalesce(city_zone, 'none') AS k, city_zone AS part, count(*) AS n, 'old' AS state FROM rides_dirty GROUP BY ALL),
-  s AS (SELECT k, part, n + 1 AS n, 'new' AS state FROM t WHERE part IS NULL OR part IN ('cbd', 'mall'))
-SELECT * FROM t WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT * FROM s
-UNION ALL SELECT '007', '007', 1, 'new' UNION ALL SELECT 'unzoned', NULL, 1, 'new'""", "J1")
+_TOUCHED = "(city_zone IS NULL OR city_zone IN ('cbd', 'mall'))"
+
+
+@register("upsert_table", with_views("gold_dirty") + f"""
+SELECT * FROM gold_dirty WHERE NOT coalesce({_TOUCHED} AND event_date >= DATE '2024-01-16', false)
+UNION ALL
+SELECT event_date, event_hour, city_zone, ride_count + 1, completed_rides, cancelled_rides, gross_revenue_inr, avg_surge_multiplier
+FROM gold_dirty WHERE {_TOUCHED} AND event_date >= DATE '2024-01-16'
+UNION ALL
+SELECT event_date, event_hour, '007', ride_count, completed_rides, cancelled_rides, gross_revenue_inr, avg_surge_multiplier
+FROM gold_dirty WHERE city_zone = 'cbd'""", "J1")
 def upsert_table(spark, sf):
-    """The merge through storage: a null partition, a partition value that looks like a number, new and changed keys."""
-    path = work_dir(spark, "upsert") + "/zones"
-    zones = X.rides_dirty(spark, sf).groupBy(F.coalesce("city_zone", F.lit("none")).alias("k"), F.col("city_zone").alias("part")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("state", F.lit("old"))
-    T.upsert_table(spark, zones, path, ["k", "part"], ["part"])
-    new = spark.createDataFrame([("007", "007", 1, "new"), ("unzoned", None, 1, "new")], zones.schema)
-    changed = zones.where("part is null or part in ('cbd', 'mall')").withColumns({"n": F.col("n") + 1, "state": F.lit("new")})
-    T.upsert_table(spark, changed.unionByName(new), path, ["k", "part"], ["part"])
-    return spark.read.schema(zones.schema).parquet(path)
+    """The merge through storage on the full hourly KPIs of rides with null zones and times, a partition per zone: changed rows in some
+    partitions (the null partition among them), a new partition whose name looks like a number, and partitions that are not touched."""
+    path = work_dir(spark, "upsert") + "/gold"
+    gold = materialize(G.hourly_kpis(S.silver_rides(X.rides_dirty(spark, sf))))
+    P.publish_upsert(spark, gold, path, UPSERT_KEYS, ["city_zone"])
+    changed = gold.where((F.col("city_zone").isNull() | F.col("city_zone").isin("cbd", "mall")) &
+                         (F.col("event_date") >= F.lit("2024-01-16").cast("date"))).withColumn("ride_count", F.col("ride_count") + 1)
+    new = gold.where(F.col("city_zone") == "cbd").withColumn("city_zone", F.lit("007"))
+    P.publish_upsert(spark, changed.unionByName(new), path, UPSERT_KEYS, ["city_zone"])
+    return P.read_published(spark, path)
 
 
 # ---------------------------------------------------------------- version table
@@ -116,9 +130,11 @@ def version_table(spark, sf) -> str:
     return path
 
 
+VERSION_COLUMNS = ["o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "commit_version", "committed_at", "operation"]
+
+
 def read_versions(spark, path):
-    return spark.read.parquet(path).select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "commit_version", "committed_at",
-                                           "operation")
+    return spark.read.parquet(path).select(*VERSION_COLUMNS)
 
 
 VERSIONED = "(SELECT *, CASE commit_version WHEN 0 THEN 'CREATE' ELSE 'APPEND' END AS operation FROM versions)"
@@ -128,7 +144,7 @@ VERSIONED = "(SELECT *, CASE commit_version WHEN 0 THEN 'CREATE' ELSE 'APPEND' E
 SELECT * FROM {VERSIONED} WHERE committed_at <= TIMESTAMP '{AS_OF}'
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY commit_version DESC, o_orderkey DESC) = 1""", "S10")
 def as_of_read(spark, sf):
-    return T.as_of_read(read_versions(spark, version_table(spark, sf)), AS_OF, VERSION_KEYS, VERSION_ORDER)
+    return T.read_as_of(spark, version_table(spark, sf), AS_OF, VERSION_KEYS, VERSION_ORDER).select(*VERSION_COLUMNS)
 
 
 @register("version_history", with_views("versions") + """
@@ -150,3 +166,28 @@ def retention_filter(spark, sf):
     path = version_table(spark, sf)
     T.apply_retention(spark, path, RETENTION_AS_OF, K.RETENTION_HOURS, VERSION_KEYS, VERSION_ORDER)
     return read_versions(spark, path)
+
+
+_AT_HORIZON = f"TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL {K.RETENTION_HOURS} HOUR"
+
+
+@register("retained_as_of", with_views("versions") + f"""
+SELECT 'horizon' AS read_at, * FROM {VERSIONED} WHERE committed_at <= {_AT_HORIZON}
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY commit_version DESC, o_orderkey DESC) = 1
+UNION ALL
+SELECT 'later', * FROM {VERSIONED} WHERE committed_at <= TIMESTAMP '2024-01-04 12:00:00'
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY commit_version DESC, o_orderkey DESC) = 1""", "S10 S12")
+def retained_as_of(spark, sf):
+    """As-of reads behind retention, at the horizon and later: what they were before it. An earlier read must fail."""
+    path = version_table(spark, sf)
+    T.apply_retention(spark, path, RETENTION_AS_OF, K.RETENTION_HOURS, VERSION_KEYS, VERSION_ORDER)
+    try:
+        T.read_as_of(spark, path, "2024-01-01 12:00:00", VERSION_KEYS, VERSION_ORDER)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("a read before the horizon did not fail")
+    horizon = str(T.retention_horizon(spark, path))
+    reads = [T.read_as_of(spark, path, at, VERSION_KEYS, VERSION_ORDER).select(F.lit(name).alias("read_at"), *VERSION_COLUMNS)
+             for name, at in (("horizon", horizon), ("later", "2024-01-04 12:00:00"))]
+    return reads[0].unionByName(reads[1])

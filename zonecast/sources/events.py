@@ -37,12 +37,18 @@ def decode_rejects(df: DataFrame, schema: StructType, value_col: str = "value")
     return _decoded(df, schema, value_col).filter(~_valid(schema)).select("json_str")
 
 
-def read_event_stream(spark: SparkSession, schema: StructType, *, kafka_servers: str | None = None,
-                      topic: str | None = None, path: str | None = None, max_files_per_trigger: int | None = None,
-                      starting_offsets: str = "latest", min_partitions: int | None = None) -> DataFrame:
-    """Streaming source. With ``kafka_servers`` it subscribes to ``topic`` (needs the
-    Kafka connector on the classpath; ``failOnDataLoss`` off); otherwise it tails a folder
-    of JSON-lines files. Either way the result is decoded with ``decode_events``."""
+def decode_both(df: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
+    """One parse for both sides: the typed columns, the raw text (``json_str``) and whether the document was decoded (``decoded``)."""
+    taken = {f.name for f in schema.fields}
+    if taken & {"json_str", "decoded"}:
+        raise ValueError("an event schema cannot have columns json_str or decoded")
+    return _decoded(df, schema, value_col).withColumn("decoded", _valid(schema))
+
+
+def read_raw_stream(spark: SparkSession, *, kafka_servers: str | None = None, topic: str | None = None, path: str | None = None,
+                    max_files_per_trigger: int | None = None, starting_offsets: str = "latest", min_partitions: int | None = None) -> DataFrame:
+    """Streaming source with a ``value`` column. With ``kafka_servers`` it subscribes to ``topic`` (needs the
+    Kafka connector on the classpath; ``failOnDataLoss`` off); otherwise it tails a folder of JSON-lines files."""
     if kafka_servers:
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", kafka_servers).option("subscribe", topic)
@@ -50,10 +56,13 @@ def read_event_stream(spark: SparkSession, schema: StructType, *, kafka_servers:
         if min_partitions:
             # split large topic partitions into more Spark tasks than the topic has partitions
             reader = reader.option("minPartitions", min_partitions)
-        raw = reader.load()
-    else:
-        reader = spark.readStream.format("text")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        raw = reader.load(path)
-    return decode_events(raw, schema, "value")
+        return reader.load()
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
+def read_event_stream(spark: SparkSession, schema: StructType, **source) -> DataFrame:
+    """The streaming source (``read_raw_stream``), decoded with ``decode_events``."""
+    return decode_events(read_raw_stream(spark, **source), schema, "value")

@@ -192,17 +192,26 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_rides(rides_raw(spark, sf_dir))
 
 
-def trips(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -> DataFrame:
+def rides_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rides_dirty`` with surges of four places."""
+    units = C.to_units("surge_multiplier") + F.pmod(F.col("user_id").cast("long"), F.lit(97))
+    return rides_dirty(spark, sf_dir).withColumn("surge_multiplier", units.cast("double") / F.lit(10000.0))
+
+
+def trips(spark: SparkSession, sf_dir: str, with_row_id: bool = False, id_columns: tuple[str, ...] = ()) -> DataFrame:
     """Raw historical taxi trips (TLC-like column names) derived from ``lineitem``.
 
     ``trip_row_id`` (file name + row index inside the file, from the scan's hidden
-    metadata) is a stable per-row id that survives repartitioning and retries.
+    metadata) is a stable per-row id that survives repartitioning and retries; with ``id_columns``
+    it is made of these columns instead, which SQL can name as well.
     """
     li = table(spark, sf_dir, "lineitem")
     extra = []
     if with_row_id:
         extra = [F.concat(F.col("_metadata.file_name"), F.lit(":"),
                           F.col("_metadata.row_index").cast("string")).alias("trip_row_id")]
+    if id_columns:
+        extra = [F.concat_ws("-", *[F.col(c).cast("string") for c in id_columns]).alias("trip_row_id")]
     return li.select(
         (F.col("l_shipdate") + F.make_dt_interval(hours=F.pmod(F.col("l_partkey"), F.lit(24)).cast("int")))
         .cast("timestamp").alias("tpep_pickup_datetime"),
