@@ -136,7 +136,7 @@ def test_similarity_matrix_is_exact(words):
 # ---- operator 2 -------------------------------------------------------------------------------------------
 
 def brute_lines(rows):
-    lines = [((i, n), shingles(line, 5, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", False), line)
+    lines = [((i, n), shingles(line, 5, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", True), line)
              for i, text in rows if i is not None and text is not None for n, line in enumerate(text.split("\n"))]
     lines.sort(key=lambda x: x[0])
     gone = set()
@@ -239,6 +239,21 @@ def test_tables_follow_the_miss_bound(n):
     assert n * op6_embeddings.collision(2 ** 0.5) ** k <= max(1, n / 300)
 
 
+def test_many_cells_and_repeated_lines(docs, words, monkeypatch):
+    """Tokens dealt to many small cells, lines that repeat often: the same lines go."""
+    monkeypatch.setattr(op2_lines, "CELL_PLACES", 4)
+    lines = [words.text(9) for _ in range(12)]
+    rows = [(i, "\n".join([lines[i % 12], edited(words, lines[(i + 5) % 12], 40), words.text(7)])) for i in range(40)]
+    want, gone = brute_lines(rows)
+    assert {r.doc_id: r.text for r in op2_lines.dedup_lines(docs(rows)).collect()} == want
+    assert gone
+
+
+def test_line_dedup_without_short_lines(docs, words):
+    rows = [(1, "Les.\nLes."), (2, "Les.")]
+    assert {r.doc_id: r.text for r in op2_lines.dedup_lines(docs(rows), short=False).collect()} == dict(rows)
+
+
 def test_line_dedup_with_short_lines_against_brute_force(docs, words):
     long = [words.text(12) for _ in range(6)]
     rows = [(1, f"Les.\n{long[0]}\nAnd ornd.\n\none two three four"), (2, f"les\n{long[1]}\nand  ornd\n***\n***\nfour three two one"),
@@ -256,7 +271,7 @@ def test_line_dedup_with_short_lines_against_brute_force(docs, words):
                 kept.append(line)
             seen |= {s} if s else set()
         want[i] = "\n".join(kept)
-    out = op2_lines.dedup_lines(docs(rows), short=True).collect()
+    out = op2_lines.dedup_lines(docs(rows)).collect()
     assert {r.doc_id: r.text for r in out if r.doc_id is not None and r.text is not None} == want
     assert want[2] == f"{long[1]}\n***\n***\nfour three two one" and want[6] == ""
     assert sorted(r.text for r in out if r.doc_id is None) == ["Les."]

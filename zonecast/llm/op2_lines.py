@@ -2,15 +2,15 @@
 
 A line's tokens are its distinct five-word shingles (ASCII letters lower-cased, words as runs of digits, letters and
 non-ASCII characters). A line is removed if an earlier line, by (doc_id, text hash, line number), has Jaccard
-similarity of at least 80 % with it. Lines of fewer than five words have no token, match nothing and stay; with ``short``
-their whole word sequence is their one token, so that repeats of them go too. Lines without words always stay.
+similarity of at least 80 % with it. The word sequence of a line of fewer than five words is its one token, so that repeats of it go too
+(without ``short`` such lines have no token, match nothing and stay). Lines without words always stay.
 
 1. Tokens are counted into 65,536 hash buckets over all documents; (bucket count, token) is the global order, rare
    tokens first. The table is all that is broadcast, 64 KB at any corpus size.
 2. Each line keeps a prefix of its ordered tokens: two lines that are similar enough share a token of the larger
    one's prefix (n - ceil(0.8 n) + 1) and the smaller one's shorter prefix (n - ceil(8/9 n) + 1). Equal lines are one
-   class, represented by its first line. Prefix tokens are dealt out by token and sorted; those of a single class are
-   dropped in one streaming look at neighbours, which leaves the few that repeat.
+   class, represented by its first line. The classes' prefix tokens are dealt to cells of bounded size, many to a row; those of a
+   single class are dropped there, which leaves the few that repeat.
 3. Classes that share a token are compared with the group's earliest class first; only lines still unmatched are joined
    with all earlier members. Both joins hold the length, prefix and positional filters and a 128-bit map of each set in
    their condition, so that only likely pairs become rows; these are verified on their full sets.
@@ -39,6 +39,7 @@ PERCENT = 80
 RARITY_BITS, RARITY_LEVELS = 16, 128
 TOKEN_BITS, LINE_BITS = 40, 17
 POSITIONS = 1 << 24
+CELL_PLACES = 1 << 16
 
 
 def line_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,7 +54,7 @@ def line_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def line_tokens(data: np.ndarray, offsets: np.ndarray, shingle: int,
-                short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+                short: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(64-bit token hashes, line of each token, text of each line, number of each line within its text)."""
     starts, text = line_offsets(data, offsets)
     words = W.Words(data, np.append(starts, offsets[-1]), W.ALNUM)
@@ -97,7 +98,7 @@ def _count(shingle: int, short: bool):
     return run
 
 
-def rarity_levels(docs: DataFrame, shingle: int, short: bool = False) -> np.ndarray:
+def rarity_levels(docs: DataFrame, shingle: int, short: bool = True) -> np.ndarray:
     """Rarity level (0 rare .. 127 common) of each token bucket, from counts over all documents."""
     counts = (docs.select("text").mapInArrow(_count(shingle, short), "bucket bigint, n bigint")
               .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())  # at most 65,536 rows
@@ -159,33 +160,51 @@ def _prefixes(levels: np.ndarray, shingle: int, percent: int, short: bool):
     return run
 
 
+def _deal(cells: int):
+    """Prefix places of classes as packed rows, one for each cell of tokens and batch: the shuffle and its sort handle few rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            places = lists.flatten().to_numpy().view(np.uint64)
+            keys = np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())
+            cell = ((places >> np.uint64(24)) % np.uint64(cells)).astype(np.int64)
+            order = np.argsort(cell, kind="stable")
+            cell, places, keys = cell[order], places[order], keys[order]
+            starts = np.flatnonzero(np.diff(cell, prepend=-1))
+            ends = np.append(starts[1:], len(cell)).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell[starts], pa.int64()), *[pa.array([x[i:j].tobytes() for i, j in zip(starts.tolist(), ends, strict=True)], pa.binary())
+                                                        for x in (places, keys)]], ["cell", "places", "set_keys"])
+    return run
+
+
+def _shared(places: list[bytes], keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of one cell: one row per token and set, of tokens that at least two sets have."""
+    place, key = np.frombuffer(b"".join(places), np.int64), np.frombuffer(b"".join(keys), np.int64)
+    token = place >> 24
+    order = np.lexsort((key, token))
+    place, key, token = place[order], key[order], token[order]
+    same_token = token[1:] == token[:-1]
+    fresh = np.append(True, ~(same_token & (key[1:] == key[:-1])))
+    place, key, token = place[fresh], key[fresh], token[fresh]
+    same = token[1:] == token[:-1]
+    keep = np.append(False, same) | np.append(same, False)
+    return place[keep], key[keep]
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (token, set_key): one row per pair, of tokens that at least two sets have. One row is
-    held back between batches."""
-    held = np.zeros((2, 0), np.int64)
-    before = None  # token of the last row given out or dropped
+    """Rows sorted by cell: the shared tokens of each cell, of which one is held at a time."""
+    held, places, keys = None, [], []
     for batch in batches:
-        rows = np.hstack([held, np.stack([c.to_numpy() for c in batch.columns])])
-        token = rows[0] >> 24
-        fresh = np.ones(len(token), bool)
-        fresh[1:] = (token[1:] != token[:-1]) | (rows[1, 1:] != rows[1, :-1])
-        rows, token = rows[:, fresh], token[fresh]
-        same = token[1:] == token[:-1]
-        keep = np.zeros(len(token), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        if len(token) and before is not None and token[0] == before:
-            keep[0] = True
-        if len(token):
-            # the last row waits for its right neighbour, unless its left one already tells
-            held = rows[:, -1:]
-            if len(token) > 1:
-                before = token[-2]
-            keep[-1] = False
-        out = rows[:, keep]
-        yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["place", "set_key"])
-    if held.shape[1] and before is not None and before == held[0, 0] >> 24:
-        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["place", "set_key"])
+        for cell, p, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if cell != held and places:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _shared(places, keys)], ["place", "set_key"])
+                places, keys = [], []
+            held = cell
+            places.append(p)
+            keys.append(k)
+    if places:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _shared(places, keys)], ["place", "set_key"])
 
 
 def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +271,7 @@ def _candidates(later: DataFrame, earlier: DataFrame, percent: int) -> DataFrame
             .select(F.col("l.set_key").alias("x"), F.col("e.set_key").alias("y")).distinct())
 
 
-def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, short: bool = False) -> DataFrame:
+def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, short: bool = True) -> DataFrame:
     """(doc_id, text_hash, removed): numbers, from 0, of the lines to remove from each document that has any."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null and text is not null")
@@ -262,10 +281,12 @@ def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
 
     classes = staged(lines.groupBy("set_key").agg(
         F.min(_position()).alias("first"), F.any_value("n").alias("n"), F.any_value("bits_a").alias("bits_a"),
-        F.any_value("bits_b").alias("bits_b"), F.count("*").alias("copies")), "line-classes")
-    places = lines.select(F.explode("prefix").alias("place"), "set_key")
-    shared = staged(places.repartition(F.shiftright("place", 24)).sortWithinPartitions(F.shiftright("place", 24), "set_key")
-                    .mapInArrow(_repeated, "place bigint, set_key bigint"), "line-shared")
+        F.any_value("bits_b").alias("bits_b"), F.any_value("prefix").alias("prefix"), F.count("*").alias("copies")), "line-classes")
+    # a line that is repeated sends its tokens once; a cell holds about CELL_PLACES places, whatever the size of the corpus
+    total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    cells = max(64, -(-total // CELL_PLACES))
+    dealt = classes.select("set_key", "prefix").mapInArrow(_deal(cells), "cell bigint, places binary, set_keys binary")
+    shared = staged(dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(_repeated, "place bigint, set_key bigint"), "line-shared")
     members = staged(shared.select(F.shiftright("place", 24).alias("token"),
                                    F.col("place").bitwiseAND(F.lit(POSITIONS - 1)).alias("pos"), "set_key")
                      .join(classes.select("set_key", "first", "n", "bits_a", "bits_b"), "set_key"), "line-members")
@@ -303,7 +324,7 @@ def removed_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
     return bad.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, short: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, short: bool = True) -> DataFrame:
     """All columns of ``docs`` with the remaining ``text``, and a struct column ``dedup`` (n_lines, removed), which takes the
     place of one of that name."""
     removed = staged(removed_lines(docs, shingle, percent, short), "line-removed")

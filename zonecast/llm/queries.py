@@ -36,8 +36,8 @@ WITH lines AS MATERIALIZED (
   SELECT doc_id, line_no, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lines
 ), grams AS MATERIALIZED (
-  SELECT DISTINCT doc_id, line_no, array_to_string(w[i:i + 4], ' ') AS g
-  FROM words, unnest(range(1, greatest(len(w) - 3, 1))) u(i)
+  SELECT DISTINCT doc_id, line_no, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS g
+  FROM words, unnest(range(1, greatest(len(w) - 3, 2))) u(i) WHERE len(w) > 0
 ), sizes AS MATERIALIZED (SELECT doc_id, line_no, count(*) AS n FROM grams GROUP BY ALL
 ), later AS MATERIALIZED (
   SELECT DISTINCT p.doc_id, p.line_no FROM (
