@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -183,3 +184,65 @@ def test_one_long_page_does_not_choose_the_region(words):
             path = (*blocks[0][0], "p")
             stats[path] = (0.0, stats.get(path, (0.0, 0))[1] + weight)
     assert H.induce(tuple(stats), stats)[0] == body
+
+
+# ---- what the contract asks of odd pages --------------------------------------------------------------------
+
+def on_hosts(spark, make, pages):
+    """Text of every page of one host of ``pages`` pages; make(i) -> html."""
+    rows = [(i, f"http://h{pages}.org/{i}", make(i)) for i in range(pages)]
+    out = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in out}
+
+
+@pytest.mark.parametrize("pages", [3, 30])
+def test_names_inside_an_article_and_around_it(spark, words, pages):
+    body = [words.text(30) for _ in range(pages)]
+    more = [words.text(20) for _ in range(pages)]
+    by = ["By A. Writer", "By B. Writer"]
+
+    def make(i):
+        return f"""<html><head><title>t</title><body><nav>Menu</nav><div class="has-sidebar layout sidebar">
+        <article class="post tag-search"><header class="entry-header"><h1>Head {i} {body[i][:9].strip()}</h1></header><p class="byline">{by[i % 2]}</p>
+        <h2>Background</h2><section class="share-price"><p>{body[i]}</p></section><div class="share"><div>{more[i]}</div></div>
+        <div class="share-bar">Tell all</div><div class="related-posts"><p>Read this</p></div><div id="comments"><p>Nice</p></div></article>
+        <div class="sidebar">Side</div></div><footer>end</footer>"""
+
+    for i, text in on_hosts(spark, make, pages).items():
+        blocks = text.split("\n\n")
+        # a subheading of every page of a larger host is template, one of some pages (here: a byline) is the article's own
+        heading = ["Background"] if pages < H.TEMPLATE_PAGES else []
+        assert blocks == [f"Head {i} {body[i][:9].strip()}", by[i % 2], *heading, body[i]]
+        assert "Side" not in text
+
+
+def test_a_named_element_that_holds_most_of_an_article_is_no_boilerplate(words):
+    long = words.text(40)
+    assert text_of(f'<article><h1>A b</h1><div class="social"><p>{long}</p></div></article>') == f"A b\n\n{long}"
+    assert text_of(f'<div class="sidebar"><article><p>teaser</p></article></div><article><p>{long}</p></article>') == long
+
+
+def test_unread_elements_end_no_block():
+    assert text_of("<p>Second <script>x('</p>')</script>end</p>") == "Second end"
+    assert text_of("<p>one<svg><g><text>no</text></g></svg> two <noscript><p>no</p></noscript>three</p>") == "one two three"
+    assert text_of("<p>a<br/>b <select><option>x<option>y</select>c</p><p>d</p>") == "a b c\n\nd"
+    assert text_of("<div><svg><path d=1><p>lost</p></div><p>kept</p>") == "kept"
+    assert text_of("<head><title>T</title><p>no head end</p>") == "no head end"
+
+
+def test_an_open_quote_does_not_leave_markup():
+    assert text_of('<p>see <a href="x>link</a> here</p>') == "see link here"
+    assert "<" not in text_of("<p class='a>b</p><p>c</p>")
+
+
+def test_deep_and_wide_trees():
+    deep = tuple(tuple(f"div.{k}" for k in range(n)) for n in (1, 1500, 3000))
+    size, pairs = H.simple_tree_matching(H.tree(deep), H.tree(deep[:2]))
+    assert size == 1501
+    assert len(pairs) == 1501
+    wide = tuple((f"p.{i}",) for i in range(4000))
+    size, _ = H.simple_tree_matching(H.tree(wide), H.tree(wide[::-1]))
+    assert size == 2
+    assert H.simple_tree_matching(H.tree(wide), H.tree(wide[1::2]))[0] == 2001
+    html = "<div>" * 3000 + "<p>deep text</p>" + "</div>" * 3000
+    assert text_of(html) == "deep text"

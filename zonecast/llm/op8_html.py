@@ -4,12 +4,13 @@ Each page is parsed into its tree of structural elements (inline markup is trans
 class, are folded into one repeated node), with text blocks at the nodes. Per host the most frequent tree is the reference; the
 host's other trees are aligned to it by simple tree matching, so that every block of every page gets a slot. All counts are of
 distinct pages: pages of equal main blocks are one page, and a text counts once per page. A text that stands in its slot on
-TEMPLATE_SHARE of the host's pages is template (menus, notices, footers) and only that text, never the rest of its slot; slots
+TEMPLATE_SHARE of the host's pages (inside an article: ARTICLE_SHARE) is template (menus, notices, footers) and only that text, never the rest of its slot; slots
 whose other texts differ from page to page are content, and the deepest element that holds most of their text, each page weighed
 equally, is the host's content region. A page's main text is its article or main element; on pages without one it is the
 region's blocks and the content slots beside it (a headline, say). Template texts are left out, and so are elements
 that are boilerplate by name (nav, header outside the article, footer, aside, form, script, style, ..., or a class, id or role
-such as ad, cookie, sidebar, comments). An article that would lose more than half its characters as template texts is a near copy
+such as ad, cookie, sidebar, comments). Inside an article only whole class words count, and a name counts neither on the article, nor on an
+element that holds the page's largest article or most of the text of the one it stands in. Unread elements (script, svg, ...) end no block. An article that would lose more than half its characters as template texts is a near copy
 of others, and stays whole. Pages of hosts with fewer than MIN_PAGES distinct pages have no wrapper: there the main
 text is the article or main element, or else the body.
 
@@ -43,6 +44,7 @@ from zonecast.llm.frames import staged
 MIN_PAGES = 5
 TEMPLATE_PAGES = 20  # a text must stand on so many distinct pages before it can be template
 TEMPLATE_SHARE = 0.5  # and on this share of the host's distinct pages
+ARTICLE_SHARE = 0.9  # inside an article: a subheading or byline of half the pages is the article's own
 MOST_SHARED = 0.1  # share of the other pages that have a slot's text, on the mean, above which the slot is no content
 REGION_SHARE = 0.7
 PAGE_WEIGHT = 1_000_000
@@ -67,7 +69,16 @@ NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|header|masthead|menu|modal|"
     r"nav\w*|newsletter|notice|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|skip|social|sponsor\w*|"
     r"subscribe|tags|toolbar|widget|complementary|contentinfo|navigation|search)(?:$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
+# Inside an article whole class tokens only: the name, alone or with one general word before or behind it.
+_INNER = (r"ads?|advert(?:s|isements?|ising)?|banner|breadcrumbs?|comments?|consent|cookies?|disqus|gdpr|menu|modal|nav|navigation|newsletter|"
+          r"notices?|pagination|popup|promos?|promotions?|related|replies|respond|share|sharing|sidebar|skip|social|sponsor(?:s|ed)?|subscribe|"
+          r"tags|toolbar|widget|complementary|contentinfo|search|footer")
+_BEFORE = r"article|post|entry|page|site|content|main|left|right|top|bottom|reader|user|inline|cookie|social|related|text|native"
+_BEHIND = (r"area|articles?|bar|banner|block|box|buttons?|container|content|form|group|icons?|inner|items?|links?|list|notice|panel|posts?|section|"
+           r"signup|slot|stories|text|thread|unit|widget|wrap|wrapper")
+NAMED_INSIDE = re.compile(rf"(?:(?:{_BEFORE})[-_]+)?(?:{_INNER})(?:[-_]+(?:{_BEHIND}))?(?:[-_]*\d+)?", re.I)
+HEAD = frozenset("title meta link script style base noscript template".split())
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)(?:>|$)",
                    re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 HOST = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -81,21 +92,42 @@ class Page:
     def __init__(self, html: str):
         self.blocks: list[tuple[Path, str, bool, bool]] = []  # path, text, boilerplate by name, inside an article
         self.has_article = False
+        #: blocks as read: path, text, unread or hidden or a boilerplate element, elements named as boilerplate, outermost article
+        self._raw: list[tuple[Path, str, bool, tuple[int, ...], int | None]] = []
+        self._named_inside: set[int] = set()
+        self._above: dict[int, tuple[int, ...]] = {}  # article -> elements that it stands in
         self._parse(html or "")
+        self._judge()
+
+    def _judge(self) -> None:
+        """A name makes an element boilerplate unless it holds the page's main article, or most of the article that it stands in."""
+        chars: Counter = Counter()
+        for _, text, bad, named, article in self._raw:
+            if article is not None and not bad:
+                chars["article", article] += len(text)
+                for element in named:
+                    chars[element] += len(text)
+        articles = [key[1] for key in chars if isinstance(key, tuple)]
+        main = max(articles, key=lambda a: (chars["article", a], -a), default=None)
+        wrapping = set(self._above.get(main, ()))
+        for path, text, bad, named, article in self._raw:
+            most = chars["article", article] / 2
+            bad = bad or any(e not in wrapping and not (e in self._named_inside and chars[e] > most) for e in named)
+            self.blocks.append((path, text, bad, article is not None))
 
     def _parse(self, html: str) -> None:
-        # open elements: tag, path, unread, boilerplate, in an article
-        stack: list[tuple[str, Path, bool, bool, bool]] = [("", (), False, False, False)]
+        # open elements: tag, path, unread or boilerplate, named elements, outermost article, number
+        stack: list[tuple[str, Path, bool, tuple[int, ...], int | None, int]] = [("", (), False, (), None, 0)]
         text: list[str] = []
-        at, size = 0, len(html)
+        skipped: list[str] = []  # open elements from an unread one on: their content is dropped, and ends no block
+        at, size, number = 0, len(html), 0
 
         def flush() -> None:
             if text:
-                _, path, unread, bad, inside = stack[-1]
-                if not unread:
-                    words = " ".join(unescape("".join(text)).split())
-                    if words:
-                        self.blocks.append((path, words, bad, inside))
+                _, path, bad, named, article, _ = stack[-1]
+                words = " ".join(unescape("".join(text)).split())
+                if words:
+                    self._raw.append((path, words, bad, named, article))
                 text.clear()
 
         def close(position: int) -> None:
@@ -105,14 +137,29 @@ class Page:
         while at < size:
             m = TOKEN.search(html, at)
             if m is None:
-                text.append(html[at:])
+                if not skipped:
+                    text.append(html[at:])
                 break
-            if m.start() > at:
+            if m.start() > at and not skipped:
                 text.append(html[at:m.start()])
             at = m.end()
             if not m.group(2):
                 continue
             tag, closing = m.group(2).lower(), bool(m.group(1))
+            if skipped:
+                if not closing:
+                    if tag in RAW:
+                        end = re.compile(f"</{tag}", re.I).search(html, at)
+                        at = end.start() if end else size
+                    if tag not in VOID and not m.group(3).rstrip().endswith("/"):
+                        skipped.append(tag)
+                    continue
+                if tag in skipped:
+                    del skipped[len(skipped) - 1 - skipped[::-1].index(tag):]
+                    continue
+                if not any(x[0] == tag for x in stack):
+                    continue
+                skipped.clear()  # an element outside is closed: the unread one was left open
             if tag in INLINE:
                 continue
             if closing:
@@ -124,14 +171,25 @@ class Page:
                         close(i)
                         break
                 else:
-                    flush()
+                    if tag not in UNREAD:
+                        flush()
                 continue
+            if stack[-1][0] == "head" and tag not in HEAD:
+                close(len(stack) - 1)
             if tag in VOID:
                 if tag == "hr":
                     flush()
                 else:
                     text.append(" ")
                 continue
+            if tag in UNREAD and tag != "head":
+                if tag in RAW:
+                    end = re.compile(f"</{tag}", re.I).search(html, at)
+                    at = end.start() if end else size
+                if not m.group(3).rstrip().endswith("/"):
+                    skipped.append(tag)
+                text.append(" ")
+                continue
             flush()
             if tag in ENDS_PARAGRAPH:
                 for i in range(len(stack) - 1, 0, -1):
@@ -148,19 +206,21 @@ class Page:
                         break
                     if stack[i][0] in SCOPE:
                         break
-            if tag in RAW:
-                end = re.compile(f"</{tag}", re.I).search(html, at)
-                at = end.start() if end else size
-                if end is None:
-                    break
-            _, path, unread, bad, inside = stack[-1]
+            number += 1
+            _, path, bad, named, article, _ = stack[-1]
             words, hidden = _names(m.group(3))
-            inside = inside or tag in ARTICLE
-            self.has_article = self.has_article or tag in ARTICLE
-            bad = bad or tag in BOILERPLATE or (tag == "header" and not inside) or (tag not in ("html", "body") and bool(
-                NAMED.search(words))) or hidden
+            within = article is not None
+            if tag in ARTICLE and not within:
+                article, self.has_article = number, True
+                self._above[number] = tuple(x[5] for x in stack)
+            bad = bad or tag in BOILERPLATE or tag == "head" or (tag == "header" and article is None) or hidden
+            if within and any(NAMED_INSIDE.fullmatch(word) for word in words.split()):
+                self._named_inside.add(number)
+                named = (*named, number)
+            elif article is None and tag not in ("html", "body") and NAMED.search(words):
+                named = (*named, number)
             signature = f"{tag}.{_plain(words)}" if words else tag
-            stack.append((tag, (*path, signature), unread or tag in UNREAD, bad, inside))
+            stack.append((tag, (*path, signature), bad, named, article, number))
         flush()
 
     def paths(self) -> tuple[Path, ...]:
@@ -207,26 +267,64 @@ def tree(paths: tuple[Path, ...]) -> Node:
     return root
 
 
+def _heaviest(found: list[tuple[int, int, int]], m: int) -> list[int]:
+    """Places in ``found`` (i, j, weight), sorted by i and falling j, of the heaviest choice in which i and j both rise. ``m``: number of j."""
+    best = [(0, -1)] * (m + 1)  # prefix maxima over j, as a binary indexed tree: weight, place
+    back: list[int] = []
+    for place, (_, j, weight) in enumerate(found):
+        total, before, k = 0, -1, j
+        while k:
+            if best[k][0] > total:
+                total, before = best[k]
+            k &= k - 1
+        back.append(before)
+        k = j + 1
+        while k <= m:
+            if best[k][0] < total + weight:
+                best[k] = (total + weight, place)
+            k += k & -k
+    total, place, k = 0, -1, m
+    while k:
+        if best[k][0] > total:
+            total, place = best[k]
+        k &= k - 1
+    chosen = []
+    while place >= 0:
+        chosen.append(place)
+        place = back[place]
+    return chosen[::-1]
+
+
 def simple_tree_matching(a: Node, b: Node) -> tuple[int, list[tuple[Path, Path]]]:
-    """Size and pairs of the largest order-keeping mapping of two trees that maps roots to roots and keeps parents."""
+    """Size and pairs of the largest order-keeping mapping of two trees that maps roots to roots and keeps parents.
+
+    Only children of one signature can be mapped to each other, so those pairs are looked up by signature, and the best order-keeping choice
+    among them is a heaviest rising sequence; in folded trees a signature is there once, so the work is near the trees' size. No recursion."""
     if a.signature != b.signature:
         return 0, []
-    n, m = len(a.children), len(b.children)
-    found = [[simple_tree_matching(x, y) for y in b.children] for x in a.children]
-    best = np.zeros((n + 1, m + 1), int)
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + found[i - 1][j - 1][0])
-    pairs, i, j = [(a.path, b.path)], n, m
-    while i and j:
-        if best[i, j] == best[i - 1, j]:
-            i -= 1
-        elif best[i, j] == best[i, j - 1]:
-            j -= 1
+    size: dict[tuple[int, int], int] = {}
+    chosen: dict[tuple[int, int], list[tuple[Node, Node]]] = {}
+    todo: list[tuple[Node, Node, list[tuple[int, int]] | None]] = [(a, b, None)]
+    while todo:
+        x, y, alike = todo.pop()
+        if alike is None:
+            places: dict[str, list[int]] = {}
+            for j, child in enumerate(y.children):
+                places.setdefault(child.signature, []).append(j)
+            alike = [(i, j) for i, child in enumerate(x.children) for j in reversed(places.get(child.signature, ()))]
+            todo.append((x, y, alike))
+            todo += [(x.children[i], y.children[j], None) for i, j in alike]
         else:
-            pairs += found[i - 1][j - 1][1]
-            i, j = i - 1, j - 1
-    return int(best[n, m]) + 1, pairs
+            found = [(i, j, size[id(x.children[i]), id(y.children[j])]) for i, j in alike]
+            kept = [found[k] for k in _heaviest(found, len(y.children))]
+            size[id(x), id(y)] = 1 + sum(w for *_, w in kept)
+            chosen[id(x), id(y)] = [(x.children[i], y.children[j]) for i, j, _ in kept]
+    pairs, walk = [], [(a, b)]
+    while walk:
+        x, y = walk.pop()
+        pairs.append((x.path, y.path))
+        walk += chosen[id(x), id(y)]
+    return size[id(a), id(b)], pairs
 
 
 def slots(paths: tuple[Path, ...], reference: tuple[Path, ...]) -> dict[Path, Path]:
@@ -337,9 +435,8 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for reference, rows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             region, content = induce(unspell(reference), {tuple(json.loads(r["slot"])): (r["shared"], r["weight"]) for r in rows
                                                           if r["weight"]})
-            template = [(json.loads(r["slot"]), r["template"]) for r in rows if r["template"]]
-            wrappers.append(json.dumps({"reference": json.loads(reference), "region": region, "content": content, "template": template},
-                                       ensure_ascii=False))
+            kept = {k: [(json.loads(r["slot"]), r[k]) for r in rows if r[k]] for k in ("template", "fixed")}
+            wrappers.append(json.dumps({"reference": json.loads(reference), "region": region, "content": content, **kept}, ensure_ascii=False))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(wrappers, pa.string())], ["host", "wrapper"])
 
 
@@ -367,9 +464,10 @@ def learn_wrappers(pages: DataFrame) -> DataFrame:
     stats = blocks.groupBy("host", "slot").agg(
         (F.sum(others.cast("double") * (F.col("n") - 1)) / (F.sum(others) * (F.max("pages") - 1))).alias("shared"),
         F.coalesce(F.sum(F.when(~template, F.col("weight"))), F.lit(0)).alias("weight"),
-        F.sort_array(F.collect_list(F.when(template, F.col("text")))).alias("template"))
+        F.sort_array(F.collect_list(F.when(template, F.col("text")))).alias("template"),
+        F.sort_array(F.collect_list(F.when(template & (F.col("n") >= ARTICLE_SHARE * F.col("pages")), F.col("text")))).alias("fixed"))
     # slots of a host are at most the paths of its reference page
-    per_host = stats.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "shared", "weight", "template"))).alias("slots"))
+    per_host = stats.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "shared", "weight", "template", "fixed"))).alias("slots"))
     return frequent.join(per_host, "host").select("host", "reference", "slots").mapInArrow(_induce, "host string, wrapper string")
 
 
@@ -380,18 +478,18 @@ class Wrapper:
         w = json.loads(spelled)
         self.reference = tuple(tuple(p) for p in w["reference"])
         self.region, self.content = tuple(w["region"]), {tuple(p) for p in w["content"]}
-        self.template = {tuple(p): frozenset(texts) for p, texts in w["template"]}
-        self.known: dict[tuple[Path, ...], tuple[Path | None, set[Path], dict[Path, frozenset[int]]]] = {}
+        self.template, self.fixed = ({tuple(p): frozenset(texts) for p, texts in w[k]} for k in ("template", "fixed"))
+        self.known: dict[tuple[Path, ...], tuple[Path | None, set[Path], dict[Path, frozenset[int]], dict[Path, frozenset[int]]]] = {}
 
-    def on(self, paths: tuple[Path, ...]) -> tuple[Path | None, set[Path], dict[Path, frozenset[int]]]:
-        """The region of a page's tree, None if it has none, its content paths, and its paths' template texts."""
+    def on(self, paths: tuple[Path, ...]) -> tuple[Path | None, set[Path], dict[Path, frozenset[int]], dict[Path, frozenset[int]]]:
+        """The region of a page's tree, None if it has none, its content paths, and its paths' template texts, on any page and in articles."""
         if paths not in self.known:
             if len(self.known) > 1000:
                 self.known.clear()
             mapped = slots(paths, self.reference)
             region = next((p for p, q in mapped.items() if q == self.region), None)
             self.known[paths] = (region, {p for p, q in mapped.items() if q in self.content},
-                                 {p: self.template[q] for p, q in mapped.items() if q in self.template})
+                                 *({p: texts[q] for p, q in mapped.items() if q in texts} for texts in (self.template, self.fixed)))
         return self.known[paths]
 
 
@@ -399,7 +497,8 @@ def main_text(html: str | None, wrapper: Wrapper | None) -> str:
     page = Page(html or "")
     inside = main_blocks(page)
     if wrapper is not None:
-        region, content, template = wrapper.on(page.paths())
+        region, content, template, fixed = wrapper.on(page.paths())
+        template = fixed if page.has_article else template
         near = inside
         # an article is never narrowed
         if region is not None and not page.has_article:
