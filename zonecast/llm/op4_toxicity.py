@@ -75,6 +75,10 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Text
         yield a, b, TextFeatures(data[base:offsets[b]], offsets[a:b + 1] - base)
 
 
+#: bias of a model without training rows of both labels: score 0
+NO_MODEL = -30.0
+
+
 class Ftrl:
     """FTRL-proximal with per-coordinate learning rates; coordinate 0..2**bits-1 and a bias without L1."""
 
@@ -121,7 +125,7 @@ def _train(epochs: int):
                 rows += zip(draw[a:b], label[a:b].astype(float), block.sets(), strict=True)
         rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
         positive = sum(y for _, y, _ in rows)
-        w, bias = np.zeros(1 << FEATURE_BITS), -30.0
+        w, bias = np.zeros(1 << FEATURE_BITS), NO_MODEL
         if 0 < positive < len(rows):
             w = trained(rows, epochs)
             # margins of rows that a model has not seen decide where score 0.5 lies
@@ -160,9 +164,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs
               .where(F.col("draw") < F.when(F.col("toxic") == 1, rates.get(1, 0.0)).otherwise(rates.get(0, 0.0))).distinct())
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # labelled rows are bounded by 2 x train_rows in expectation: small enough to send to the documents
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("draw", "toxic", "text")
+    sample = texts.join(F.broadcast(chosen), "doc_id")
+    # one row per label, whatever the number of rows of its doc_id
+    sample = sample.groupBy("doc_id", "draw", "toxic").agg(F.min("text").alias("text")).select("draw", "toxic", "text")
     # documents are read in parallel; only the bounded sample meets in one task
     model = sample.repartition(1).mapInArrow(_train(epochs), "ids array<int>, weights array<float>, bias double").first()
+    if model is None:  # nothing was sampled: Spark runs no task then
+        return np.zeros(0, np.int32), np.zeros(0, np.float32), NO_MODEL
     return np.array(model["ids"], np.int32), np.array(model["weights"], np.float32), float(model["bias"])
 
 
