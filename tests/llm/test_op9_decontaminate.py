@@ -93,3 +93,29 @@ def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], ITEM)
     assert D.find_passages(docs([]), none).count() == 0
     assert got(D.find_passages(docs([(1, "a b")]), none)) == [(1, 2, 0, ())]
+
+
+def test_a_block_has_no_more_words_than_there_are_signs(monkeypatch):
+    """More distinct words than code points: a block closes before it runs out, whatever size is asked for."""
+    class Rows:
+        def select(self, *_):
+            return self
+
+        where = select
+
+        def toLocalIterator(self):  # noqa: N802
+            for i in range(130_000):
+                yield type("R", (), {"item_id": str(i), "text": " ".join(f"w{i}x{k}" for k in range(10)).encode()})()
+
+    monkeypatch.setattr(D.F, "col", lambda *_: _Any())
+    monkeypatch.setattr(D.F, "coalesce", lambda *_: _Any())
+    monkeypatch.setattr(D.F, "lit", lambda *_: _Any())
+    blocks = list(D.benchmark_blocks(Rows(), 10, 50_000_000))
+    assert max(len({w for _, words, _ in block for w in words}) for block in blocks) <= D.BLOCK_SYMBOLS
+    assert sum(len(block) for block in blocks) == 130_000
+    assert ord(D._symbol(D.BLOCK_SYMBOLS + 10)) < 0x10FFFF
+
+
+class _Any:
+    def __getattr__(self, _):
+        return lambda *a, **k: self

@@ -30,7 +30,8 @@ from zonecast.llm import words as W
 from zonecast.llm.frames import staged
 
 WINDOW = 10
-BLOCK_SYMBOLS = 4_000_000
+#: pattern symbols of a block; a word is one code point of 1.1 million, and a block has no more words than symbols
+BLOCK_SYMBOLS = 1_000_000
 
 _TO_WORDS = bytes(int(W._LOWER[b]) if W.ALNUM[W._LOWER[b]] else 32 for b in range(256))
 _UNKNOWN = "\x00"
@@ -130,7 +131,7 @@ def benchmark_blocks(items: DataFrame, window: int, block_symbols: int) -> Itera
     rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"),
                         F.col("text").cast("string").cast("binary").alias("text")).where("text is not null")
     block: list[tuple[str, list[bytes], int]] = []
-    size = 0
+    size, block_symbols = 0, min(block_symbols, BLOCK_SYMBOLS)
     for row in rows.toLocalIterator():
         words = split_words(bytes(row.text))
         cost = window * max(len(words) - window + 1, 1)
