@@ -18,7 +18,7 @@ from zonecast.session import work_dir
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 words_model = S.WordTokenizer(PATH)
-SIGNS = [" ", "a", "The", "don't", "\n", "\t", "é", "É", "<|endoftext|>", "<", "|>", "日", "123", "'s", "\x1c", " ", "İ", "́", "🙂", "'", "\x00", "ǅ"]
+SIGNS = [" ", "a", "The", "don't", "\n", "\t", "é", "É", "<|endoftext|>", "<", "|>", "日", "123", "'s", "\x1c", " ", "İ", "́", "🙂", "'", "\x00", "ǅ", "ÿ×", "÷", "¼", "Äpfel,", "µ"]
 
 
 @settings(max_examples=300, deadline=None)

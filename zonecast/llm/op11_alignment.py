@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from zonecast.llm.frames import staged
 from zonecast.llm.op3_tokens import MARK, segments_of
-from zonecast.llm.segments import BLANK, BYTE_ASCII, BYTE_BLANK, MIXED_RUN, PlainPieces, SegmentTable, is_plain, pack, text_ranges
+from zonecast.llm.segments import BLANK, JOINED, MIXED_RUN, SIGNS, SegmentTable, pack, text_ranges
 
 RUN = 512
 BATCH_CHARS = 1 << 20
@@ -40,14 +40,6 @@ COUNTS = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint"
 
 # ---------------------------------------------------------------- tokens
 
-def _byte_signs() -> dict[str, int]:
-    """Byte that each printable sign of a byte-level vocabulary stands for: printable Latin-1 bytes are themselves, the others
-    take the signs from 256 on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Tokens:
     """Ids of texts by one tokenizer, and the bytes that every id stands for."""
 
@@ -98,19 +90,33 @@ def byte_level(path: str) -> Tokens:
 
     model = Tokenizer.from_file(path)
     model.encode_special_tokens = True
-    signs = _byte_signs()
+    signs = {chr(sign): byte for byte, sign in SIGNS.items()}
     bytes_of = [b""] * model.get_vocab_size(with_added_tokens=True)
     for token, i in model.get_vocab(with_added_tokens=True).items():
         bytes_of[i] = bytes(signs[c] for c in token)
-    plain = PlainPieces(model, BYTE_ASCII, 4)
-
     def encode(segments: list[str]) -> list[bytes]:
-        """ASCII segments by their pieces, the others by the whole tokenizer."""
-        easy = [BLANK not in s and s != "" and is_plain(s) for s in segments]
-        rest = [BLANK + s for s, e in zip(segments, easy, strict=True) if not e]
-        found = iter(model.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
-        return [plain.ids(BYTE_BLANK + s) if e else pack(next(found).ids, 4) for s, e in zip(segments, easy, strict=True)]
+        """Segments that end in a non-blank are encoded many as one text, whose ids are parted by their bytes."""
+        whole = [i for i, s in enumerate(segments) if s and not s[-1].isspace()]
+        out = [b""] * len(segments)
+        groups = [whole[i:i + JOINED] for i in range(0, len(whole), JOINED)]
+        rest = sorted(set(range(len(segments))) - set(whole))
+        texts = ["".join([BLANK + segments[i] for i in group]) for group in groups]
+        for group, e in zip(groups, model.encode_batch_fast(texts, add_special_tokens=False) if texts else [], strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.concatenate([[0], np.cumsum(sizes[ids])])
+            cuts = np.concatenate([[0], np.cumsum([1 + len(segments[i].encode()) for i in group])])
+            at = np.searchsorted(ends, cuts)
+            if at[-1] > len(ids) or not np.array_equal(ends[at], cuts):  # a byte that the vocabulary lacks
+                rest += group
+                continue
+            raw, at = ids.tobytes(), (4 * at).tolist()
+            for i, start, end in zip(group, at[:-1], at[1:], strict=True):
+                out[i] = raw[start:end]
+        for i, e in zip(rest, model.encode_batch_fast([BLANK + segments[i] for i in rest], add_special_tokens=False) if rest else [], strict=True):
+            out[i] = pack(e.ids, 4)
+        return out
 
+    sizes = np.array([len(b) for b in bytes_of])
     return Tokens(bytes_of, encode)
 
 

@@ -44,7 +44,7 @@ from zonecast.llm.segments import WordTokenizer, text_ranges
 
 MAGIC = b"ZCIDS01\n"
 HEADER = struct.Struct("<8sIIQQQ")
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
 BATCH_CHARS = 1 << 20
 GAMMA = 1.6
 MAX_LEVELS = 200

@@ -14,12 +14,13 @@ from itertools import filterfalse
 
 #: the splitting pattern of a lower-casing word tokenizer whose matches hold no white space (fixed value)
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: the same on lower-case printable ASCII signs
-WORD_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+"
-#: a byte-level splitter's pattern on printable ASCII signs behind one blank, which the vocabulary writes as BYTE_BLANK (fixed values)
-BYTE_BLANK = "Ġ"
-BYTE_ASCII = rf"'s|'t|'re|'ve|'m|'ll|'d|{BYTE_BLANK}?[A-Za-z]+|{BYTE_BLANK}?[0-9]+|{BYTE_BLANK}?[^{BYTE_BLANK}A-Za-z0-9]+|{BYTE_BLANK}"
-TABLE_ENTRIES = 400_000
+#: pieces encoded as one text
+JOINED = 1000
+#: printable ASCII signs and the Latin-1 letters: composed already, and lower-cased alike everywhere
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
+#: the same pattern on lower-case plain signs
+WORD_PLAIN = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+"
+TABLE_ENTRIES = 600_000
 BLANK = " "
 #: a white-space run of other signs than blanks at first, with more behind its blank, is one unit to a byte-level splitter
 MIXED_RUN = re.compile(r"[^\S ] (?:\s|\Z)")
@@ -70,31 +71,49 @@ def id_width(vocabulary: int) -> int:
     return 2 if vocabulary <= 1 << 16 else 4
 
 
+def byte_signs() -> dict[int, int]:
+    """Sign that a byte-level vocabulary writes for each byte: printable Latin-1 bytes are themselves, the others take the signs
+    from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = sorted(set(range(256)) - set(plain))
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
+
+
+SIGNS = byte_signs()
+
+
+#: bytes behind ASCII as such signs; ASCII signs stay, and so does the blank
+PLAIN_SIGNS = {b: s for b, s in SIGNS.items() if b > 0x7F}
+END = "</w>"
+
+
 class PlainPieces:
-    """Ids of segments of printable ASCII signs, cut by ``pattern`` here and merged by the library's model: in ASCII a tokenizer's
-    normaliser and splitter do no more than that, and building their offset maps costs four times the merges."""
+    """Ids of pieces of plain signs by the library's model alone: on them a tokenizer's normaliser and splitter do no more than ``pattern``,
+    and cost more than the merges. A word's last token bears the vocabulary's word end, so that pieces are encoded many at a time."""
 
     def __init__(self, tokenizer, pattern: str, width: int):
-        self.tokenize = tokenizer.model.tokenize
+        import numpy as np
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
         self.cut = re.compile(pattern).findall
         self.width = width
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, segment: str) -> bytes:
-        pieces = self.cut(segment)
-        try:
-            return b"".join([self.known[p] for p in pieces])
-        except KeyError:
-            pass
-        if len(self.known) >= TABLE_ENTRIES // 4:
-            self.known.clear()
-        found = [self.known.get(p) or pack([t.id for t in self.tokenize(p)], self.width) for p in pieces]
-        self.known.update(zip(pieces, found, strict=True))
-        return b"".join(found)
+        self.bare = Tokenizer(tokenizer.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        self.is_end = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+            self.is_end[i] = token.endswith(END)
 
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        import numpy as np
 
-def is_plain(segment: str) -> bool:
-    return segment.isascii() and segment.isprintable()
+        texts = [" ".join(pieces[i:i + JOINED]).encode().decode("latin-1").translate(PLAIN_SIGNS) for i in range(0, len(pieces), JOINED)]
+        out: list[bytes] = []
+        for e in self.bare.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(e.ids, "<u2" if self.width == 2 else "<u4")
+            raw, ends = ids.tobytes(), ((np.flatnonzero(self.is_end[ids]) + 1) * self.width).tolist()
+            out += [raw[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+        return out
 
 
 class WordTokenizer:
@@ -117,17 +136,23 @@ class WordTokenizer:
                            and all(t["content"].startswith("<") and BLANK not in t["content"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])
                                    for t in added))
         self.special = [t["content"] for t in added]
-        self.pieces = PlainPieces(self.model, WORD_ASCII, self.width)
         self.table = SegmentTable(self._segments, entries)
+        self.pieces = PlainPieces(self.model, WORD_PLAIN, self.width) if self.by_segment else None
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [pack(e.ids, self.width) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def _segments(self, segments: list[str]) -> list[bytes]:
-        """ASCII segments by their pieces, the others and those that hold a special token by the whole tokenizer."""
-        plain = [is_plain(s) and not ("<" in s and any(t in s for t in self.special)) for s in segments]
+        """Plain segments by their pieces, the others and those that hold a special token by the whole tokenizer."""
+        plain = [PLAIN(s) is not None and not ("<" in s and any(t in s for t in self.special)) for s in segments]
         rest = iter(self._encode([s for s, p in zip(segments, plain, strict=True) if not p]))
-        return [self.pieces.ids(s.lower()) if p else next(rest) for s, p in zip(segments, plain, strict=True)]
+        cut = [self.pieces.cut(s.lower()) if p else None for s, p in zip(segments, plain, strict=True)]
+        # a piece that was a segment of its own before is in the table
+        table = self.table.table
+        new = list({p for pieces in cut if pieces for p in pieces if p not in table})
+        known = dict(zip(new, self.pieces.ids(new), strict=True))
+        return [next(rest) if pieces is None else known.get(pieces[0]) or table[pieces[0]] if len(pieces) == 1
+                else b"".join([known.get(p) or table[p] for p in pieces]) for pieces in cut]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, without special tokens around it; a null text has none."""
