@@ -20,7 +20,7 @@ JOINED = 1000
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
 #: the same pattern on lower-case plain signs
 WORD_PLAIN = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+"
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 1_000_000
 BLANK = " "
 #: a white-space run of other signs than blanks at first, with more behind its blank, is one unit to a byte-level splitter
 MIXED_RUN = re.compile(r"[^\S ] (?:\s|\Z)")
