@@ -34,9 +34,12 @@ def test_composition_is_associative(parts):
 
 def test_a_full_table_is_emptied_and_refilled(words):
     small = T.Transducer(MODEL, entries=50)
+    small.machine.limit = 200
     text = words.text(500)
     assert T.count_tokens(small, text) == len(machine.model.encode(text))
-    assert len(small.table) <= 50 + 1
+    assert len(small.table) <= 50 and len(small.machine.states) <= 2 * 200 + 1
+    unbroken = text.replace(" ", "")
+    assert T.count_tokens(small, unbroken) == len(machine.model.encode(unbroken))
 
 
 def test_rows(spark, docs, words):
@@ -58,6 +61,27 @@ def test_empty_table_and_extra_columns(spark, docs):
     assert T.token_counts(wide, MODEL).first().n_tokens == len(machine.model.encode("a b"))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(300, machine.model.get_piece_size() - 1), min_size=1, max_size=6), st.integers(0, 20), st.sampled_from(["", "é", "日", "\n", "🙂"]))
+def test_pieces_side_by_side(ids, cut, sign):
+    """Joined vocabulary pieces, cut anywhere, with a sign that may have no piece: every place where a longer token takes the place of several."""
+    text = "".join(machine.model.id_to_piece(i) for i in ids).replace(T.MARK, " ")
+    text = text[:cut] + sign + text[cut:]
+    assert T.count_tokens(machine, text) == len(machine.model.encode(text))
+
+
+def test_machine_of_a_small_vocabulary():
+    """Merges against a walk by hand: best score first, the left pair among equals."""
+    m = T.Machine({"a": 0.0, "b": 0.0, "ab": -1.0, "aa": -2.0, "aba": -3.0, "aab": -4.0, "abab": -5.0})
+    for length in range(1, 9):
+        for bits in range(1 << length):
+            text = "".join("ab"[bits >> i & 1] for i in range(length))
+            assert m.count(text) == len(m.merged(text)), text
+    assert m.merged("aaab") == ["aa", "ab"] and m.count("aaab") == 2
+    assert m.count("ab日ab") == 1 + 3 + 1 and m.count("") == 0
+    assert len(m.states) < 100  # finite: states do not grow with the texts
+
+
 def test_a_model_that_drops_blanks_is_refused(monkeypatch):
     class Dropping:
         def get_piece_size(self):

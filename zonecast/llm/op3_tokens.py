@@ -1,16 +1,22 @@
 """Operator 3: token counts by a compiled finite-state transducer.
 
-The piece model never joins a blank to the text before it: no vocabulary piece has the blank mark
-behind another character. A text is therefore a sequence of segments, each a run of blanks followed by
-non-blanks, and the tokenizer is a deterministic transducer that reads a segment on each transition from its
-boundary state back to itself and emits a number of tokens. ``Transducer.check`` tests that
-property against the vocabulary; transitions are determinised on demand (each distinct segment is encoded once per
-task by the model's own library) and kept in a table of bounded size.
+The piece model merges neighbouring symbols, best score first, the left pair first among equals. A merge result has two properties:
+its first tokens are the result of the text that they cover, and a row of tokens is a result if and only if each two neighbours
+are one of their joined text. So the last token behind a character follows from the last tokens at the few places before it where a
+vocabulary piece may still be open. These places, their last tokens and their counts relative to the current one are a state of
+``Machine``; reading a character leads to one state and emits a change of the token count (below zero where a longer token replaces
+several). States and transitions are compiled from pieces and scores on demand, in tables of bounded size; the model's library
+counts nothing and is what the tests compare with.
+
+The model never joins a blank to the text before it: no piece has the blank mark behind another character, so every blank behind
+a non-blank leads to one boundary state. A segment is a run of blanks and the non-blanks behind it; ``Transducer`` keeps the sums
+of whole segments in a table too, as composed transitions from the boundary state to itself. ``Transducer.check`` holds all
+that is used here against the model.
 
 Long texts are read in chunks. A chunk cut anywhere has the state map (head, count, tail): the
 characters before its first boundary, the tokens of its whole segments, and the unfinished segment it leaves;
 maps compose associatively (tail and head meet in one segment), so a text's chunks are folded by a
-pairwise scan. One text stays within one task.
+pairwise scan. One text stays within one task, which has read it as one row already.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; every row of ``docs`` gives one row,
 repeated rows and null doc_ids included; only doc_id and text are read, so extra columns cannot clash.
@@ -18,6 +24,7 @@ repeated rows and null doc_ids included; only doc_id and text are read, so extra
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,14 +33,103 @@ from pyspark.sql import functions as F
 
 BLANK, MARK = " ", "▁"
 CHUNK_CHARS = 1 << 16
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 600_000
+#: longer segments are read by the machine each time
+TABLE_CHARS = 64
+MACHINE_STATES = 200_000
+PAIR_ENTRIES = 400_000
+NO_SCORE = float("-inf")
 
 #: (head, count, tail); count None: no boundary inside, head holds all characters and tail none.
 Map = tuple[str, int | None, str]
 
 
+class State(dict):
+    """Transitions: character -> (next state, change of the token count). ``open``: (characters back, last token there, count there less
+    the count here), longest first; ``text``: the characters from the first of these places on."""
+
+    __slots__ = ("open", "text")
+
+
+class Machine:
+    """Deterministic transducer of a piece vocabulary: ``scores`` by piece; a character without a piece is its bytes."""
+
+    def __init__(self, scores: dict[str, float], states: int = MACHINE_STATES):
+        self.scores, self.limit = scores, states
+        self.prefixes = {piece[:i] for piece in scores for i in range(1, len(piece))}
+        self.pairs: dict[tuple[str | None, str], bool] = {}
+
+        self.states: dict[tuple, State] = {}
+        self._begin()
+
+    def _begin(self) -> None:
+        for state in self.states.values():
+            state.clear()  # states name each other
+        self.states.clear()
+        self.start = self._state("", ((0, None, 0),))
+
+    def _state(self, text: str, marks: tuple) -> State:
+        state = self.states.get((text, marks))
+        if state is None:
+            state = self.states[text, marks] = State()
+            state.open, state.text = marks, text
+        return state
+
+    def merged(self, text: str) -> list[str]:
+        """Tokens of a short text by the merge rule itself."""
+        parts, get = list(text), self.scores.get
+        scores = [get(a + b, NO_SCORE) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) != NO_SCORE:
+            i = scores.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], NO_SCORE)
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], NO_SCORE)
+        return parts
+
+    def follows(self, last: str | None, piece: str) -> bool:
+        """Whether ``piece`` may stand behind the token ``last`` (None: at the start)."""
+        known = self.pairs.get((last, piece))
+        if known is None:
+            if len(self.pairs) >= PAIR_ENTRIES:
+                self.pairs.clear()
+            known = self.pairs[last, piece] = self.merged((last or "") + piece) == ([piece] if last is None else [last, piece])
+        return known
+
+    def compile(self, state: State, char: str) -> tuple[State, int]:
+        """The transition of a state by a character."""
+        text = state.text + char
+        end = len(text) - 1
+        if char in self.scores:
+            last, count = next((text[end - back:], n + 1) for back, token, n in state.open
+                               if text[end - back:] in self.scores and self.follows(token, text[end - back:]))
+        else:
+            last, count = char, len(char.encode())
+        marks = (*((back + 1, token, n - count) for back, token, n in state.open if text[end - back:] in self.prefixes), (0, last, 0))
+        state[char] = found = self._state(text[len(text) - marks[0][0]:], marks), count
+        return found
+
+    def count(self, text: str) -> int:
+        """Tokens of a text whose blanks are marks."""
+        if len(self.states) > self.limit:
+            self._begin()
+        state, total = self.start, 0
+        for char in text:
+            found = state.get(char)
+            if found is None:
+                if len(self.states) > 2 * self.limit:  # within one long text: go on from the same place in an empty table
+                    self._begin()
+                    state = self._state(state.text, state.open)
+                found = self.compile(state, char)
+            state, change = found
+            total += change
+        return total
+
+
 class Transducer:
-    """Segment transitions with emitted-token counts, compiled from a piece model."""
+    """Segment transitions with emitted-token counts over the machine of a piece model."""
 
     def __init__(self, model: str, entries: int = TABLE_ENTRIES):
         import sentencepiece
@@ -42,45 +138,41 @@ class Transducer:
         self.entries = entries
         self.table: dict[str, int] = {}
         self.check()
-        # a blank alone, behind a text: what one blank more adds
-        self.lone_blank = len(self.model.encode("a ")) - len(self.model.encode("a"))
+        m = self.model
+        self.machine = Machine({m.id_to_piece(i): m.get_score(i) for i in range(m.get_piece_size())
+                                if not (m.is_unknown(i) or m.is_control(i) or m.is_byte(i))})
 
     def check(self) -> None:
-        """The boundary state exists only if no piece continues across a blank and normalisation keeps
-        characters apart."""
-        for i in range(self.model.get_piece_size()):
-            piece = self.model.id_to_piece(i)
+        """The boundary state exists only if no piece continues across a blank; the machine reads characters as they are, a
+        character without a piece as its bytes, and merges to any piece."""
+        m = self.model
+        for i in range(m.get_piece_size()):
+            piece = m.id_to_piece(i)
             if MARK in piece.lstrip(MARK):
                 raise ValueError(f"piece {piece!r} spans a blank")
-        if self.model.encode("  a") == self.model.encode("a"):
+        if m.encode("  a") == m.encode("a"):
             raise ValueError("the model drops blanks")
-
-    def learn(self, segments: list[str]) -> None:
-        """Add transitions for unseen segments; the table is emptied when full."""
-        if len(self.table) + len(segments) > self.entries:
-            self.table.clear()
-        # the library puts a blank in front of every input: the segment's own first blank
-        for segment, ids in zip(segments, self.model.encode(segments, num_threads=1), strict=True):
-            self.table[segment] = len(ids) if segment else self.lone_blank
-
-    def emit(self, segment: str) -> int:
-        """Tokens of one segment, written without its first blank."""
-        count = self.table.get(segment)
-        if count is None:
-            self.learn([segment])
-            count = self.table[segment]
-        return count
+        if sum(m.is_byte(i) for i in range(m.get_piece_size())) != 256 or any(m.is_unused(i) for i in range(m.get_piece_size())):
+            raise ValueError("the model has no byte pieces, or pieces that it does not use")
+        signs = "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x110000)]))
+        if m.normalize(signs) != MARK + signs.replace(BLANK, MARK):
+            raise ValueError("the model changes characters")
 
     def total(self, segments: list[str]) -> int:
-        table = self.table
-        try:
-            return sum([table[s] for s in segments])
-        except KeyError:
-            unseen = list({s for s in segments if s not in table})
-            if len(unseen) > self.entries // 2:
-                return sum(self.emit(s) for s in segments)
-            self.learn(unseen)
-            return sum([self.table[s] if s in self.table else self.emit(s) for s in segments])
+        """Tokens of segments, each written without its first blank; the table is emptied when full."""
+        counts = list(map(self.table.get, segments))
+        if None in counts:
+            table, read = self.table, self.machine.count
+            for i, segment in enumerate(segments):
+                if counts[i] is None and (count := table.get(segment)) is not None:
+                    counts[i] = count
+                elif counts[i] is None:
+                    counts[i] = count = read(MARK + segment.replace(BLANK, MARK))
+                    if len(segment) <= TABLE_CHARS:
+                        if len(table) >= self.entries:
+                            table.clear()
+                        table[segment] = count
+        return sum(counts)
 
 
 def segments_of(text: str) -> list[str]:
@@ -167,10 +259,14 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
     same place on every executor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _transducer(model)
-        for batch in batches:
-            counts = [count_tokens(t, text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())],
-                                             ["doc_id", "n_bytes", "n_tokens"])
+        gc.disable()  # its rounds over all states find nothing
+        try:
+            for batch in batches:
+                counts = [count_tokens(t, text) for text in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())],
+                                                 ["doc_id", "n_bytes", "n_tokens"])
+        finally:
+            gc.enable()
 
     text = F.col("text").cast("string")
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"),
