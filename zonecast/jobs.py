@@ -12,6 +12,7 @@
     python -m zonecast.jobs live-view      --silver PATH --metrics PATH --checkpoint PATH
     python -m zonecast.jobs rejects        --source DIR --entity NAME --table PATH --checkpoint PATH
     python -m zonecast.jobs retention      --table PATH --keys k1,k2 [--hours 168] [--as-of TS]
+    python -m zonecast.jobs compact        --silver PATH --compacted PATH [--before DATE]
     python -m zonecast.jobs streams        --rides DIR --drivers DIR --payments DIR --root PATH [--kafka-servers HOSTS]
 
 Each job runs in the session spark-submit provides (or a local one). Failures exit
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.functions import constants as K
+from zonecast.operators import compaction as CO
 from zonecast.operators import features as FE
 from zonecast.operators import gold as G
 from zonecast.operators import history as H
@@ -156,6 +158,18 @@ def retention(spark: SparkSession, table_path: str, keys: list[str], hours: int
     return 0
 
 
+def compact(spark: SparkSession, silver_path: str, compacted_path: str, before: str | None = None) -> int:
+    """Publish the closed dates of a streamed silver table in large files (``operators/compaction.py``; read both with ``read_compacted``), and delete
+    small files that nobody reads any more. ``before``: first date that stays open, by default that of the watermark at the newest event."""
+    silver = spark.read.parquet(silver_path)
+    if before is None:
+        before = silver.agg((F.max("event_ts") - F.expr(f"INTERVAL {K.WATERMARK_DELAY}")).cast("date").cast("string").alias("d")).first()["d"]
+    if before is not None:
+        CO.compact_closed(spark, silver_path, compacted_path, silver.schema, before)
+        CO.remove_sources(spark, silver_path, compacted_path)
+    return 0
+
+
 def _running(seconds: int = 30):
     from zonecast.streaming.streams import Trigger
 
@@ -180,7 +194,7 @@ def main(argv: list[str] | None = None) -> int:
         "load-history": ["trips", "history"], "retrain-history": ["history", "runs", "models"],
         "score": ["silver", "promoted", "predictions"], "predictions": ["silver", "promoted", "predictions", "checkpoint"],
         "live-view": ["silver", "metrics", "checkpoint"], "rejects": ["source", "entity", "table", "checkpoint"],
-        "streams": ["rides", "drivers", "payments", "root"],
+        "compact": ["silver", "compacted"], "streams": ["rides", "drivers", "payments", "root"],
     }.items():
         sp = sub.add_parser(name)
         for a in args:
@@ -189,6 +203,8 @@ def main(argv: list[str] | None = None) -> int:
             sp.add_argument("--as-of", default=None)
         if name == "retention":
             sp.add_argument("--hours", type=int, default=K.RETENTION_HOURS)
+        if name == "compact":
+            sp.add_argument("--before", default=None)
         if name == "gold-refresh":
             sp.add_argument("--since", default=None)
         if name == "streams":
@@ -231,6 +247,8 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> int:
         queries = [ST.start_rejects(spark, a.entity, a.table, a.checkpoint, a.source, trigger=_running())]
     if queries:
         return 1 if any(s["exception"] for s in L.supervise(queries)) else 0
+    if a.job == "compact":
+        return compact(spark, a.silver, a.compacted, a.before)
     if a.job == "retention":
         return retention(spark, a.table, a.keys.split(","), a.hours, a.as_of)
     return streams(spark, {"rides": a.rides, "drivers": a.drivers, "payments": a.payments}, a.root, kafka_servers=a.kafka_servers)
