@@ -13,15 +13,26 @@ from zonecast.llm import op10_packing as P
 CAPS = (8, 16, 32)
 
 
-def plain_best_fit(sizes, capacities, opening):
+def plain_best_fit(sizes, capacities, opening, overhead=3):
+    """``opening``: least length throughout, or None for the length of least cost per token at each opening."""
     bins = []  # [room, contents]
     place = []
-    for s in sizes:
+    for at, s in enumerate(sizes):
         fits = [(b[0], i) for i, b in enumerate(bins) if b[0] >= s]
         if fits:
             _, i = min(fits)
         else:
-            bins.append([min(c for c in capacities if c >= max(s, opening)), 0])
+            length = min(c for c in capacities if c >= max(s, opening or 0))
+            if opening is None:
+                offers = []
+                for c in capacities:
+                    if c >= s:
+                        held = s
+                        for other in sizes[at + 1:]:
+                            held += other if held + other <= c else 0
+                        offers.append(((min(x for x in capacities if x >= held) + overhead) / held, c))
+                length = min(offers)[1]
+            bins.append([length, 0])
             i = len(bins) - 1
         bins[i][0] -= s
         bins[i][1] += s
@@ -32,9 +43,11 @@ def plain_best_fit(sizes, capacities, opening):
 @given(st.lists(st.integers(1, 32), max_size=60))
 def test_best_fit_is_the_plain_one(sizes):
     sizes = sorted(sizes, reverse=True)
+    assert P.best_fit(sizes, CAPS, P.Opener(sizes, CAPS, 3)) == plain_best_fit(sizes, CAPS, None)
     costs = []
-    for opening in CAPS:
-        assert P.best_fit(sizes, CAPS, opening) == plain_best_fit(sizes, CAPS, opening)
+    for opening in (None, *CAPS):
+        if opening:
+            assert P.best_fit(sizes, CAPS, opening) == plain_best_fit(sizes, CAPS, opening)
         filled = plain_best_fit(sizes, CAPS, opening)[1]
         costs.append(sum(min(c for c in CAPS if c >= f) + 3 for f in filled))
     place, final = P.pack(sizes, CAPS, overhead=3)
@@ -45,6 +58,19 @@ def test_best_fit_is_the_plain_one(sizes):
     assert all(final[p] == min(c for c in CAPS if c >= n) for p, n in load.items())
 
 
+def test_one_plan_mixes_lengths():
+    sizes = [30, 17, 15, 8, 7, 6, 2, 2]
+    _, filled = P.best_fit(sizes, CAPS, P.Opener(sizes, CAPS, 3))
+    assert len(set(P.downsized(filled, CAPS))) > 1
+
+
+def test_one_giant_document_is_spread(spark):
+    out = P.pack_lengths(spark.createDataFrame([(1, 32 * 1000 + 5), (2, 3)], "doc_id bigint, n_tokens bigint"), CAPS, shard_rows=100)
+    rows, pieces = check(out, [(1, 32 * 1000 + 5), (2, 3)])
+    assert len({r.sequence_id >> 32 for r in rows}) == 11
+    assert sorted(pieces[1]) == [(i * 32, 32) for i in range(1000)] + [(32000, 5)]
+
+
 def check(out, lengths):
     rows = out.collect()
     packed = [r for r in rows if r.sequence_id is not None]

@@ -2,14 +2,16 @@
 
 A document's length is its number of words plus one end mark; a document longer than the largest permitted sequence is cut
 into full pieces and a rest. Pieces are packed in shards of bounded size, longest first: a piece goes into the open
-sequence with the least room that still takes it, else a new one is opened. The permitted lengths are optimised jointly:
-for each of them as the least size to open, the whole shard is packed, every sequence is then downsized to the smallest
-permitted length that holds its contents, and the plan of least total cost is taken (a sequence costs its padded length
-plus a fixed overhead; ties go to the smaller opening size).
+sequence with the least room that still takes it, else a new one is opened. The permitted lengths are optimised jointly: at each
+opening, every length that takes the piece is filled in thought with the longest pieces still to place, and the one of least cost per
+token is opened (a sequence costs the smallest permitted length that holds its contents plus a fixed overhead; ties go to
+the smaller length). So one plan mixes lengths as the pieces that are left demand. The plans that open one least length
+throughout are made too, and the plan of least total cost is taken; every sequence is then downsized to its contents.
 
-Only (doc_id, length) leaves the scan. Lengths are written once, and each row is dealt to a shard by its place in that
-table, so repeated or null doc_ids spread like any others; the number of shards follows the number of rows, and a shard is
-one bounded group. The loss against one global packing is at most one partly filled set of sequences per shard.
+Only (doc_id, length) leaves the scan. Lengths are written once, and each piece is dealt to a shard by its row's place in that
+table and its number, so repeated or null doc_ids and the pieces of one giant document spread like any others; the number of shards follows
+the number of pieces, and a shard is one bounded group. The loss against one global packing is at most one partly filled set of
+sequences per shard.
 
 Defined results: a null or empty text, or one without words, is returned with null sequence_id and no tokens; each row of a
 repeated doc_id is packed; only doc_id and text are read, so extra columns cannot clash; an empty table gives no rows.
@@ -17,7 +19,8 @@ repeated doc_id is packed; only doc_id and text are read, so extra columns canno
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,17 +39,50 @@ SHARD_ROWS = 20_000
 PACKED = ("sequence_id bigint, capacity bigint, start bigint, doc_id string, piece bigint, first_token bigint, n_tokens bigint")
 
 
-def best_fit(sizes: list[int], capacities: tuple[int, ...], opening: int) -> tuple[list[int], list[int]]:
-    """Sequence of each piece (sizes in descending order) and the filled length of each sequence; a new one has the least
-    permitted length that is at least ``opening`` and takes the piece."""
+class Opener:
+    """Length of each new sequence by its cost against the pieces still to place (``sizes`` in any order)."""
+
+    def __init__(self, sizes: list[int], capacities: tuple[int, ...], overhead: int):
+        left = Counter(sizes)
+        self.capacities, self.overhead = capacities, overhead
+        self.sizes = sorted(left)
+        self.left = [left[s] for s in self.sizes]
+
+    def placed(self, size: int) -> None:
+        self.left[bisect_left(self.sizes, size)] -= 1
+
+    def filled(self, room: int) -> int:
+        """Tokens of the longest pieces left that go into ``room``, longest first."""
+        got, at = 0, len(self.sizes)
+        while (at := bisect_right(self.sizes, room - got, 0, at) - 1) >= 0:
+            got += min(self.left[at], (room - got) // self.sizes[at]) * self.sizes[at]
+        return got
+
+    def __call__(self, size: int) -> int:
+        """``size``: the piece that opens, already counted as placed."""
+        best = None
+        for c in self.capacities[bisect_left(self.capacities, size):]:
+            tokens = size + self.filled(c - size)
+            cost = (self.capacities[bisect_left(self.capacities, tokens)] + self.overhead) / tokens
+            if best is None or cost < best[0]:
+                best = cost, c
+        return best[1]
+
+
+def best_fit(sizes: list[int], capacities: tuple[int, ...], opening: int | Opener) -> tuple[list[int], list[int]]:
+    """Sequence of each piece (sizes in descending order) and the filled length of each sequence; a new one has the length that the
+    opener names, or the least permitted length that is at least ``opening`` and takes the piece."""
+    choose = opening if isinstance(opening, Opener) else None
     rooms: list[tuple[int, int]] = []  # (room left, sequence) of open sequences, sorted
     place, filled = [], []
     for size in sizes:
+        if choose is not None:
+            choose.placed(size)
         at = bisect_left(rooms, (size, -1))
         if at < len(rooms):
             room, sequence = rooms.pop(at)
         else:
-            room = next(c for c in capacities if c >= max(size, opening))
+            room = choose(size) if choose is not None else capacities[bisect_left(capacities, max(size, opening))]
             sequence = len(filled)
             filled.append(0)
         place.append(sequence)
@@ -61,9 +97,9 @@ def downsized(filled: list[int], capacities: tuple[int, ...]) -> list[int]:
 
 
 def pack(sizes: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> tuple[list[int], list[int]]:
-    """Least-cost plan over all opening sizes: sequence of each piece, final length of each sequence."""
+    """Least-cost plan (ties: the mixed one, then the smaller opening length): sequence of each piece, final length of each sequence."""
     best = None
-    for opening in capacities:
+    for opening in (Opener(sizes, capacities, overhead), *capacities):
         place, filled = best_fit(sizes, capacities, opening)
         final = downsized(filled, capacities)
         cost = sum(final) + overhead * len(final)
@@ -72,11 +108,6 @@ def pack(sizes: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: i
     return best[1], best[2]
 
 
-def pieces_of(length: int, largest: int) -> list[tuple[int, int]]:
-    """(first token, tokens) of each piece of a document."""
-    return [(at, min(largest, length - at)) for at in range(0, length, largest)]
-
-
 def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.flat(batch.column(1))
@@ -96,19 +127,17 @@ def word_lengths(docs: DataFrame) -> DataFrame:
 
 def _pack_shard(capacities: tuple[int, ...], overhead: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        pieces = [(size, row, i, first) for row, length in zip(rows["row"].tolist(), rows["n_tokens"].tolist(), strict=True)
-                  for i, (first, size) in enumerate(pieces_of(length, capacities[-1]))]
-        pieces.sort(key=lambda p: (-p[0], p[1], p[2]))
-        place, final = pack([p[0] for p in pieces], capacities, overhead)
-        ids = dict(zip(rows["row"].tolist(), rows["doc_id"].tolist(), strict=True))
-        shard = int(rows["shard"].iloc[0])
+        rows = rows.sort_values(["size", "row", "piece"], ascending=[False, True, True], ignore_index=True)
+        sizes = rows["size"].tolist()
+        place, final = pack(sizes, capacities, overhead)
         at = [0] * len(final)
-        out = []
-        for (size, row, piece, first), sequence in zip(pieces, place, strict=True):
-            out.append(((shard << 32) | sequence, final[sequence], at[sequence], ids[row], piece, first, size))
+        starts = []
+        for size, sequence in zip(sizes, place, strict=True):
+            starts.append(at[sequence])
             at[sequence] += size
-        names = ["sequence_id", "capacity", "start", "doc_id", "piece", "first_token", "n_tokens"]
-        return pd.DataFrame(out, columns=names)
+        shard = int(rows["shard"].iloc[0])
+        return pd.DataFrame({"sequence_id": [(shard << 32) | s for s in place], "capacity": [final[s] for s in place], "start": starts,
+                             "doc_id": rows["doc_id"], "piece": rows["piece"], "first_token": rows["first_token"], "n_tokens": sizes})
     return run
 
 
@@ -116,13 +145,17 @@ def pack_lengths(lengths: DataFrame, capacities: tuple[int, ...] = CAPACITIES, o
                  shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Packed pieces of (doc_id, n_tokens): sequence_id, capacity, start in the sequence, doc_id, piece, first_token, n_tokens."""
     capacities = tuple(sorted(capacities))
+    largest = F.lit(capacities[-1]).cast("bigint")
     lengths = staged(lengths.select("doc_id", "n_tokens"), "lengths")
-    # no shard may hold a few giant documents only: shards follow pieces, not rows
-    total = lengths.agg(F.coalesce(F.sum(F.ceil(F.col("n_tokens") / capacities[-1])), F.lit(0)).alias("n")).first()["n"]
+    # shards follow pieces, not rows
+    total = lengths.agg(F.coalesce(F.sum(F.ceil(F.col("n_tokens") / largest)), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-int(total) // shard_rows))
-    dealt = (lengths.withColumn("row", F.monotonically_increasing_id()).where("n_tokens > 0")
-             .withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas has no null integers
-             .withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards))))
+    pieces = (lengths.withColumn("row", F.monotonically_increasing_id()).where("n_tokens > 0")
+              .select(F.col("doc_id").cast("string").alias("doc_id"), "row", "n_tokens",  # pandas has no null integers
+                      F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.col("n_tokens") - 1, largest)).alias("piece", "first_token")))
+    dealt = pieces.select("doc_id", "row", F.col("piece").cast("bigint").alias("piece"), "first_token",
+                          F.least(largest, F.col("n_tokens") - F.col("first_token")).alias("size"),
+                          F.pmod(F.xxhash64("row", "piece"), F.lit(shards)).alias("shard"))
     packed = dealt.groupBy("shard").applyInPandas(_pack_shard(capacities, overhead), PACKED).withColumn(
         "doc_id", F.col("doc_id").cast("bigint"))
     empty = lengths.where("n_tokens = 0").select(
