@@ -121,7 +121,7 @@ def _prefixes(levels: np.ndarray, shingle: int, percent: int, short: bool):
         leading, tokens = hashes[np.flatnonzero(np.diff(line, prepend=-1))], _cut(hashes)
         order = (line.astype(np.uint64) << np.uint64(TOKEN_BITS + 7)) | \
             (levels[_bucket(tokens)].astype(np.uint64) << np.uint64(TOKEN_BITS)) | tokens
-        order = np.unique(order)
+        order = W.distinct(order)
         line = (order >> np.uint64(TOKEN_BITS + 7)).astype(np.int64)
         tokens = order & np.uint64((1 << TOKEN_BITS) - 1)
         first = np.flatnonzero(np.diff(line, prepend=-1))
@@ -144,7 +144,8 @@ def _prefixes(levels: np.ndarray, shingle: int, percent: int, short: bool):
             ids, text_hash = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for a, _, data, offsets in _blocks(batch, 2):
                 tokens, line, text, number = line_tokens(data, offsets, shingle, short)
-                names, line = np.unique(line, return_inverse=True)
+                opens = np.diff(line, prepend=-1) > 0
+                names, line = line[opens], np.cumsum(opens) - 1
                 for at in range(0, len(names), 1 << LINE_BITS):
                     low, high = np.searchsorted(line, [at, at + (1 << LINE_BITS)])
                     if low == high:
@@ -226,7 +227,7 @@ def _similar(shingle: int, percent: int):
             for a, b in W.slices(sides[0][1] + sides[1][1]):
                 pair = [W.shingle_sets(W.Words(d[o[a]:o[b]], o[a:b + 1] - o[a], W.ALNUM), shingle) for d, o in sides]
                 for at, (x, y) in enumerate(zip(*pair, strict=True), a):
-                    union = len(np.union1d(x, y))
+                    union = len(W.distinct(np.concatenate([x, y])))
                     good[at] = 100 * (len(x) + len(y) - union) >= percent * union
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(good)) for i in (0, 1)], ["x", "y"])
     return run

@@ -118,7 +118,7 @@ def similar_pairs(shingle_words: int, percent: int):
         for at in range(0, len(xs), 256):
             pair = text_sets(xs[at:at + 256], shingle_words), text_sets(ys[at:at + 256], shingle_words)
             for i, (x, y) in enumerate(zip(*pair, strict=True), at):
-                union = len(np.union1d(x, y))
+                union = len(W.distinct(np.concatenate([x, y])))
                 common = len(x) + len(y) - union
                 good[i] = common > 0 and 100 * common >= percent * union
         return good

@@ -168,13 +168,19 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix64(total)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values: on hashes one sort takes a quarter of the time of numpy's hash table."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def shingle_sets(words: Words, n: int) -> Iterator[np.ndarray]:
     """Each text's sorted distinct ``n``-word shingle hashes; with fewer words the whole sequence is
     the one shingle, without words there is none."""
     hashes, grams = words.hashes, ngram_hashes(words.hashes, n)
     for a, b in zip(words.first[:-1], words.first[1:], strict=True):
         if b - a >= n:
-            yield np.unique(grams[a:b - n + 1])
+            yield distinct(grams[a:b - n + 1])
         elif b > a:
             yield ngram_hashes(hashes[a:b], int(b - a))
         else:
