@@ -19,7 +19,7 @@ JOINED = 1000
 #: printable ASCII signs and the Latin-1 letters: composed already, and lower-cased alike everywhere
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
 #: the same pattern on lower-case plain signs
-WORD_PLAIN = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+"
+WORD_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-z0-9ß-öø-ÿ]+"
 TABLE_ENTRIES = 1_000_000
 BLANK = " "
 #: a white-space run of other signs than blanks at first, with more behind its blank, is one unit to a byte-level splitter
@@ -82,38 +82,51 @@ def byte_signs() -> dict[int, int]:
 SIGNS = byte_signs()
 
 
-#: bytes behind ASCII as such signs; ASCII signs stay, and so does the blank
-PLAIN_SIGNS = {b: s for b, s in SIGNS.items() if b > 0x7F}
 END = "</w>"
+MARK = "\n"
 
 
 class PlainPieces:
-    """Ids of pieces of plain signs by the library's model alone: on them a tokenizer's normaliser and splitter do no more than ``pattern``,
-    and cost more than the merges. A word's last token bears the vocabulary's word end, so that pieces are encoded many at a time."""
+    """Ids of segments of plain signs by the library's model alone: on them a tokenizer's normaliser and splitter do no more than ``pattern``,
+    and cost more than the merges. All segments are cut in one pass and their pieces are encoded many at a time; a piece's last token bears
+    the vocabulary's word end, which tells the pieces, and so the segments, apart again."""
 
     def __init__(self, tokenizer, pattern: str, width: int):
         import numpy as np
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
-        self.cut = re.compile(pattern).findall
+        self.cut = re.compile(f"{MARK}|{pattern}").findall
         self.width = width
         self.bare = Tokenizer(tokenizer.model)
         self.bare.pre_tokenizer = WhitespaceSplit()
         self.is_end = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
             self.is_end[i] = token.endswith(END)
+        # bytes behind ASCII as a byte-level vocabulary's signs; ASCII signs stay, and so does white space
+        self.sign = np.array([b if b <= 0x7F else SIGNS[b] for b in range(256)], "<u2")
 
-    def ids(self, pieces: list[str]) -> list[bytes]:
+    def _signs(self, text: str) -> str:
         import numpy as np
 
-        texts = [" ".join(pieces[i:i + JOINED]).encode().decode("latin-1").translate(PLAIN_SIGNS) for i in range(0, len(pieces), JOINED)]
-        out: list[bytes] = []
-        for e in self.bare.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(e.ids, "<u2" if self.width == 2 else "<u4")
-            raw, ends = ids.tobytes(), ((np.flatnonzero(self.is_end[ids]) + 1) * self.width).tolist()
-            out += [raw[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
-        return out
+        return text if text.isascii() else self.sign[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+
+    def ids(self, segments: list[str]) -> list[bytes]:
+        import numpy as np
+
+        if not segments:
+            return []
+        pieces = self.cut(MARK.join([*segments, ""]).lower())
+        texts = [self._signs(" ".join(pieces[i:i + JOINED])) for i in range(0, len(pieces), JOINED)]
+        ids = np.concatenate([np.array(e.ids, "<u2" if self.width == 2 else "<u4")
+                              for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.append(0, np.flatnonzero(self.is_end[ids]) + 1)
+        # the marks among the pieces end the segments and have no ids
+        marks = np.array([i for i, piece in enumerate(pieces) if piece == MARK])
+        if len(marks) != len(segments) or len(ends) - 1 != len(pieces) - len(marks):
+            raise ValueError("pieces and word ends of the vocabulary differ")
+        raw, stops = ids.tobytes(), (ends[marks - np.arange(len(marks))] * self.width).tolist()
+        return [raw[i:j] for i, j in zip([0, *stops[:-1]], stops, strict=True)]
 
 
 class WordTokenizer:
@@ -146,13 +159,8 @@ class WordTokenizer:
         """Plain segments by their pieces, the others and those that hold a special token by the whole tokenizer."""
         plain = [PLAIN(s) is not None and not ("<" in s and any(t in s for t in self.special)) for s in segments]
         rest = iter(self._encode([s for s, p in zip(segments, plain, strict=True) if not p]))
-        cut = [self.pieces.cut(s.lower()) if p else None for s, p in zip(segments, plain, strict=True)]
-        # a piece that was a segment of its own before is in the table
-        table = self.table.table
-        new = list({p for pieces in cut if pieces for p in pieces if p not in table})
-        known = dict(zip(new, self.pieces.ids(new), strict=True))
-        return [next(rest) if pieces is None else known.get(pieces[0]) or table[pieces[0]] if len(pieces) == 1
-                else b"".join([known.get(p) or table[p] for p in pieces]) for pieces in cut]
+        known = iter(self.pieces.ids([s for s, p in zip(segments, plain, strict=True) if p]))
+        return [next(known if p else rest) for p in plain]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, without special tokens around it; a null text has none."""
