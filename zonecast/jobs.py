@@ -95,7 +95,7 @@ def retrain(spark: SparkSession, silver_path: str, runs_path: str, models_path:
     if not frame.limit(1).collect():
         print("no data available for training")
         return 1
-    split = SP.hash_split(frame, F.col("ride_id"), 0.8)
+    split = materialize(SP.hash_split(frame, F.col("ride_id"), 0.8))
     model, metrics = MO.train(split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test"),
                               model_name)
     MO.log_run(spark, model, materialize(metrics), runs_path, models_path)

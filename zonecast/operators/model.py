@@ -11,6 +11,7 @@ newest promoted run.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +20,14 @@ from pyspark.sql import functions as F
 from zonecast.functions import constants as K
 from zonecast.operators import tables as T
 from zonecast.operators.features import VOCAB
+from zonecast.session import materialize
 
 FEATURE_PARAMS = dict(maxIter=100, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42,
                       featureSubsetStrategy="0.8")
 #: Categories of live and historical rides.
 MODEL_VOCAB = VOCAB | {"city_zone": [*VOCAB["city_zone"], *K.HIST_ZONE_LABELS], "vehicle_type": [*VOCAB["vehicle_type"], "yellow_taxi"]}
+#: Most rows of one task of a fit.
+ROWS_PER_TASK = 1_000_000
 LIVE_MODEL = "surge_price_model"
 HIST_MODEL = "surge_price_model_nyc"
 
@@ -98,11 +102,29 @@ def build_pipeline(label: str = K.TARGET):
     idx = StringIndexerModel.from_arrays_of_labels([MODEL_VOCAB[c] for c in cats], inputCols=cats,
                                                    outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep")
     vec = VectorAssembler(inputCols=K.NUMERIC_FEATURES + [f"{c}_idx" for c in cats], outputCol="features", handleInvalid="keep")
+    # a row's node is found again in at most five steps: cheaper than a stored and checkpointed list of nodes for every level of every tree
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="raw_prediction",
-                       checkpointInterval=10, cacheNodeIds=True, **FEATURE_PARAMS)
+                       checkpointInterval=10, cacheNodeIds=False, **FEATURE_PARAMS)
     return Pipeline(stages=[idx, vec, gbt])
 
 
+def fit_tasks(rows: int, cores: int, most: int = ROWS_PER_TASK) -> int:
+    """Tasks of each of a fit's jobs: one for every core, or a multiple of it where that would be more than ``most`` rows in one."""
+    return cores * max(1, math.ceil(rows / (cores * most)))
+
+
+def fit(rows: DataFrame):
+    """The pipeline fitted on stored rows (``materialize``). The trees' some 500 jobs keep the partitions they are given and carry the
+    lineage of their input in every task: so the feature vectors are stored once, dealt evenly over all cores, however few or many files or
+    sorted ranges the rows come from."""
+    from pyspark.ml import PipelineModel
+
+    *prepare, trees = build_pipeline().getStages()
+    n = fit_tasks(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
+    vectors = PipelineModel(prepare).transform(rows).select(trees.getFeaturesCol(), trees.getLabelCol())
+    return PipelineModel([*prepare, trees.fit(materialize(vectors.repartition(n)))])
+
+
 def evaluate(test_df: DataFrame, model, model_name: str) -> DataFrame:
     """One-row metrics frame of the raw (unclipped) predictions."""
     m = model.transform(test_df).agg(*regression_aggregates(F.col(K.TARGET), F.col("raw_prediction")))
@@ -110,8 +132,8 @@ def evaluate(test_df: DataFrame, model, model_name: str) -> DataFrame:
 
 
 def train(train_df: DataFrame, test_df: DataFrame, model_name: str):
-    """Fit on ``train_df``, evaluate on ``test_df``; returns (PipelineModel, one-row metrics frame)."""
-    model = build_pipeline().fit(train_df)
+    """Fit on ``train_df``, evaluate on ``test_df`` (both stored); returns (PipelineModel, one-row metrics frame)."""
+    model = fit(train_df)
     return model, evaluate(test_df, model, model_name)
 
 

@@ -209,19 +209,21 @@ def _folders(spark, sf) -> dict[str, str]:
 
 
 def live_split(spark, sf):
+    """Train and test rows, from one stored frame."""
     frame = FE.score_input(X.rides(spark, sf)).filter(F.col(K.TARGET).isNotNull())
-    split = SP.hash_split(frame, F.col("ride_id"), 0.8)
+    split = materialize(SP.hash_split(frame, F.col("ride_id"), 0.8).select(*K.CATEGORICAL_FEATURES, *K.NUMERIC_FEATURES, K.TARGET, "split"))
     return split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
 
 
 def train_live(spark, sf):
-    """Train, log and promote the live model; returns its metrics row."""
+    """Train, log and promote the live model; returns its metrics row and its test rows."""
     at = _folders(spark, sf)
-    model, metrics = MO.train(*live_split(spark, sf), MO.LIVE_MODEL)
+    train, test = live_split(spark, sf)
+    model, metrics = MO.train(train, test, MO.LIVE_MODEL)
     metrics = materialize(metrics)
     MO.log_run(spark, model, metrics, at["runs"], at["models"])
     MO.promote_run(spark, at["runs"], at["promoted"])
-    return metrics
+    return metrics, test
 
 
 def promoted_model(spark, sf):
@@ -245,7 +247,7 @@ _SPLIT_SQL = "('0x' || substr(md5({id} || ':42'), 1, 8))::BIGINT % 1000000 < 800
 SELECT '{MO.LIVE_MODEL}' AS model, count(*) AS n, true AS beats_mean, true AS ordered
 FROM rides WHERE surge_multiplier IS NOT NULL AND NOT ({_SPLIT_SQL.format(id='ride_id')})""", "M2")
 def train_surge(spark, sf):
-    return _checked(train_live(spark, sf), live_split(spark, sf)[1])
+    return _checked(*train_live(spark, sf))
 
 
 @register("score_batch", with_views("silver_dirty") + """
@@ -271,7 +273,7 @@ def train_history(feats):
     timed = O.chronological_split(feats, "event_timestamp", "ride_id", 0.8).withColumnRenamed("split", "time_split")
     frame = materialize(SP.hash_split(timed, F.col("ride_id"), 0.8))
     with ThreadPoolExecutor(2) as pool:
-        fits = [pool.submit(MO.build_pipeline().fit, frame.where(F.col(side) == "train")) for side in ("time_split", "split")]
+        fits = [pool.submit(MO.fit, frame.where(F.col(side) == "train")) for side in ("time_split", "split")]
         models = [f.result() for f in fits]
     return (*models, frame)
 
