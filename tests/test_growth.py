@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from zonecast.plans import models as PM
 from zonecast.plans import streams as PS
 from zonecast.session import materialize, work_dir
 from zonecast.sources import fixtures as X
+from zonecast.sources.schemas import SCHEMAS
 from zonecast.streaming import live as LV
 
 
@@ -132,3 +135,40 @@ def test_late_arrivals_are_made_once(spark, monkeypatch):
     assert there == [*first, len(days), n] and len(made) == 10
     assert counted.value == n
     assert "delivery" not in spark.read.text(f"{root}/in").first()[0]
+
+
+def test_silver_writes_few_files_for_a_date(spark):
+    """Rows of one date lie in all state partitions, yet few tasks write them; each row once, those without a time or an id too."""
+    root = work_dir(spark, "t-by-date")
+    n, partitions = 640, 32
+    rows = spark.range(n).select(
+        F.when(F.col("id") > 0, F.col("id").cast("string")).alias("ride_id"), F.lit("completed").alias("status"),
+        F.when(F.col("id") % 64 != 5, F.concat(F.lit("2024-01-0"), (F.col("id") % 2 + 1).cast("string"), F.lit("T08:00:00+00:00"))).alias("event_timestamp"))
+    full = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS["rides"].fields])
+    full.unionByName(full.limit(100)).write.parquet(f"{root}/bronze")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        PS.ST.start_silver(spark, "rides", f"{root}/bronze", f"{root}/silver", f"{root}/chk").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    silver = spark.read.parquet(f"{root}/silver")
+    assert sorted(r[0] or "0" for r in silver.select("ride_id").collect()) == sorted(str(i) for i in range(n))
+    files = (silver.select("event_date", F.input_file_name().alias("file")).groupBy("event_date")
+             .agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("rows")).collect())
+    assert {str(r["event_date"]): r["rows"] for r in files} == {"None": 10, "2024-01-01": 320, "2024-01-02": 310}
+    assert all(r["files"] <= 4 for r in files)
+    # and not one task for a date
+    assert all(r["files"] > 1 for r in files if r["rows"] > 100)
+
+
+def test_rides_are_made_by_compiled_code(spark, tmp_path):
+    """The JVM does not compile methods of more than 8,000 bytes of bytecode; it interprets them for every row."""
+    spark.createDataFrame([(1, "2024-01-01 08:00:00", 7, "purchase", 10.0, '{"k": 3}')],
+                          "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn(
+        "ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    rides = X.rides_bronze(spark, str(tmp_path))
+    plan = rides.select(F.to_json(F.struct(*rides.columns)))._jdf.queryExecution().executedPlan()
+    text = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
