@@ -2,8 +2,8 @@
 
 Training uses a Spark ML ``Pipeline`` (fixed-vocabulary StringIndexerModel with a kept bucket
 for other values -> VectorAssembler -> GBTRegressor with 100 trees, depth
-5, step 0.1, row subsample 0.8, column subsample 0.8, seed 42): distributed,
-JVM-side, and the vocabulary travels with the model, so scoring a
+5, step 0.1, row subsample 0.8, column subsample 0.8, seed 42), fitted over
+cells (``boosting``) and scored JVM-side; the vocabulary travels with the model, so scoring a
 stream or a batch needs no Python UDF. Runs are rows of a ``model_runs`` table
 instead of a tracking server; promotion is a query over that table, and scoring loads the
 newest promoted run.
@@ -95,16 +95,16 @@ def build_pipeline(label: str = K.TARGET):
     """Fixed vocabularies (no pass over the data), each category one nominal feature, boosted trees."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+
+    from zonecast.operators.boosting import CellGBTRegressor
 
     cats = K.CATEGORICAL_FEATURES
     # values outside the vocabulary share the extra index that "keep" adds
     idx = StringIndexerModel.from_arrays_of_labels([MODEL_VOCAB[c] for c in cats], inputCols=cats,
                                                    outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep")
     vec = VectorAssembler(inputCols=K.NUMERIC_FEATURES + [f"{c}_idx" for c in cats], outputCol="features", handleInvalid="keep")
-    # a row's node is found again in at most five steps: cheaper than a stored and checkpointed list of nodes for every level of every tree
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="raw_prediction",
-                       checkpointInterval=10, cacheNodeIds=False, **FEATURE_PARAMS)
+    gbt = CellGBTRegressor(featuresCol="features", labelCol=label, predictionCol="raw_prediction",
+                           checkpointInterval=10, **FEATURE_PARAMS)
     return Pipeline(stages=[idx, vec, gbt])
 
 
@@ -114,9 +114,8 @@ def fit_tasks(rows: int, cores: int, most: int = ROWS_PER_TASK) -> int:
 
 
 def fit(rows: DataFrame):
-    """The pipeline fitted on stored rows (``materialize``). The trees' some 500 jobs keep the partitions they are given and carry the
-    lineage of their input in every task: so the feature vectors are stored once, dealt evenly over all cores, however few or many files or
-    sorted ranges the rows come from."""
+    """The pipeline fitted on stored rows (``materialize``). The fit passes over the feature vectors twice, for the bins and for the cells: they
+    are stored once, dealt evenly over all cores, however few or many files or sorted ranges the rows come from."""
     from pyspark.ml import PipelineModel
 
     *prepare, trees = build_pipeline().getStages()

@@ -7,7 +7,7 @@ zone is split across tasks rather than landing in one), sorts within
 partitions, cuts lineage with a reliable ``checkpoint`` so both passes see the
 same partitions, collects one small total per *partition* (bounded by the
 partition count, not the data) and adds the offsets in an Arrow-batched
-``mapInPandas`` pass.
+``mapInArrow`` pass.
 
 On top of it:
 * ``rolling_window`` (W1, W2): count and sums over ``[ts - w, ts]`` for every event,
@@ -57,18 +57,23 @@ def running_totals(df: DataFrame, order: list[Column], weights: list[str],
                               + [T.StructField(f"{prefix}{w}", T.LongType(), True) for w in weights])
 
     def add_offsets(batches):
+        import numpy as np
+        import pyarrow as pa
         from pyspark import TaskContext
 
         run = list(offsets.get(TaskContext.get().partitionId(), [0] * len(weights)))
-        for pdf in batches:
+        for batch in batches:
+            # the other columns go through as they are
+            columns, names = list(batch.columns), list(batch.schema.names)
             for j, w in enumerate(weights):
-                cs = pdf[w].fillna(0).astype("int64").cumsum() + run[j]
+                cs = batch.column(w).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).cumsum(dtype=np.int64) + run[j]
                 if len(cs):
-                    run[j] = int(cs.iloc[-1])
-                pdf[f"{prefix}{w}"] = cs
-            yield pdf
+                    run[j] = int(cs[-1])
+                columns.append(pa.array(cs, pa.int64()))
+                names.append(f"{prefix}{w}")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return ranged.mapInPandas(add_offsets, out_schema), totals
+    return ranged.mapInArrow(add_offsets, out_schema), totals
 
 
 def rolling_window(df: DataFrame, id_col: str, ts_col: str, seconds: int, key_col: str | None = None,
