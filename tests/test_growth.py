@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from zonecast.functions import constants as K
+from zonecast.operators import metric_store as MS
+from zonecast.operators import metrics as M
 from zonecast.operators import model as MO
+from zonecast.operators import silver as S
 from zonecast.plans import models as PM
 from zonecast.plans import streams as PS
 from zonecast.session import materialize, work_dir
@@ -172,3 +176,36 @@ def test_rides_are_made_by_compiled_code(spark, tmp_path):
     text = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
     sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8000
+
+
+def _event_table(spark, path, *rows):
+    spark.createDataFrame(list(rows), "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn(
+        "ts", F.col("ts").cast("timestamp")).write.parquet(f"{path}/events.parquet")
+
+
+def test_live_deliveries_are_made_by_compiled_code(spark, tmp_path):
+    """Each ride's text is read once, not once for every case of its delivery."""
+    _event_table(spark, tmp_path, (1, "2024-01-01 08:00:00", 7, "purchase", 10.0, '{"k": 3}'), (97, "2024-01-02 08:00:00", 8, "view", 10.0, '{"k": 3}'),
+                 (194, "2024-01-02 08:00:00", None, "view", 10.0, '{"k": 3}'), (2, "2024-01-30 08:00:00", 9, "view", None, None))
+    dealt = PS.live_deliveries(S.enrich_rides(PS.rides_dense(spark, str(tmp_path))))
+    found = {r["ride_id"]: r["delivery"] for r in dealt.collect()}
+    assert found == {"1": 0, "97": zlib.crc32(b"8") % 4, "194": None, "2": 3}
+    plan = dealt._jdf.queryExecution().executedPlan()
+    text = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    assert max(int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8000
+
+
+def test_the_partitions_of_the_live_state_are_written_side_by_side(spark):
+    """Not one after the other in one task: each view says which task made it."""
+    def views(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch.assign(ride_count=1 + TaskContext.get().partitionId())
+
+    zones = spark.createDataFrame([(f"z{i}", 5_000_000 + i, True, 1, 10_000, [5_000_000 + i], [1]) for i in range(4)], LV.VIEW).repartitionByRange(4, "city_zone")
+    root = work_dir(spark, "t-live-tasks")
+    LV.LiveSink(f"{root}/metrics", f"{root}/zones", 0)(zones.mapInPandas(views, LV.VIEW), 0)
+    rows = M.parse_payload(MS.read_metrics(spark, f"{root}/metrics", "1970-01-01 00:00:00")).collect()
+    assert sorted(r["ride_count"] for r in rows if r["ride_count"]) == [1, 2, 3, 4]
+    assert [r["count"] for r in rows if r["count"]] == [4]
