@@ -107,7 +107,9 @@ def test_thresholds_lie_between_values_with_equal_weight():
     assert B.cell_numbers(np.array([[1.5, 2], [1.6, 0], [np.nan, 3]]), [np.array([1.5, 3.0]), 4], 5).tolist() == [2 << 5, 1, 2 + (3 << 5)]
 
 
-def test_a_label_that_is_null_is_refused(spark):
-    rows = rides(spark, 50).withColumn(K.TARGET, F.when(F.col("event_hour") > 3, F.col(K.TARGET)))
-    with pytest.raises(Exception, match="a label is null"):
+@pytest.mark.parametrize("column, said", [(K.TARGET, "a label is null"), ("distance_km", "a feature is NaN")])
+def test_a_null_label_or_feature_is_refused(spark, column, said):
+    """As Spark's own fit does."""
+    rows = rides(spark, 50).withColumn(column, F.when(F.col("event_hour") > 3, F.col(column)))
+    with pytest.raises(Exception, match=said):
         MO.fit(materialize(rows))

@@ -81,9 +81,13 @@ def _counted(bins: list[np.ndarray | int], bits: int):
         for batch in batches:
             if batch.num_rows:
                 x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                code, y = cell_numbers(x, bins, bits), batch.column(1).to_numpy(zero_copy_only=False)
+                y = batch.column(1).to_numpy(zero_copy_only=False)
+                # as Spark's own fit refuses them
                 if np.isnan(y).any():
                     raise ValueError("a label is null or NaN")
+                if not np.isfinite(x).all():
+                    raise ValueError("a feature is NaN or infinite")
+                code = cell_numbers(x, bins, bits)
                 at = np.lexsort((y, code))
                 code, y = code[at], y[at]
                 first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (y[1:] != y[:-1])])
